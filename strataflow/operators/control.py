@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 import uuid
-from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,19 +37,31 @@ def log_run(
 ) -> None:
     """Append one run event. Logging never fails a run: problems become warnings.
 
-    Each event has a folder of its own, so concurrent runs never share a commit folder.
+    Each event has a folder of its own, so concurrent runs never share a commit folder; a pipeline's
+    events can be read without listing the others'.
     """
-    now = datetime.now(timezone.utc)
-    row = (pipeline, source, run_id, now, rows_read, rows_written, status, notes[:NOTE_LIMIT])
+    values = {
+        "pipeline_name": F.lit(pipeline),
+        "source_name": F.lit(source),
+        "batch_id": F.lit(run_id),
+        "ingest_ts": F.current_timestamp(),
+        "rows_read": F.lit(rows_read).cast("bigint"),
+        "rows_written": F.lit(rows_written).cast("bigint"),
+        "status": F.lit(status),
+        "notes": F.lit(notes[:NOTE_LIMIT]),
+    }
     try:
-        event = spark.createDataFrame([row], CONTROL_SCHEMA).coalesce(1)
-        event.write.mode("overwrite").parquet(f"{path}/{run_id}-{status}")
+        event = spark.range(0, 1, 1, 1).select(*[v.alias(name) for name, v in values.items()])
+        event.write.mode("overwrite").parquet(f"{path}/{pipeline}/{run_id}-{status}")
     except Exception as error:  # noqa: BLE001
         log.warning("control log %s not written: %s", path, error)
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    """The control log at ``path``; empty when nothing has been logged yet."""
+    """The control log at ``path``; empty when nothing has been logged yet.
+
+    ``<path>/<pipeline>`` reads the events of one pipeline.
+    """
     reader = spark.read.schema(CONTROL_SCHEMA).option("recursiveFileLookup", "true")
     try:
         return reader.parquet(path)

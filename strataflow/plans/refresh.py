@@ -104,8 +104,9 @@ def _logged(spark: SparkSession, layout: Layout, layer: str, name: str) -> Itera
 
 def position(spark: SparkSession, layout: Layout, layer: str, name: str) -> int | None:
     """The last commit a pipeline has completed, or None."""
-    control = ctl.read_control(spark, layout.control)
-    return ctl.ledger_position(control, layout.pipeline(layer, name))
+    pipeline = layout.pipeline(layer, name)
+    control = ctl.read_control(spark, f"{layout.control}/{pipeline}")
+    return ctl.ledger_position(control, pipeline)
 
 
 def bronze_schema(spec: BronzeSpec) -> T.StructType:

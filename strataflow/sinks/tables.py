@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -145,9 +146,7 @@ def merge_into(
     Conditions name the table by ``table`` and the feed by ``src``.
     """
     feed = staged.alias("src")
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(f"{table}.{k}") == F.col(f"src.{k}"))
+    on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"src.{k}") for k in keys])
     values = {c: F.col(f"src.{c}") for c in staged.columns}
     changed = {c: v for c, v in values.items() if c != CREATED}
     writer = feed.mergeInto(table, on)

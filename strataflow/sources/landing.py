@@ -61,7 +61,5 @@ def files_dated(df: DataFrame, start: date | str, end: date | str) -> DataFrame:
     The condition is on file metadata only, so Spark skips the other files without opening them.
     The last date in the path counts: both ``2026-04-01.json`` and ``day=2026-04-01/part-0`` work.
     """
-    dated = F.try_to_date(
-        F.regexp_extract(F.col("_metadata.file_path"), f".*{FILE_DATE}", 1), "yyyy-MM-dd"
-    )
-    return df.filter(dated.between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+    dated = F.regexp_extract(F.col("_metadata.file_path"), f".*{FILE_DATE}", 1)
+    return df.filter(dated.between(str(start), str(end)))  # such dates sort as text
