@@ -120,10 +120,15 @@ def full_merge(
     feed: DataFrame,
     keys: Sequence[str],
     order_col: str,
+    reduced: bool = False,
     **options,
 ) -> DataFrame:
-    """Latest feed row per key replaces the stored one unless the stored one is newer."""
-    staged = latest_per_key(feed, keys, order_col)
+    """Latest feed row per key replaces the stored one unless the stored one is newer.
+
+    ``reduced`` (here and below): the feed already has at most one row per key. Further options are
+    those of ``upsert``.
+    """
+    staged = feed if reduced else latest_per_key(feed, keys, order_col)
     if state is None:
         return _first_load(staged, **options)
     newer = lambda src, tgt: src(order_col) >= tgt(order_col)
@@ -136,6 +141,7 @@ def incremental_replace(
     keys: Sequence[str],
     order_col: str,
     guard: bool = False,
+    reduced: bool = False,
     **options,
 ) -> DataFrame:
     """Latest feed row per key always replaces the stored one, even a newer one.
@@ -143,8 +149,8 @@ def incremental_replace(
     ``guard=True`` keeps a stored row that is newer than the feed.
     """
     if guard:
-        return full_merge(state, feed, keys, order_col, **options)
-    staged = latest_per_key(feed, keys, order_col)
+        return full_merge(state, feed, keys, order_col, reduced, **options)
+    staged = feed if reduced else latest_per_key(feed, keys, order_col)
     if state is None:
         return _first_load(staged, **options)
     return upsert(state, staged, keys, **options)
@@ -157,6 +163,7 @@ def cdc_merge(
     sequence_col: str = "sequence_num",
     op_col: str = "op_type",
     delete_col: str | None = None,
+    reduced: bool = False,
     **options,
 ) -> DataFrame:
     """Apply I/U/D change events; a delete stays as a row carrying its own payload (soft delete).
@@ -165,7 +172,7 @@ def cdc_merge(
     sequence. A delete, or an event without an operation, never inserts. With ``delete_col`` that
     flag is derived from the operation instead of being taken from the payload.
     """
-    staged = latest_per_key(changes, keys, sequence_col)
+    staged = changes if reduced else latest_per_key(changes, keys, sequence_col)
     if delete_col:
         staged = staged.withColumn(delete_col, F.coalesce(_q(op_col) == "D", F.lit(False)))
     is_insert = _q(op_col) != "D"
@@ -175,22 +182,29 @@ def cdc_merge(
     return upsert(state, staged, keys, update_if=in_order, insert_if=is_insert, **options)
 
 
-def contested_keys(table: DataFrame | None, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def contested_keys(
+    table: DataFrame | None, feed: DataFrame, keys: Sequence[str], small_feed: bool = False
+) -> DataFrame:
     """Feed keys that are already in ``table`` or occur more than once in the feed.
 
     Reads key columns only and counts them map-side first, so neither wide rows nor a key with very
-    many copies travel.
+    many copies travel. ``small_feed`` (after ``size.fits_broadcast`` of its keys) broadcasts the
+    feed's keys, so the table's are not shuffled either.
     """
     names = [_q(k) for k in keys]
-    marks = feed.select(*names, F.lit(1).alias("_fed"), F.lit(0).alias("_held"))
-    if table is not None:
-        marks = marks.unionByName(
-            table.select(*names, F.lit(0).alias("_fed"), F.lit(1).alias("_held"))
-        )
-    counted = marks.filter(~_any_null(keys)).groupBy(*names).agg(
-        F.sum("_fed").alias("_fed"), F.max("_held").alias("_held")
+    fed = feed.select(*names).filter(~_any_null(keys))
+    counted = fed.groupBy(*names).agg(F.count(F.lit(1)).alias("_fed"))
+    if table is None:
+        return counted.filter("_fed > 1").select(*names)
+    held = table.select(*names)
+    if small_feed:
+        clashing = held.join(F.broadcast(counted), list(keys), "left_semi").distinct()
+        return clashing.union(counted.filter("_fed > 1").select(*names)).distinct()
+    marks = counted.withColumn("_held", F.lit(0)).unionByName(
+        held.filter(~_any_null(keys)).select(*names, F.lit(0).alias("_fed"), F.lit(1).alias("_held"))
     )
-    return counted.filter("_fed > 1 OR (_fed = 1 AND _held = 1)").select(*names)
+    both = marks.groupBy(*names).agg(F.sum("_fed").alias("_fed"), F.max("_held").alias("_held"))
+    return both.filter("_fed > 1 OR (_fed = 1 AND _held = 1)").select(*names)
 
 
 def insert_if_absent(

@@ -168,9 +168,7 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFr
     upto = position(spark, layout, "silver", spec.name)
     if spec.load in ("cdc_history", "append_dedup", "streaming_append"):
         return change_range(read_table(spark, path, schema), None, upto).drop(BATCH)
-    if spec.buckets:
-        return spark.read.parquet(path).drop(sink.BUCKET)
-    return sink.read_snapshot(spark, path, upto)
+    return _state(spark, spec, layout, upto)
 
 
 def promote(
@@ -238,8 +236,11 @@ def _append(spark, spec, rows, layout, after, upto, run, options) -> None:
     # Usually few keys clash. Find them on key columns alone; if they prove few, the (possibly
     # very wide) rows are not shuffled at all.
     clash = scratch_dir(spark, "contested")
-    merge.contested_keys(table, rows, spec.keys).write.parquet(clash)
-    contested = spark.read.parquet(clash)
+    fed_keys = rows.select(*[F.col(f"`{k}`") for k in spec.keys])
+    merge.contested_keys(
+        table, rows, spec.keys, small_feed=table is not None and fits_broadcast(fed_keys)
+    ).write.parquet(clash)
+    contested = spark.read.schema(fed_keys.schema).parquet(clash)
     fresh = merge.insert_if_absent(
         table, rows, spec.keys,
         contested=contested if fits_broadcast(contested) else None,
@@ -254,41 +255,46 @@ def _append(spark, spec, rows, layout, after, upto, run, options) -> None:
 
 
 def _merge(spark, spec, rows, layout, after, upto, run, options) -> None:
-    path = layout.table("silver", spec.name)
-    merged_by = {
-        "full_merge": lambda state, feed, **o: merge.full_merge(
-            state, feed, spec.keys, spec.order_col, **o),
-        "incremental_replace": lambda state, feed, **o: merge.incremental_replace(
-            state, feed, spec.keys, spec.order_col, **o),
-        "cdc_merge": lambda state, feed, **o: merge.cdc_merge(
-            state, feed, spec.keys, spec.sequence_col, spec.op_col, **o),
-    }[spec.load]
-    state = None
-    if after is not None and spec.buckets:
-        touched = sink.touched_buckets(rows, spec.keys, spec.buckets)
-        state = spark.read.parquet(path).filter(F.col(sink.BUCKET).isin(touched))
-        state = state.drop(sink.BUCKET)
-    elif after is not None:
-        state = sink.read_snapshot(spark, path, after)
-    small = state is not None and fits_broadcast(rows)
-    if small:
-        # The broadcast plan reads the feed more than once: reduce it once and reread it.
-        order = spec.sequence_col if spec.load == "cdc_merge" else spec.order_col
-        staged = scratch_dir(spark, "staged")
-        latest_per_key(rows, spec.keys, order).write.parquet(staged)
-        rows = spark.read.schema(rows.schema).parquet(staged)
+    state = None if after is None else _state(spark, spec, layout, after)
+    # Reduce the feed once and keep the result: every plan below reads it as a plain table, whose
+    # size is known. Spark can then hash-join it instead of sorting the state.
+    order = spec.sequence_col if spec.load == "cdc_merge" else spec.order_col
+    reduced = scratch_dir(spark, "staged")
+    latest_per_key(rows, spec.keys, order).write.parquet(reduced)
+    staged = spark.read.schema(rows.schema).parquet(reduced)
     seen = Observation()
-    merged = merged_by(
-        state, rows, **{**({"small_feed": True} if small else {}), "applied": seen, **options}
-    )
+    options = {"applied": seen, "reduced": True, **options}
+    if state is not None and not spec.buckets:
+        options.setdefault("small_feed", fits_broadcast(staged))
+    if spec.load == "cdc_merge":
+        merged = merge.cdc_merge(
+            state, staged, spec.keys, spec.sequence_col, spec.op_col, **options)
+    elif spec.load == "full_merge":
+        merged = merge.full_merge(state, staged, spec.keys, spec.order_col, **options)
+    else:
+        merged = merge.incremental_replace(state, staged, spec.keys, spec.order_col, **options)
+    path = layout.table("silver", spec.name)
     if spec.buckets:
-        bucketed = sink.with_bucket(merged, spec.keys, spec.buckets)
-        sink.overwrite_buckets(bucketed, path, scratch_dir(spark, "buckets"))
+        location = f"{path}/v={upto}"
+        if state is None:  # later runs: the join already leaves one bucket per task
+            merged = merged.repartition(spec.buckets, *spec.keys)
+        sink.save_as_table(merged, sink.bucketed_name(spec.name, location), location,
+                           bucket_by=(spec.buckets, spec.keys))
     else:
         sink.write_snapshot(merged, path, upto, spec.partition_cols, spec.clustered)
     run.rows_written = seen.get.get("rows", 0)
 
 
+def _state(spark: SparkSession, spec: SilverSpec, layout: Layout, version: int) -> DataFrame:
+    path = layout.table("silver", spec.name)
+    if not spec.buckets:
+        return sink.read_snapshot(spark, path, version)
+    location = f"{path}/v={version}"
+    return sink.open_bucketed(
+        spark, sink.bucketed_name(spec.name, location), location, build_schema(spec.columns),
+        spec.buckets, spec.keys)
+
+
 def full_refresh(
     spark: SparkSession,
     spec: SilverSpec,

@@ -7,6 +7,7 @@ so below the session's shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -388,7 +389,10 @@ def _ingested(spark: SparkSession, spec: BronzeSpec) -> DataFrame:
     return refresh.read_bronze(spark, spec, layout)
 
 
-@query("SELECT event_id, user_id, event_type, value, props, CAST(ts AS DATE) AS day FROM events")
+@query("""
+SELECT event_id, user_id, event_type, value, props, CAST(floor(epoch(ts)) AS BIGINT) AS at
+FROM events
+""")
 def landing_to_bronze(spark, sf_dir):
     spec = BronzeSpec(
         "events", "parquet",
@@ -398,7 +402,7 @@ def landing_to_bronze(spark, sf_dir):
     )
     rows = _ingested(spark, spec)
     return rows.select("event_id", "user_id", "event_type", "value", "props",
-                       F.to_date("ts").alias("day"))
+                       F.unix_seconds("ts").alias("at"))
 
 
 @query(as_sql(fx.ORDERS_CDC))
@@ -621,6 +625,13 @@ def promote_incremental(spark, sf_dir):
     return refresh.read_silver(spark, ORDERS_SILVER, layout)
 
 
+@query(CDC_WARM)
+def promote_bucketed(spark, sf_dir):
+    """State kept distributed by key between runs: each run shuffles only its feed."""
+    spec = replace(ORDERS_SILVER, buckets=8)
+    return refresh.read_silver(spark, spec, _promoted(spark, sf_dir, spec))
+
+
 @query(as_sql(fx.ORDERS_CDC))
 def promote_history(spark, sf_dir):
     spec = SilverSpec("orders_history", "cdc_history", "orders", ("order_id", "sequence_num"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import CREATED
@@ -78,6 +80,10 @@ def read_snapshot(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{path}/v={version}")
 
 
+# Key buckets as folders: for feeds known to touch few keys, such as corrections. A feed of many
+# keys touches every bucket; a table saved with ``save_as_table(bucket_by=...)`` serves it better.
+
+
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """Add the key's bucket number; a row's bucket never changes, so rows never move."""
     hashed = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
@@ -128,6 +134,25 @@ def save_as_table(
     writer.saveAsTable(table)
 
 
+def bucketed_name(label: str, path: str) -> str:
+    """A catalog name that is the same in every session for the same location."""
+    return f"{label}_{hashlib.md5(path.encode()).hexdigest()[:12]}"
+
+
+def open_bucketed(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, n: int, keys: Sequence[str]
+) -> DataFrame:
+    """A key-distributed table; registered again if this session's catalog does not know it."""
+    if not spark.catalog.tableExists(table):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        by = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(
+            f"CREATE TABLE {table} ({cols}) USING parquet "
+            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {n} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
 def append_evolving(a: DataFrame, b: DataFrame) -> DataFrame:
     """Bag union that accepts new columns; rows without them get null."""
     return a.unionByName(b, allowMissingColumns=True)

@@ -108,7 +108,7 @@ class SilverSpec:
     rules: tuple[RangeRule, ...] = ()
     partition_cols: tuple[str, ...] = ()
     clustered: bool = True  # gather partition values before writing: fewer files, one shuffle
-    buckets: int | None = None  # see sinks.tables.overwrite_buckets
+    buckets: int | None = None  # keep merged state hash-distributed by key in a catalog table
 
     def __post_init__(self):
         if self.load not in LOADS:

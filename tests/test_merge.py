@@ -127,7 +127,8 @@ def test_history_keeps_null_keys_and_first_versions(spark):
 def test_contested_keys(spark):
     table = make(spark, [(1, "t", 0), (9, "t", 0)])
     feed = make(spark, [(1, "f", 0), (2, "f", 0), (2, "g", 0), (3, "f", 0), (None, "f", 0)])
-    assert rows(merge.contested_keys(table, feed, ["k"])) == bag((1,), (2,))
+    for small in (False, True):
+        assert rows(merge.contested_keys(table, feed, ["k"], small_feed=small)) == bag((1,), (2,))
     assert rows(merge.contested_keys(None, feed, ["k"])) == bag((2,))
 
 
