@@ -16,6 +16,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.enrich import (
     parse_json_value,
@@ -23,7 +24,7 @@ from ..functions.enrich import (
     with_file_metadata,
     with_silver_metadata,
 )
-from ..functions.quality import conform_columns
+from ..functions.quality import conform_to_contract
 from ..operators import control as ctl
 from ..operators import merge
 from ..operators.latest import latest_per_key
@@ -155,6 +156,36 @@ def ingest(
     return run
 
 
+def start_ingest(
+    spark: SparkSession,
+    spec: BronzeSpec,
+    layout: Layout,
+    source: DataFrame | None = None,
+    trigger: dict | None = None,
+    now: Column | None = None,
+) -> StreamingQuery:
+    """Start appending to the raw table until the query is stopped, e.g. every minute.
+
+    Each commit is logged as a run of its own, so promotions follow while the stream goes on.
+    """
+    pipeline = layout.pipeline("bronze", spec.name)
+
+    def on_commit(batch_id: int, rows: int) -> None:
+        ctl.log_run(spark, layout.control, pipeline, spec.name, ctl.new_run_id(), ctl.SUCCESS,
+                    rows, rows, str(batch_id))
+
+    stream = read_landing_stream(spark, spec) if source is None else source
+    return sink.append_stream(
+        to_bronze(stream, spec, now),
+        layout.table("bronze", spec.name),
+        layout.checkpoint("bronze", spec.name),
+        spec.partition_cols,
+        spec.clustered,
+        trigger or {"processingTime": "1 minute"},
+        on_commit,
+    )
+
+
 def read_bronze(spark: SparkSession, spec: BronzeSpec, layout: Layout) -> DataFrame:
     """The completed commits of a raw table."""
     upto = position(spark, layout, "bronze", spec.name)
@@ -195,7 +226,8 @@ def promote(
         commits = read_table(spark, layout.table("bronze", bronze.name), bronze_schema(bronze))
         feed = change_range(commits, after, upto)
         run.rows_read = feed.count()
-        rows = conform_columns(with_silver_metadata(feed, created=True, now=now), spec.columns)
+        stamped = with_silver_metadata(feed, created=True, now=now)
+        rows = conform_to_contract(stamped, spec.columns)
         if spec.load in ("cdc_history", "append_dedup"):
             _append(spark, spec, rows, layout, after, upto, run, options)
         else:
@@ -213,7 +245,7 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
         run.version = batch_id
 
     stream = read_table_stream(
-        spark, layout.table("bronze", bronze.name), bronze_schema(bronze)
+        spark, layout.table("bronze", bronze.name), bronze_schema(bronze), **spec.read_options
     )
     query = sink.append_stream(
         streaming_append(stream, spec, now, **options),

@@ -76,7 +76,7 @@ class BronzeSpec:
     partition_cols: tuple[str, ...] = ()
     merge_schema: bool = True
     clustered: bool = False  # gather partition values before writing: fewer files, one shuffle
-    read_options: Mapping[str, str] = field(default_factory=dict)
+    read_options: Mapping[str, str] = field(default_factory=dict)  # e.g. maxBytesPerTrigger
 
     @classmethod
     def from_config(cls, entry: Mapping) -> BronzeSpec:
@@ -109,6 +109,7 @@ class SilverSpec:
     partition_cols: tuple[str, ...] = ()
     clustered: bool = True  # gather partition values before writing: fewer files, one shuffle
     buckets: int | None = None  # keep merged state hash-distributed by key in a catalog table
+    read_options: Mapping[str, str] = field(default_factory=dict)  # of the raw table as a stream
 
     def __post_init__(self):
         if self.load not in LOADS:

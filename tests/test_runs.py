@@ -11,7 +11,15 @@ from strataflow.operators import control
 from strataflow.operators.audit import batch_audit, table_row_counts
 from strataflow.plans import refresh
 from strataflow.plans.datasets import bronze_datasets, silver_datasets
-from strataflow.plans.refresh import Layout, full_refresh, ingest, promote, read_bronze, read_silver
+from strataflow.plans.refresh import (
+    Layout,
+    full_refresh,
+    ingest,
+    promote,
+    read_bronze,
+    read_silver,
+    start_ingest,
+)
 from strataflow.sinks.tables import append_batch
 from strataflow.spec import BronzeSpec, RangeRule, SilverSpec, build_schema, columns
 
@@ -123,6 +131,40 @@ def test_append_plan_does_not_change_the_result(spark, tmp_path, fits, monkeypat
         (1, 1), (None, 1), (None, 1), (1, 2), (2, 1))
 
 
+def test_continuous_ingest_logs_each_commit(spark, tmp_path):
+    layout = Layout(f"{tmp_path}/lake")
+    spec = BronzeSpec("orders", "json", columns=ORDER, landing=f"{tmp_path}/in")
+    first = spark.createDataFrame([(1, "I", 1), (2, "I", 1)], build_schema(ORDER))
+    first.coalesce(1).write.json(f"{tmp_path}/in")
+    query = start_ingest(spark, spec, layout, trigger={"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+        promote(spark, silver(), spec, layout)
+        assert query.isActive
+        second = spark.createDataFrame([(2, "U", 2)], build_schema(ORDER))
+        second.coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        query.processAllAvailable()
+        run = promote(spark, silver(), spec, layout)
+    finally:
+        query.stop()
+    assert (run.rows_read, run.version) == (1, 1)
+    assert rows(read_silver(spark, silver(), layout), "order_id", "op_type") == bag(
+        (1, "I"), (2, "U"))
+
+
+def test_declared_types_and_absent_columns(spark, tmp_path):
+    """The refined table has every declared column, in its declared type."""
+    layout = Layout(str(tmp_path))
+    commit(spark, layout, 0, (1, "I", 1))
+    spec = replace(silver(), columns=columns(
+        "order_id string, op_type string, sequence_num integer, unit string"), keys=("order_id",))
+    promote(spark, spec, BRONZE, layout)
+    got = read_silver(spark, spec, layout)
+    assert got.dtypes == [("order_id", "string"), ("op_type", "string"), ("sequence_num", "int"),
+                          ("unit", "string")]
+    assert rows(got) == bag(("1", "I", 1, None))
+
+
 # --- the control log
 
 
