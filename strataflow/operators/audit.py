@@ -41,12 +41,14 @@ def batch_audit(
     rules: Iterable[RangeRule] = (),
     event_col: str | None = None,
     delay: str = "10 minutes",
+    lag: int = 2,
 ) -> DataFrame:
     """What a range-filtered, watermarked, deduplicated append makes of each ``_batch_id``.
 
     One row per commit: rows read; rejected by the range rules; late, when ``event_col`` is given;
-    duplicates of a key accepted before; and rows written. A commit is judged late against the
-    newest accepted event time two commits before, as Structured Streaming does.
+    duplicates of a key accepted before; and rows written. Rows are late against the newest accepted
+    event time ``lag`` commits back: 2 for the batches of one stream run, 1 when every commit is
+    drained by a run of its own (which ends by advancing the watermark).
 
     Duplicates are counted from the first commit of each key, a plain aggregation that combines
     map-side; no window ever gathers the copies of a key.
@@ -61,8 +63,9 @@ def batch_audit(
     )
     accepted = rows.filter("_passes")
     if event_col:
-        seen = Window.orderBy("_batch_id").rowsBetween(Window.unboundedPreceding, -2)
-        horizon = F.max("_newest").over(seen) - F.expr(f"INTERVAL {delay}")
+        seen = Window.orderBy("_batch_id").rowsBetween(Window.unboundedPreceding, -lag)
+        newest = F.date_trunc("millisecond", F.max("_newest").over(seen))  # a watermark's precision
+        horizon = newest - F.expr(f"INTERVAL {delay}")
         # One row per commit; kept off the wire of the join unless there are very many commits.
         marks = per_batch.select("_batch_id", horizon.alias("_horizon"))
         accepted = accepted.join(broadcast_if_small(marks), "_batch_id").withColumn(

@@ -230,10 +230,15 @@ def insert_if_absent(
     if contested is not None:
         clear = keyed.join(F.broadcast(contested), names, "left_anti")
         keyed = keyed.join(F.broadcast(contested), names, "left_semi")
+    held = None if table is None else table.select(*[_q(k) for k in keys])
     if within_feed == "distinct":
         keyed = latest_per_key(keyed.select(*[_q(c) for c in feed.columns]), keys)
-    if table is not None:
-        keyed = keyed.join(table.select(*[_q(k) for k in keys]), names, "left_anti")
+        # Likewise, a key the table holds very often crosses the wire once per map task.
+        held = None if held is None else held.distinct()
+    # With "keep" a key may stay frequent in the feed: both sides of the join are then plain
+    # exchanges, which is what lets AQE split the partition that key falls into.
+    if held is not None:
+        keyed = keyed.join(held, names, "left_anti")
     parts = [p for p in (clear, keyed, loose) if p is not None]
     return reduce(DataFrame.unionByName, parts).select(*[_q(c) for c in feed.columns])
 

@@ -513,6 +513,52 @@ def stream_dedup_within_watermark(spark, sf_dir):
     return _drained(spark, stream_dedup(stream, ["event_id"], bounded=True)).select(*READINGS)
 
 
+def _topic(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """Records of the Kafka row schema as a stream."""
+    path = scratch_dir(spark, "topic")
+    records.write.parquet(path)
+    return spark.readStream.schema(records.schema).parquet(path)
+
+
+@query("""
+SELECT 'events' AS _kafka_topic, CAST(event_id % 4 AS INTEGER) AS _kafka_partition,
+       event_id AS _kafka_offset, CAST(user_id AS VARCHAR) AS _kafka_key, props AS _raw_value,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events
+""")
+def topic_to_bronze(spark, sf_dir):
+    spec = BronzeSpec("events", "json", "streaming", columns("k long"), topic="events",
+                      partition_cols=("_ingested_date",))
+    layout = refresh.Layout(scratch_dir(spark, "lake"))
+    stream = _topic(spark, derive(spark, sf_dir, fx.KAFKA_ROWS))
+    refresh.ingest(spark, spec, layout, stream)
+    rows = refresh.read_bronze(spark, spec, layout)
+    return rows.select("_kafka_topic", "_kafka_partition", "_kafka_offset", "_kafka_key",
+                       "_raw_value", "k")
+
+
+@query(DISTINCT_READINGS)
+def topic_to_silver(spark, sf_dir):
+    """JSON events with text times: topic, raw table, refined table."""
+    events = derive(spark, sf_dir, fx.SENSOR_EVENTS).withColumn(
+        "event_ts", F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    records = events.select(
+        F.lit("sensors").alias("topic"), F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"), F.current_timestamp().alias("timestamp"),
+        F.col("field_id").cast("binary").alias("key"),
+        F.to_json(F.struct(*[c for c, _ in SENSOR_COLUMNS])).cast("binary").alias("value"))
+    raw_columns = tuple((n, "string" if n == "event_ts" else k) for n, k in SENSOR_COLUMNS)
+    bronze = BronzeSpec("sensors", "json", "streaming", raw_columns, topic="sensors",
+                        partition_cols=("_ingested_date", "field_id"), clustered=True)
+    silver = SilverSpec("sensor_reads", "streaming_append", "sensors", ("event_id",),
+                        SENSOR_COLUMNS, order_col="event_ts", rules=READING_RULES,
+                        partition_cols=("field_id",))
+    layout = refresh.Layout(scratch_dir(spark, "lake"))
+    refresh.ingest(spark, bronze, layout, _topic(spark, records))
+    refresh.promote(spark, silver, bronze, layout)
+    return refresh.read_silver(spark, silver, layout).select(*READINGS)
+
+
 # --- Runs ---------------------------------------------------------------------------------------
 
 TABLES = (
@@ -533,31 +579,40 @@ UNION ALL
 SELECT event_id, ts, value, CAST(floor((event_id % 16) / 4.0) AS BIGINT)
 FROM {events} WHERE event_id % 4 = 0
 """
+
+
+def audit_ctes(lag: int) -> str:
+    """Rows of each commit, accepted ones marked late or not, and the first commit of each key."""
+    return f"""
+    WITH rows_in AS (SELECT *, reading >= 5 AND reading <= 60 AS passes
+                     FROM ({as_sql(AUDIT_EVENTS)})),
+    per_batch AS (
+        SELECT _batch_id, count(*) AS n, count(*) FILTER (NOT passes) AS rejected,
+               max(event_ts) FILTER (passes) AS newest
+        FROM rows_in GROUP BY _batch_id),
+    marks AS (
+        SELECT *, date_trunc('milliseconds', max(newest) OVER (
+                      ORDER BY _batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND {lag} PRECEDING))
+                  - INTERVAL 20 DAY AS horizon
+        FROM per_batch),
+    accepted AS (
+        SELECT r.event_id, r._batch_id, coalesce(r.event_ts <= m.horizon, false) AS late
+        FROM rows_in r JOIN marks m USING (_batch_id) WHERE r.passes),
+    firsts AS (
+        SELECT event_id, min(_batch_id) AS _batch_id FROM accepted WHERE NOT late GROUP BY 1)
+    """
+
+
 AUDIT_SQL = f"""
-WITH rows_in AS (SELECT *, reading >= 5 AND reading <= 60 AS passes
-                 FROM ({as_sql(AUDIT_EVENTS)})),
-per_batch AS (
-    SELECT _batch_id, count(*) AS n, count(*) FILTER (NOT passes) AS rejected,
-           max(event_ts) FILTER (passes) AS newest
-    FROM rows_in GROUP BY _batch_id),
-marks AS (
-    SELECT *, max(newest) OVER (ORDER BY _batch_id
-                                ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
-              - INTERVAL 20 DAY AS horizon
-    FROM per_batch),
-accepted AS (
-    SELECT r.event_id, r._batch_id, coalesce(r.event_ts <= m.horizon, false) AS late
-    FROM rows_in r JOIN marks m USING (_batch_id) WHERE r.passes),
-firsts AS (SELECT event_id, min(_batch_id) AS _batch_id FROM accepted WHERE NOT late GROUP BY 1),
-counts AS (
+{audit_ctes(2)}
+SELECT _batch_id, rows_read, rows_rejected, rows_late,
+       rows_read - rows_rejected - rows_late - rows_written AS rows_duplicate, rows_written
+FROM (
     SELECT m._batch_id, m.n AS rows_read, m.rejected AS rows_rejected,
            (SELECT count(*) FROM accepted a WHERE a.late AND a._batch_id = m._batch_id)
                AS rows_late,
            (SELECT count(*) FROM firsts f WHERE f._batch_id = m._batch_id) AS rows_written
     FROM marks m)
-SELECT _batch_id, rows_read, rows_rejected, rows_late,
-       rows_read - rows_rejected - rows_late - rows_written AS rows_duplicate, rows_written
-FROM counts
 """
 
 
@@ -604,6 +659,24 @@ def last_processed(spark, sf_dir):
     return control.last_processed(derive(spark, sf_dir, fx.CONTROL_LOG), "silver.click")
 
 
+@query(f"{audit_ctes(1)} SELECT event_id FROM firsts")
+def stream_late_rows(spark, sf_dir):
+    """Commits drained one by one: rows behind the watermark never reach the refined table."""
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "out")
+    checkpoint = scratch_dir(spark, "checkpoint")
+    events = derive(spark, sf_dir, AUDIT_EVENTS)
+    events = events.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    cols = columns("event_id long, event_ts timestamp, reading double")
+    spec = SilverSpec("reads", "streaming_append", "raw", ("event_id",), cols,
+                      order_col="event_ts", delay="20 days", rules=READING_RULES)
+    for number in range(4):
+        sink.append_batch(events.filter(F.col(BATCH) == number), raw, number)
+        stream = source.read_table_stream(spark, raw, build_schema(cols))
+        staged = streaming_append(stream, spec)
+        sink.append_stream(staged, out, checkpoint).awaitTermination()
+    return read_table(spark, out, build_schema(cols)).select("event_id")
+
+
 ORDERS_BRONZE = BronzeSpec("orders", "json", columns=CDC_COLUMNS)
 ORDERS_SILVER = SilverSpec("orders_current", "cdc_merge", "orders", ("order_id",), CDC_COLUMNS)
 

@@ -237,6 +237,32 @@ def test_uncontested_rows_are_not_shuffled(spark, tmp_path):
     assert "LeftAnti" in clear and "Exchange hashpartitioning" not in clear
 
 
+def test_frequent_key_is_split_when_all_copies_are_kept(spark, tmp_path):
+    spark.range(0, 400_000, 1, 8).selectExpr(
+        "CAST(IF(id % 3 = 0, -1, id) AS int) k", "uuid() v", "1 w").write.parquet(
+        f"{tmp_path}/feed")
+    feed = spark.read.parquet(f"{tmp_path}/feed")
+    held = make(spark, [(5, "t", 1)])
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        kept = merge.insert_if_absent(held, feed, ["k"], "keep")
+        assert len(kept.collect()) == 400_000 - 1
+        assert "skew=true" in plan(kept)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_fits_broadcast_measures(spark):
     df = spark.range(100).withColumn("s", F.repeat(F.lit("x"), 1000))
     assert fits_broadcast(df)
