@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from ..spec import Columns, build_schema
 
 # File naming of captured images and the envelope of raw events.
-BASENAME = r"([^/]+)$"
 IMAGE_NAME = r"img_([^_]+(?:_[^_]+)*)_(\d{8})_(\d+)\.jpg"
 ENVELOPE = (
     "_ingested_at",
@@ -50,7 +49,7 @@ def image_name_fields(path: Column) -> list[Column]:
 
     A name that does not match gives '' and nulls; so does an impossible date or number.
     """
-    name = F.regexp_extract(path, BASENAME, 1)
+    name = F.substring_index(path, "/", -1)
     return [
         F.regexp_extract(name, IMAGE_NAME, 1).alias("_field_id"),
         F.try_to_date(F.regexp_extract(name, IMAGE_NAME, 2), "yyyyMMdd").alias("_capture_date"),

@@ -62,7 +62,8 @@ def upsert(
     in inserted rows.
 
     The default plan is one full outer join; it reuses the partitioning ``latest_per_key`` already
-    made, so only ``state`` is exchanged. ``small_feed`` (pass it only after
+    made, so only ``state`` is exchanged. A ``state`` stored distributed by key is not exchanged
+    when the reduced feed is read from a table, which leaves its distribution open. ``small_feed`` (pass it only after
     ``size.fits_broadcast(staged)``) broadcasts the feed instead and never shuffles ``state``.
 
     ``applied`` observes the number of inserted and replaced rows as ``rows`` without another scan.
@@ -207,6 +208,12 @@ def contested_keys(
     return both.filter("_fed > 1 OR (_fed = 1 AND _held = 1)").select(*names)
 
 
+def distinct_keys(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key; rows with a null in the key are not alike and all stay."""
+    keyed = latest_per_key(feed.filter(~_any_null(keys)), keys)
+    return keyed.unionByName(feed.filter(_any_null(keys)))
+
+
 def insert_if_absent(
     table: DataFrame | None,
     feed: DataFrame,
@@ -217,8 +224,11 @@ def insert_if_absent(
     """The feed rows to append: those whose key ``table`` does not hold.
 
     ``within_feed="distinct"`` also keeps one row per key within the feed; ``"keep"`` appends all
-    its copies. Rows with a null in the key match nothing and are all appended; they skip the join,
-    where they would meet in one partition.
+    its copies; ``"reduced"`` says that ``distinct_keys`` has been applied. A ``table`` stored
+    distributed by key is not shuffled when the reduced feed is read from a table.
+
+    Rows with a null in the key match nothing and are all appended; they skip the join, where they
+    would meet in one partition.
 
     ``contested`` (from ``contested_keys``, measured with ``size.fits_broadcast``) selects a plan
     for wide rows: all uncontested rows pass straight through and only contested ones are shuffled.
@@ -230,14 +240,15 @@ def insert_if_absent(
     if contested is not None:
         clear = keyed.join(F.broadcast(contested), names, "left_anti")
         keyed = keyed.join(F.broadcast(contested), names, "left_semi")
-    held = None if table is None else table.select(*[_q(k) for k in keys])
     if within_feed == "distinct":
         keyed = latest_per_key(keyed.select(*[_q(c) for c in feed.columns]), keys)
-        # Likewise, a key the table holds very often crosses the wire once per map task.
-        held = None if held is None else held.distinct()
-    # With "keep" a key may stay frequent in the feed: both sides of the join are then plain
-    # exchanges, which is what lets AQE split the partition that key falls into.
-    if held is not None:
+    if table is not None:
+        held = table.select(*[_q(k) for k in keys])
+        if within_feed != "keep":
+            # A key the table holds very often crosses the wire once per map task.
+            held = held.distinct()
+        # With "keep" a key may be frequent in the feed: both sides of the join are then plain
+        # exchanges, which is what lets AQE split the partition that key falls into.
         keyed = keyed.join(held, names, "left_anti")
     parts = [p for p in (clear, keyed, loose) if p is not None]
     return reduce(DataFrame.unionByName, parts).select(*[_q(c) for c in feed.columns])

@@ -69,26 +69,33 @@ def _event_time_typed(cols):
 
 
 def silver_datasets() -> dict[str, SilverSpec]:
-    """Refined tables, one per load pattern in use."""
+    """Refined tables, one per load pattern in use.
+
+    Only the streamed tables gather partition values before writing. The current-state tables have
+    few of them, and the appended ones are fed from raw tables already laid out that way.
+    """
     specs = [
         SilverSpec(
             "product_current", "full_merge", "product_catalog", ("product_id",),
             PRODUCT + STATE_STAMPS, order_col="effective_ts", partition_cols=("category",),
+            clustered=False,
         ),
         SilverSpec(
             "inventory_current", "incremental_replace", "inventory", ("warehouse_id", "sku"),
             INVENTORY + STATE_STAMPS, order_col="snapshot_ts", partition_cols=("warehouse_id",),
+            clustered=False,
         ),
         SilverSpec(
             "orders_current", "cdc_merge", "orders_cdc", ("order_id",),
             ORDER_EVENT + STATE_STAMPS, order_col="op_ts", partition_cols=("sales_channel",),
+            clustered=False,
         ),
         SilverSpec(
             "orders_history", "cdc_history", "orders_cdc", ("order_id", "sequence_num"),
             ORDER_EVENT + columns(
                 "_ingested_date date, _silver_created_at timestamp, _source_file string"
             ),
-            order_col="op_ts", partition_cols=("_ingested_date",),
+            order_col="op_ts", partition_cols=("_ingested_date",), clustered=False,
         ),
         SilverSpec(
             "field_images", "append_dedup", "field_images", ("_source_file",),
@@ -97,7 +104,7 @@ def silver_datasets() -> dict[str, SilverSpec]:
                 "_file_size_bytes long, _source_modified_at timestamp, content binary, "
                 "_silver_created_at timestamp"
             ),
-            partition_cols=("_field_id", "_capture_date"),
+            partition_cols=("_field_id", "_capture_date"), clustered=False,
         ),
         SilverSpec(
             "sensor_reads", "streaming_append", "sensors", ("sensor_event_id",),

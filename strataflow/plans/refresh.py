@@ -31,7 +31,7 @@ from ..operators.latest import latest_per_key
 from ..operators.size import fits_broadcast
 from ..sinks import tables as sink
 from ..sources.landing import files_dated, read_landing, read_landing_stream
-from ..sources.tables import BATCH, change_range, read_table, read_table_stream
+from ..sources.tables import BATCH, change_range, read_commits, read_table, read_table_stream
 from ..spec import BronzeSpec, SilverSpec, build_schema, columns
 from ..session import scratch_dir
 from ..streaming.append import streaming_append
@@ -197,8 +197,10 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFr
     """A refined table as of its last completed run."""
     path, schema = layout.table("silver", spec.name), build_schema(spec.columns)
     upto = position(spark, layout, "silver", spec.name)
-    if spec.load in ("cdc_history", "append_dedup", "streaming_append"):
+    if spec.load == "streaming_append":
         return change_range(read_table(spark, path, schema), None, upto).drop(BATCH)
+    if spec.load in ("cdc_history", "append_dedup"):
+        return _history(spark, spec, layout, upto)
     return _state(spark, spec, layout, upto)
 
 
@@ -223,8 +225,8 @@ def promote(
         run.version = upto
         if upto is None or upto == after:
             return run
-        commits = read_table(spark, layout.table("bronze", bronze.name), bronze_schema(bronze))
-        feed = change_range(commits, after, upto)
+        feed = read_commits(
+            spark, layout.table("bronze", bronze.name), bronze_schema(bronze), after, upto)
         run.rows_read = feed.count()
         stamped = with_silver_metadata(feed, created=True, now=now)
         rows = conform_to_contract(stamped, spec.columns)
@@ -261,31 +263,51 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
 
 def _append(spark, spec, rows, layout, after, upto, run, options) -> None:
     path = layout.table("silver", spec.name)
-    table = None
-    if after is not None:
-        held = read_table(spark, path, build_schema(spec.columns))
-        table = change_range(held, None, after).drop(BATCH)
-    # Usually few keys clash. Find them on key columns alone; if they prove few, the (possibly
-    # very wide) rows are not shuffled at all.
-    clash = scratch_dir(spark, "contested")
-    fed_keys = rows.select(*[F.col(f"`{k}`") for k in spec.keys])
-    merge.contested_keys(
-        table, rows, spec.keys, small_feed=table is not None and fits_broadcast(fed_keys)
-    ).write.parquet(clash)
-    contested = spark.read.schema(fed_keys.schema).parquet(clash)
-    fresh = merge.insert_if_absent(
-        table, rows, spec.keys,
-        contested=contested if fits_broadcast(contested) else None,
-        **options,
-    )
+    table = None if after is None else _history(spark, spec, layout, after)
+    if spec.buckets:
+        if options.get("within_feed", "distinct") == "distinct":
+            reduced = scratch_dir(spark, "staged")
+            merge.distinct_keys(rows, spec.keys).write.parquet(reduced)
+            rows = spark.read.schema(rows.schema).parquet(reduced)
+            options = {**options, "within_feed": "reduced"}
+        fresh = merge.insert_if_absent(table, rows, spec.keys, **options)
+    else:
+        # Usually few keys clash. Find them on key columns alone; if they prove few, the (possibly
+        # very wide) rows are not shuffled at all.
+        clash = scratch_dir(spark, "contested")
+        fed_keys = rows.select(*[F.col(f"`{k}`") for k in spec.keys])
+        small = table is not None and fits_broadcast(fed_keys)
+        merge.contested_keys(table, rows, spec.keys, small_feed=small).write.parquet(clash)
+        contested = spark.read.schema(fed_keys.schema).parquet(clash)
+        fresh = merge.insert_if_absent(
+            table, rows, spec.keys,
+            contested=contested if fits_broadcast(contested) else None,
+            **options,
+        )
     seen = Observation()
-    sink.append_batch(
-        fresh.observe(seen, F.count(F.lit(1)).alias("rows")),
-        path, upto, spec.partition_cols, spec.clustered,
-    )
+    fresh = fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if spec.buckets:
+        # A table cannot replace a commit while it is being read: the new rows wait next to it.
+        staged = scratch_dir(spark, "fresh")
+        fresh.write.parquet(staged)
+        fresh = spark.read.schema(rows.schema).parquet(staged)
+        sink.append_bucketed(fresh, sink.bucketed_name(spec.name, path), path, upto,
+                             (spec.buckets, spec.keys))
+    else:
+        sink.append_batch(fresh, path, upto, spec.partition_cols, spec.clustered)
     run.rows_written = seen.get.get("rows", 0)
 
 
+def _history(spark: SparkSession, spec: SilverSpec, layout: Layout, upto: int) -> DataFrame:
+    path, schema = layout.table("silver", spec.name), build_schema(spec.columns)
+    if spec.buckets:
+        held = sink.open_bucketed(spark, sink.bucketed_name(spec.name, path), path, schema,
+                                  (spec.buckets, spec.keys), commits=True)
+    else:
+        held = read_table(spark, path, schema)
+    return change_range(held, None, upto).drop(BATCH)
+
+
 def _merge(spark, spec, rows, layout, after, upto, run, options) -> None:
     state = None if after is None else _state(spark, spec, layout, after)
     # Reduce the feed once and keep the result: every plan below reads it as a plain table, whose
@@ -324,7 +346,7 @@ def _state(spark: SparkSession, spec: SilverSpec, layout: Layout, version: int)
     location = f"{path}/v={version}"
     return sink.open_bucketed(
         spark, sink.bucketed_name(spec.name, location), location, build_schema(spec.columns),
-        spec.buckets, spec.keys)
+        (spec.buckets, spec.keys))
 
 
 def full_refresh(

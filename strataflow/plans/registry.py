@@ -228,10 +228,13 @@ def cdc_merge_buckets(spark, sf_dir):
 def cdc_merge_saved_table(spark, sf_dir):
     """State registered as a catalog table bucketed by key: the merge shuffles only the feed."""
     feed, path = derive(spark, sf_dir, fx.ORDERS_CDC), scratch_dir(spark, "table")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
+    name, reduced = sink.bucketed_name("orders", path), scratch_dir(spark, "staged")
     state = merge.cdc_merge(None, feed.filter("sequence_num = 1"), ["order_id"])
     sink.save_as_table(state, name, path, bucket_by=(8, ["order_id"]))
-    return merge.cdc_merge(spark.table(name), feed.filter("sequence_num > 1"), ["order_id"])
+    changes = feed.filter("sequence_num > 1")
+    latest.latest_per_key(changes, ["order_id"], "sequence_num").write.parquet(reduced)
+    staged = spark.read.parquet(reduced)
+    return merge.cdc_merge(spark.table(name), staged, ["order_id"], reduced=True)
 
 
 @query(as_sql(fx.ORDERS_CDC))
@@ -270,6 +273,19 @@ def insert_if_absent_wide(spark, sf_dir):
         held, fed, keys, contested=contested if fits_broadcast(contested) else None)
 
 
+@query(INSERTED)
+def insert_if_absent_bucketed(spark, sf_dir):
+    """The table is stored distributed by key; only the feed is shuffled."""
+    feed, bucket_by = derive(spark, sf_dir, fx.ORDERS_CDC), (8, ["order_id"])
+    path = scratch_dir(spark, "table")
+    name = sink.bucketed_name("orders_history", path)
+    sink.append_bucketed(feed.filter("sequence_num = 1"), name, path, 0, bucket_by)
+    reduced = scratch_dir(spark, "staged")
+    merge.distinct_keys(feed.filter("sequence_num > 1"), ["order_id"]).write.parquet(reduced)
+    return merge.insert_if_absent(
+        spark.table(name), spark.read.parquet(reduced), ["order_id"], within_feed="reduced")
+
+
 @query(f"SELECT DISTINCT name FROM ({as_sql(fx.IMAGE_NAMES_SQL)})")
 def append_dedup(spark, sf_dir):
     names = derive(spark, sf_dir, fx.IMAGE_NAMES_SPARK)
@@ -432,7 +448,7 @@ def binary_file_scan(spark, sf_dir):
                       read_options={"pathGlobFilter": "*.parquet"})
     out = scratch_dir(spark, "files")
     stream = read_landing_stream(spark, spec).select(
-        F.regexp_extract("path", enrich.BASENAME, 1).alias("file_name"),
+        F.substring_index("path", "/", -1).alias("file_name"),
         F.col("length").alias("file_size_bytes"),
     )
     sink.append_stream(stream, out, scratch_dir(spark, "checkpoint")).awaitTermination()
@@ -712,6 +728,13 @@ def promote_history(spark, sf_dir):
     return refresh.read_silver(spark, spec, _promoted(spark, sf_dir, spec))
 
 
+@query(as_sql(fx.ORDERS_CDC))
+def promote_history_bucketed(spark, sf_dir):
+    spec = SilverSpec("orders_history", "cdc_history", "orders", ("order_id", "sequence_num"),
+                      CDC_COLUMNS, buckets=8)
+    return refresh.read_silver(spark, spec, _promoted(spark, sf_dir, spec))
+
+
 @query(CDC_COLD)
 def full_refresh(spark, sf_dir):
     """A rebuild reads all commits at once, so a key deleted in between never appears."""

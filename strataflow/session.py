@@ -23,10 +23,23 @@ RECOMMENDED = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the recommended runtime settings to a session."""
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, largest_shuffle: int | None = None) -> SparkSession:
+    """Apply the recommended runtime settings to a session.
+
+    ``largest_shuffle`` is the size in bytes of the largest exchange expected, for instance the
+    state of the largest table merged without buckets. AQE merges small shuffle partitions but does
+    not split evenly large ones, so batch exchanges start with enough of them. The partitions of
+    streaming state are a matter of ``spark.sql.shuffle.partitions`` and stay as they are.
+    """
     for key, value in RECOMMENDED.items():
         spark.conf.set(key, value)
+    if largest_shuffle:
+        base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(base, -(-largest_shuffle // PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
     return spark
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import CREATED
-from ..sources.tables import BATCH
+from ..sources.tables import BATCH, with_batch_column
 
 BUCKET = "_bucket"
 
@@ -139,20 +139,56 @@ def bucketed_name(label: str, path: str) -> str:
     return f"{label}_{hashlib.md5(path.encode()).hexdigest()[:12]}"
 
 
+def _register(spark, table, path, schema, bucket_by, commits) -> bool:
+    """Make a key-distributed table known to the catalog; false if it already was."""
+    if spark.catalog.tableExists(table):
+        return False
+    n, keys = bucket_by
+    schema = with_batch_column(schema) if commits else schema
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE {table} ({cols}) USING parquet "
+        + (f"PARTITIONED BY ({BATCH}) " if commits else "")
+        + f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {n} BUCKETS LOCATION '{path}'"
+    )
+    return True
+
+
 def open_bucketed(
-    spark: SparkSession, table: str, path: str, schema: T.StructType, n: int, keys: Sequence[str]
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    bucket_by: tuple[int, Sequence[str]],
+    commits: bool = False,
 ) -> DataFrame:
-    """A key-distributed table; registered again if this session's catalog does not know it."""
-    if not spark.catalog.tableExists(table):
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        by = ", ".join(f"`{k}`" for k in keys)
-        spark.sql(
-            f"CREATE TABLE {table} ({cols}) USING parquet "
-            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {n} BUCKETS LOCATION '{path}'"
-        )
+    """A stored key-distributed table; registered again if this session does not know it.
+
+    ``commits`` is for tables written by ``append_bucketed``.
+    """
+    if _register(spark, table, path, schema, bucket_by, commits) and commits:
+        spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
+def append_bucketed(
+    df: DataFrame, table: str, path: str, batch_id: int, bucket_by: tuple[int, Sequence[str]]
+) -> None:
+    """Append ``df`` as commit ``batch_id`` of a key-distributed table; repeating replaces it."""
+    spark = df.sparkSession
+    n, keys = bucket_by
+    new = _register(spark, table, path, df.schema, bucket_by, commits=True)
+    cols = [F.col(f"`{c}`") for c in spark.table(table).columns if c != BATCH]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {int(batch_id)}) "
+        "SELECT * FROM {rows}",
+        rows=df.select(*cols).repartition(n, *keys),
+    )
+    if new:
+        spark.catalog.recoverPartitions(table)
+
+
 def append_evolving(a: DataFrame, b: DataFrame) -> DataFrame:
     """Bag union that accepts new columns; rows without them get null."""
     return a.unionByName(b, allowMissingColumns=True)

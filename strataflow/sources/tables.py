@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH = "_batch_id"
+LISTED_COMMITS = 1000
 
 
 def with_batch_column(schema: T.StructType) -> T.StructType:
@@ -29,12 +30,30 @@ def read_table(
     return spark.read.schema(with_batch_column(schema)).parquet(path)
 
 
+def read_commits(
+    spark: SparkSession, path: str, schema: T.StructType, after: int | None, upto: int
+) -> DataFrame:
+    """``change_range`` of a table on disk, where commit ``upto`` exists.
+
+    A short range names its commit folders, so that the files of all the others are not even
+    listed.
+    """
+    if after is None or upto - after > LISTED_COMMITS:
+        return change_range(read_table(spark, path, schema), after, upto)
+    numbers = ",".join(str(n) for n in range(after + 1, upto + 1))
+    reader = spark.read.schema(with_batch_column(schema)).option("basePath", path)
+    return reader.parquet(f"{path}/{BATCH}={{{numbers}}}")
+
+
 def read_table_stream(
     spark: SparkSession, path: str, schema: T.StructType, **options: str
 ) -> DataFrame:
-    """An appended table as a stream of the files committed since the checkpoint."""
-    reader = spark.readStream.schema(with_batch_column(schema)).options(**options)
-    return reader.parquet(path)
+    """An appended table as a stream of the files committed since the checkpoint.
+
+    A file can only vanish when its commit is replayed, and its rows then come in new files.
+    """
+    reader = spark.readStream.schema(with_batch_column(schema))
+    return reader.options(**{"ignoreMissingFiles": "true", **options}).parquet(path)
 
 
 def change_range(bronze: DataFrame, after: int | None, upto: int | None) -> DataFrame:

@@ -79,7 +79,7 @@ def test_commit_beyond_the_logged_one_waits(spark, tmp_path):
 
 @pytest.mark.parametrize("load, buckets", [
     ("full_merge", None), ("incremental_replace", None), ("cdc_merge", None), ("cdc_merge", 4),
-    ("cdc_history", None), ("append_dedup", None)])
+    ("cdc_history", None), ("cdc_history", 4), ("append_dedup", None)])
 def test_interrupted_run_can_be_repeated(spark, tmp_path, load, buckets, monkeypatch):
     """The table is written but the run is never logged; the next run gives the same table."""
     layout, spec = Layout(str(tmp_path)), silver(load, buckets=buckets)
@@ -118,10 +118,10 @@ def test_storage_and_plan_do_not_change_the_result(spark, tmp_path, buckets, fit
     assert read_silver(other, spec, layout).count() == len(want)
 
 
-@pytest.mark.parametrize("fits", [True, False])
-def test_append_plan_does_not_change_the_result(spark, tmp_path, fits, monkeypatch):
+@pytest.mark.parametrize("fits, buckets", [(True, None), (False, None), (True, 4)])
+def test_append_plan_does_not_change_the_result(spark, tmp_path, fits, buckets, monkeypatch):
     monkeypatch.setattr(refresh, "fits_broadcast", lambda df: fits)
-    layout, spec = Layout(str(tmp_path)), silver("cdc_history")
+    layout, spec = Layout(str(tmp_path)), silver("cdc_history", buckets=buckets)
     commit(spark, layout, 0, (1, "I", 1), (1, "I", 1), (None, "I", 1), (None, "I", 1))
     promote(spark, spec, BRONZE, layout)
     commit(spark, layout, 1, (1, "I", 1), (1, "U", 2), (2, "I", 1))

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import types as T
 
 from strataflow.plans.datasets import bronze_datasets, silver_datasets
+from strataflow.session import configure, scratch_dir, shared_dir
 from strataflow.spec import BronzeSpec, RangeRule, SilverSpec, build_schema, columns
 
 
@@ -45,3 +46,14 @@ def test_stock_datasets():
     names = {s.name: {c for c, _ in s.columns} for s in silver.values()}
     for spec in silver.values():
         assert set(spec.keys) | set(spec.partition_cols) <= names[spec.name]
+
+
+def test_session_settings(spark):
+    configure(spark, largest_shuffle=20 * 2**40)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert spark.conf.get(key) == "163840"
+    finally:
+        spark.conf.unset(key)
+    assert scratch_dir(spark, "x").startswith(shared_dir(spark))
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")

@@ -6,10 +6,11 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from strataflow.operators import merge
+from strataflow.operators.latest import latest_per_key
 from strataflow.sinks import tables as sink
 from strataflow.sources.kafka import kafka_options
 from strataflow.sources.landing import files_dated, read_landing, read_landing_stream
-from strataflow.sources.tables import change_range, current_version, read_table
+from strataflow.sources.tables import change_range, current_version, read_commits, read_table
 from strataflow.spec import BronzeSpec, build_schema, columns
 
 KV = columns("k long, v string")
@@ -92,6 +93,44 @@ def test_change_range_bounds_and_pruning(spark, tmp_path):
     assert scans_files(one) == 1
 
 
+def test_short_ranges_list_only_their_commits(spark, tmp_path):
+    for number in (0, 1, 2, 5):  # numbers may have gaps
+        sink.append_batch(kv(spark, (number, "a")).coalesce(1), f"{tmp_path}/t", number)
+    schema = build_schema(KV)
+    near = read_commits(spark, f"{tmp_path}/t", schema, 1, 5)
+    assert rows(near, "k", "_batch_id") == bag((2, 2), (5, 5))
+    assert len(near.inputFiles()) == 2
+    assert rows(read_commits(spark, f"{tmp_path}/t", schema, None, 2), "k") == bag((0,), (1,), (2,))
+    assert rows(read_commits(spark, f"{tmp_path}/t", schema, -5000, 1), "k") == bag((0,), (1,))
+
+
+def test_commits_of_a_bucketed_table(spark, tmp_path):
+    table, path, by = "bucketed_commits", f"{tmp_path}/t", (4, ["k"])
+    sink.append_bucketed(kv(spark, *[(i, "a") for i in range(50)]), table, path, 0, by)
+    sink.append_bucketed(kv(spark, (1, "half")), table, path, 1, by)
+    sink.append_bucketed(kv(spark, (60, "b"), (61, "b")), table, path, 1, by)  # repeated commit
+    assert spark.table(table).count() == 52
+    spark.sql(f"DROP TABLE {table}")
+    held = sink.open_bucketed(spark, table, path, build_schema(KV), by, commits=True)
+    assert held.count() == 52 and held.filter("_batch_id = 1").count() == 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")  # not the number of buckets
+    try:
+        feed = kv(spark, (60, "c"), (70, "c"), (70, "d"), (None, "n"))
+        merge.distinct_keys(feed, ["k"]).write.parquet(f"{tmp_path}/feed")
+        fresh = merge.insert_if_absent(
+            held.drop("_batch_id"), spark.read.parquet(f"{tmp_path}/feed"), ["k"], "reduced")
+        assert rows(fresh) == bag((70, "d"), (None, "n"))
+        fresh.collect()
+        text = plan(fresh).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    # One exchange, of the feed.
+    assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+
+
 def test_commit_is_repeatable(spark, tmp_path):
     sink.append_batch(kv(spark, (1, "half")), f"{tmp_path}/t", 0)
     sink.append_batch(kv(spark, (1, "a"), (2, "b")), f"{tmp_path}/t", 0)
@@ -143,15 +182,23 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
 def test_saved_table_merges_without_moving_the_state(spark, tmp_path):
     state = spark.range(1000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
     sink.save_as_table(state, "saved_state", f"{tmp_path}/t", bucket_by=(8, ["k"]))
-    feed = kv(spark, (1, "new"), (5000, "new"))
+    latest_per_key(kv(spark, (1, "new"), (5000, "new")), ["k"], "v").write.parquet(
+        f"{tmp_path}/feed")
+    feed = spark.read.parquet(f"{tmp_path}/feed")
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = merge.incremental_replace(spark.table("saved_state"), feed, ["k"], "v")
-        assert merged.count() == 1001
-        text = plan(merged)
+        for n in (4, 8, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            merged = merge.incremental_replace(
+                spark.table("saved_state"), feed, ["k"], "v", reduced=True)
+            assert len(merged.collect()) == 1001
+            text = plan(merged).split("Initial Plan")[0]
+            assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+            assert "ShuffledHashJoin" in text  # the state is not sorted either
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
 
 
 def test_saved_table_partitioned_at_a_location(spark, tmp_path):
