@@ -1 +1 @@
-"""Declarative layered ingestion on Spark: landing files and event streams to raw and refined tables."""
+"""Layered ingestion on Spark: landing files and event streams to raw and refined tables."""

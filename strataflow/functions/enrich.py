@@ -15,33 +15,41 @@ from pyspark.sql import types as T
 
 from ..spec import Columns, build_schema
 
-# File naming of captured images and the envelope of raw events.
+# What the source columns are called in raw tables, and the naming of image files.
+FILE_FACTS = {
+    "_metadata.file_path": "_source_file",
+    "_metadata.file_modification_time": "_source_modified_at",
+}
+IMAGE_FACTS = {
+    "path": "_source_file",
+    "modificationTime": "_source_modified_at",
+    "length": "_file_size_bytes",
+}
+RECORD_FACTS = {
+    "topic": "_kafka_topic",
+    "partition": "_kafka_partition",
+    "offset": "_kafka_offset",
+    "timestamp": "_kafka_ts",
+}
+RECORD_TEXT = {"key": "_kafka_key", "value": "_raw_value"}
+INGEST_STAMPS = ("_ingested_at", "_ingested_date")
 IMAGE_NAME = r"img_([^_]+(?:_[^_]+)*)_(\d{8})_(\d+)\.jpg"
-ENVELOPE = (
-    "_ingested_at",
-    "_ingested_date",
-    "_kafka_topic",
-    "_kafka_partition",
-    "_kafka_offset",
-    "_kafka_ts",
-    "_kafka_key",
-    "_raw_value",
-)
+
+ENVELOPE = (*INGEST_STAMPS, *RECORD_FACTS.values(), *RECORD_TEXT.values())
 
 
 def _ingest_stamps(now: Column | None) -> list[Column]:
     now = F.current_timestamp() if now is None else now
-    return [now.alias("_ingested_at"), F.to_date(now).alias("_ingested_date")]
+    return [c.alias(name) for c, name in zip((now, F.to_date(now)), INGEST_STAMPS)]
+
+
+def _renamed(names: dict[str, str]) -> list[Column]:
+    return [F.col(source).alias(name) for source, name in names.items()]
 
 
 def with_file_metadata(df: DataFrame, now: Column | None = None) -> DataFrame:
     """Prepend ingest time, ingest date, source file and its modification time."""
-    return df.select(
-        *_ingest_stamps(now),
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_modification_time").alias("_source_modified_at"),
-        "*",
-    )
+    return df.select(*_ingest_stamps(now), *_renamed(FILE_FACTS), "*")
 
 
 def image_name_fields(path: Column) -> list[Column]:
@@ -59,27 +67,14 @@ def image_name_fields(path: Column) -> list[Column]:
 
 def with_image_metadata(df: DataFrame, now: Column | None = None) -> DataFrame:
     """Binary-file rows to image rows: stamps, file facts, name fields, content."""
-    return df.select(
-        *_ingest_stamps(now),
-        F.col("path").alias("_source_file"),
-        F.col("modificationTime").alias("_source_modified_at"),
-        F.col("length").alias("_file_size_bytes"),
-        *image_name_fields(F.col("path")),
-        "content",
-    )
+    facts = [*_ingest_stamps(now), *_renamed(IMAGE_FACTS)]
+    return df.select(*facts, *image_name_fields(F.col("path")), "content")
 
 
 def with_kafka_metadata(df: DataFrame, now: Column | None = None) -> DataFrame:
-    """Rows of the Kafka source schema to the raw-event envelope."""
-    return df.select(
-        *_ingest_stamps(now),
-        F.col("topic").alias("_kafka_topic"),
-        F.col("partition").alias("_kafka_partition"),
-        F.col("offset").alias("_kafka_offset"),
-        F.col("timestamp").alias("_kafka_ts"),
-        F.col("key").cast("string").alias("_kafka_key"),
-        F.col("value").cast("string").alias("_raw_value"),
-    )
+    """Rows of the Kafka source schema to the raw-event envelope; key and value become text."""
+    text = [F.col(source).cast("string").alias(name) for source, name in RECORD_TEXT.items()]
+    return df.select(*_ingest_stamps(now), *_renamed(RECORD_FACTS), *text)
 
 
 def select_metadata(ingest: str, fmt: str) -> Callable[..., DataFrame]:
@@ -97,8 +92,7 @@ def parse_json_value(df: DataFrame, columns: Columns) -> DataFrame:
     schema = build_schema(columns)
     if schema is None:
         return df
-    parsed = df.withColumn("_event", F.from_json("_raw_value", schema))
-    return parsed.select(*ENVELOPE, *[F.col(f"_event.`{n}`").alias(n) for n in schema.names])
+    return df.withColumn("_event", F.from_json("_raw_value", schema)).select(*ENVELOPE, "_event.*")
 
 
 def parse_failed(columns: Columns) -> Column:

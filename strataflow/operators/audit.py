@@ -59,7 +59,7 @@ def batch_audit(
     per_batch = rows.groupBy("_batch_id").agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(~F.col("_passes")).alias("rows_rejected"),
-        *([F.max(F.when(F.col("_passes"), F.col(event_col))).alias("_newest")] if event_col else []),
+        F.max(F.when(F.col("_passes"), F.col(event_col or "_batch_id"))).alias("_newest"),
     )
     accepted = rows.filter("_passes")
     if event_col:

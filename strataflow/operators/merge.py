@@ -63,8 +63,10 @@ def upsert(
 
     The default plan is one full outer join; it reuses the partitioning ``latest_per_key`` already
     made, so only ``state`` is exchanged. A ``state`` stored distributed by key is not exchanged
-    when the reduced feed is read from a table, which leaves its distribution open. ``small_feed`` (pass it only after
-    ``size.fits_broadcast(staged)``) broadcasts the feed instead and never shuffles ``state``.
+    when the reduced feed is read from a table, which leaves its distribution open.
+
+    ``small_feed`` (pass it only after ``size.fits_broadcast(staged)``) broadcasts the feed instead
+    and never shuffles ``state``.
 
     ``applied`` observes the number of inserted and replaced rows as ``rows`` without another scan.
     """
@@ -201,9 +203,8 @@ def contested_keys(
     if small_feed:
         clashing = held.join(F.broadcast(counted), list(keys), "left_semi").distinct()
         return clashing.union(counted.filter("_fed > 1").select(*names)).distinct()
-    marks = counted.withColumn("_held", F.lit(0)).unionByName(
-        held.filter(~_any_null(keys)).select(*names, F.lit(0).alias("_fed"), F.lit(1).alias("_held"))
-    )
+    known = held.filter(~_any_null(keys)).withColumns({"_fed": F.lit(0), "_held": F.lit(1)})
+    marks = counted.withColumn("_held", F.lit(0)).unionByName(known)
     both = marks.groupBy(*names).agg(F.sum("_fed").alias("_fed"), F.max("_held").alias("_held"))
     return both.filter("_fed > 1 OR (_fed = 1 AND _held = 1)").select(*names)
 

@@ -110,13 +110,19 @@ def position(spark: SparkSession, layout: Layout, layer: str, name: str) -> int
     return ctl.ledger_position(control, pipeline)
 
 
-def bronze_schema(spec: BronzeSpec) -> T.StructType:
-    """Columns of the raw table a spec produces."""
+def bronze_schema(spec: BronzeSpec) -> T.StructType | None:
+    """Columns of the raw table a spec produces; None when they follow from the files."""
     if spec.ingest == "streaming":
         return build_schema(TOPIC_STAMPS + spec.columns)
     if spec.format == "binaryFile":
         return build_schema(IMAGE_COLUMNS)
-    return build_schema(FILE_STAMPS + spec.columns)
+    return build_schema(FILE_STAMPS + spec.columns) if spec.columns else None
+
+
+def _source(spark: SparkSession, spec: BronzeSpec, given: DataFrame | None) -> DataFrame:
+    if given is None and spec.ingest == "streaming":
+        raise ValueError(f"{spec.name} is fed by a topic: pass its stream")
+    return read_landing_stream(spark, spec) if given is None else given
 
 
 def to_bronze(source: DataFrame, spec: BronzeSpec, now: Column | None = None) -> DataFrame:
@@ -144,7 +150,7 @@ def ingest(
             run.rows_written += rows
             run.version = batch_id
 
-        stream = read_landing_stream(spark, spec) if source is None else source
+        stream = _source(spark, spec, source)
         sink.append_stream(
             to_bronze(stream, spec, now),
             layout.table("bronze", spec.name),
@@ -174,7 +180,7 @@ def start_ingest(
         ctl.log_run(spark, layout.control, pipeline, spec.name, ctl.new_run_id(), ctl.SUCCESS,
                     rows, rows, str(batch_id))
 
-    stream = read_landing_stream(spark, spec) if source is None else source
+    stream = _source(spark, spec, source)
     return sink.append_stream(
         to_bronze(stream, spec, now),
         layout.table("bronze", spec.name),
@@ -246,9 +252,9 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
         run.rows_written += rows
         run.version = batch_id
 
-    stream = read_table_stream(
-        spark, layout.table("bronze", bronze.name), bronze_schema(bronze), **spec.read_options
-    )
+    path = layout.table("bronze", bronze.name)
+    schema = bronze_schema(bronze) or read_table(spark, path).schema
+    stream = read_table_stream(spark, path, schema, **spec.read_options)
     query = sink.append_stream(
         streaming_append(stream, spec, now, **options),
         layout.table("silver", spec.name),

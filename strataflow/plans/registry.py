@@ -115,7 +115,8 @@ WHERE reading >= 5 AND reading <= 60
 @query(f"WITH feed AS ({as_sql(fx.PRODUCT_FEED)}) "
        + latest_sql("feed", "product_id", *PRODUCT_ORDER))
 def latest_per_key(spark, sf_dir):
-    return latest.latest_per_key(derive(spark, sf_dir, fx.PRODUCT_FEED), ["product_id"], "effective_date")
+    feed = derive(spark, sf_dir, fx.PRODUCT_FEED)
+    return latest.latest_per_key(feed, ["product_id"], "effective_date")
 
 
 @query(f"""

@@ -1,4 +1,4 @@
-"""Topic source. Needs the Kafka connector package on the cluster; login options are the caller's."""
+"""Topic source. Needs the Kafka connector package; login options are the caller's."""
 
 from __future__ import annotations
 

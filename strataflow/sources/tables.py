@@ -31,14 +31,14 @@ def read_table(
 
 
 def read_commits(
-    spark: SparkSession, path: str, schema: T.StructType, after: int | None, upto: int
+    spark: SparkSession, path: str, schema: T.StructType | None, after: int | None, upto: int
 ) -> DataFrame:
     """``change_range`` of a table on disk, where commit ``upto`` exists.
 
     A short range names its commit folders, so that the files of all the others are not even
     listed.
     """
-    if after is None or upto - after > LISTED_COMMITS:
+    if schema is None or after is None or upto - after > LISTED_COMMITS:
         return change_range(read_table(spark, path, schema), after, upto)
     numbers = ",".join(str(n) for n in range(after + 1, upto + 1))
     reader = spark.read.schema(with_batch_column(schema)).option("basePath", path)

@@ -15,7 +15,10 @@ from ..spec import SilverSpec
 def with_watermark(
     stream: DataFrame, column: str = "event_ts", delay: str = "10 minutes"
 ) -> DataFrame:
-    """Accept rows up to ``delay`` behind the newest event time; text and zone-less times convert."""
+    """Accept rows up to ``delay`` behind the newest event time.
+
+    Text and zone-less times are turned into instants first.
+    """
     return parse_event_time(stream, column).withWatermark(column, delay)
 
 

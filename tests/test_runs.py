@@ -165,6 +165,28 @@ def test_declared_types_and_absent_columns(spark, tmp_path):
     assert rows(got) == bag(("1", "I", 1, None))
 
 
+def test_columns_found_in_the_files(spark, tmp_path):
+    """Nothing declared: the files' columns are taken, and later ones added."""
+    layout, folder = Layout(f"{tmp_path}/lake"), f"{tmp_path}/in"
+    spec = BronzeSpec("orders", "parquet", landing=folder)
+    spark.createDataFrame([(1, "I", 1)], build_schema(ORDER)).coalesce(1).write.parquet(folder)
+    ingest(spark, spec, layout)
+    promote(spark, silver(), spec, layout)
+    wider = spark.createDataFrame([(2, "I", 1, "x")], build_schema(ORDER + columns("note string")))
+    wider.coalesce(1).write.mode("append").parquet(folder)
+    ingest(spark, spec, layout)
+    promote(spark, silver(), spec, layout)
+    assert rows(read_bronze(spark, spec, layout), "order_id", "note") == bag((1, None), (2, "x"))
+    assert rows(read_silver(spark, silver(), layout), "order_id", "op_type") == bag(
+        (1, "I"), (2, "I"))
+
+
+def test_topics_need_a_stream(spark, tmp_path):
+    spec = BronzeSpec("sensors", "json", "streaming", ORDER, topic="sensors")
+    with pytest.raises(ValueError, match="topic"):
+        ingest(spark, spec, Layout(str(tmp_path)))
+
+
 # --- the control log
 
 
