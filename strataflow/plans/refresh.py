@@ -301,7 +301,7 @@ def _append(spark, spec, rows, layout, after, upto, run, options) -> None:
                              (spec.buckets, spec.keys))
     else:
         sink.append_batch(fresh, path, upto, spec.partition_cols, spec.clustered)
-    run.rows_written = seen.get.get("rows", 0)
+    run.rows_written = sink.observed_rows(seen)
 
 
 def _history(spark: SparkSession, spec: SilverSpec, layout: Layout, upto: int) -> DataFrame:
@@ -342,7 +342,7 @@ def _merge(spark, spec, rows, layout, after, upto, run, options) -> None:
                            bucket_by=(spec.buckets, spec.keys))
     else:
         sink.write_snapshot(merged, path, upto, spec.partition_cols, spec.clustered)
-    run.rows_written = seen.get.get("rows", 0)
+    run.rows_written = sink.observed_rows(seen)
 
 
 def _state(spark: SparkSession, spec: SilverSpec, layout: Layout, version: int) -> DataFrame:

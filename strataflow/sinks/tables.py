@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,14 @@ from ..sources.tables import BATCH, with_batch_column
 BUCKET = "_bucket"
 
 
+def observed_rows(seen: Observation) -> int:
+    """The observed ``rows``; 0 when the data proved empty, which makes Spark drop the observation."""
+    try:
+        return seen.get.get("rows", 0)
+    except Py4JJavaError:
+        return 0
+
+
 def _write(df: DataFrame, path: str, partition_cols: Sequence[str], clustered: bool) -> None:
     if clustered and partition_cols:
         # Gather each partition's rows into few files; AQE splits an oversized partition again.
@@ -59,7 +68,7 @@ def append_stream(
         seen = Observation()
         counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
         append_batch(counted, path, batch_id, partition_cols, clustered)
-        on_commit(batch_id, seen.get.get("rows", 0))
+        on_commit(batch_id, observed_rows(seen))
 
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -118,6 +118,21 @@ def test_storage_and_plan_do_not_change_the_result(spark, tmp_path, buckets, fit
     assert read_silver(other, spec, layout).count() == len(want)
 
 
+@pytest.mark.parametrize("load, buckets", [
+    ("cdc_merge", None), ("cdc_merge", 4), ("full_merge", None), ("cdc_history", None),
+    ("cdc_history", 4)])
+def test_empty_commits(spark, tmp_path, load, buckets):
+    layout, spec = Layout(str(tmp_path)), silver(load, buckets=buckets)
+    commit(spark, layout, 0)
+    assert promote(spark, spec, BRONZE, layout).rows_written == 0
+    assert read_silver(spark, spec, layout).count() == 0
+    commit(spark, layout, 1, (1, "I", 1))
+    assert promote(spark, spec, BRONZE, layout).rows_written == 1
+    commit(spark, layout, 2)
+    assert promote(spark, spec, BRONZE, layout).rows_written == 0
+    assert rows(read_silver(spark, spec, layout), "order_id") == bag((1,))
+
+
 @pytest.mark.parametrize("fits, buckets", [(True, None), (False, None), (True, 4)])
 def test_append_plan_does_not_change_the_result(spark, tmp_path, fits, buckets, monkeypatch):
     monkeypatch.setattr(refresh, "fits_broadcast", lambda df: fits)

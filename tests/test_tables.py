@@ -138,6 +138,23 @@ def test_commit_is_repeatable(spark, tmp_path):
         (1, "a"), (2, "b"))
 
 
+def test_a_heavy_partition_value_is_written_by_many_tasks(spark, tmp_path):
+    data = spark.range(0, 300_000, 1, 32).select(
+        F.expr("uuid()").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("heavy")).otherwise(
+            F.concat(F.lit("p"), F.col("id") % 5)).alias("v"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1MB")
+    try:
+        sink.append_batch(data, f"{tmp_path}/t", 0, ["v"], clustered=True)
+    finally:
+        spark.conf.unset(key)
+    files = {v: len(list((tmp_path / f"t/_batch_id=0/v={v}").glob("*.parquet")))
+             for v in ("heavy", "p0")}
+    assert files["p0"] < files["heavy"] < 32
+    assert read_table(spark, f"{tmp_path}/t").count() == 300_000
+
+
 def test_new_columns_appear_as_null_in_old_commits(spark, tmp_path):
     sink.append_batch(kv(spark, (1, "a")).select("k"), f"{tmp_path}/t", 0)
     sink.append_batch(kv(spark, (2, "b")), f"{tmp_path}/t", 1)
