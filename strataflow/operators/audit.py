@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.quality import range_condition
+from ..session import scratch_dir
 from ..spec import RangeRule
 from .size import broadcast_if_small
 
@@ -63,10 +64,13 @@ def batch_audit(
     )
     accepted = rows.filter("_passes")
     if event_col:
+        # One row per commit, needed in three places: keep it instead of scanning the rows again.
+        commits = scratch_dir(df.sparkSession, "commits")
+        per_batch.write.parquet(commits)
+        per_batch = df.sparkSession.read.parquet(commits)
         seen = Window.orderBy("_batch_id").rowsBetween(Window.unboundedPreceding, -lag)
         newest = F.date_trunc("millisecond", F.max("_newest").over(seen))  # a watermark's precision
         horizon = newest - F.expr(f"INTERVAL {delay}")
-        # One row per commit; kept off the wire of the join unless there are very many commits.
         marks = per_batch.select("_batch_id", horizon.alias("_horizon"))
         accepted = accepted.join(broadcast_if_small(marks), "_batch_id").withColumn(
             "_late", F.coalesce(F.col(event_col) <= F.col("_horizon"), F.lit(False))

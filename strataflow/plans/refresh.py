@@ -285,11 +285,11 @@ def _append(spark, spec, rows, layout, after, upto, run, options) -> None:
         small = table is not None and fits_broadcast(fed_keys)
         merge.contested_keys(table, rows, spec.keys, small_feed=small).write.parquet(clash)
         contested = spark.read.schema(fed_keys.schema).parquet(clash)
-        fresh = merge.insert_if_absent(
-            table, rows, spec.keys,
-            contested=contested if fits_broadcast(contested) else None,
-            **options,
-        )
+        if contested.isEmpty():
+            fresh = rows
+        else:
+            few = contested if fits_broadcast(contested) else None
+            fresh = merge.insert_if_absent(table, rows, spec.keys, contested=few, **options)
     seen = Observation()
     fresh = fresh.observe(seen, F.count(F.lit(1)).alias("rows"))
     if spec.buckets:
@@ -346,13 +346,12 @@ def _merge(spark, spec, rows, layout, after, upto, run, options) -> None:
 
 
 def _state(spark: SparkSession, spec: SilverSpec, layout: Layout, version: int) -> DataFrame:
-    path = layout.table("silver", spec.name)
+    path, schema = layout.table("silver", spec.name), build_schema(spec.columns)
     if not spec.buckets:
-        return sink.read_snapshot(spark, path, version)
+        return sink.read_snapshot(spark, path, version, schema)
     location = f"{path}/v={version}"
-    return sink.open_bucketed(
-        spark, sink.bucketed_name(spec.name, location), location, build_schema(spec.columns),
-        (spec.buckets, spec.keys))
+    return sink.open_bucketed(spark, sink.bucketed_name(spec.name, location), location, schema,
+                              (spec.buckets, spec.keys))
 
 
 def full_refresh(

@@ -85,8 +85,12 @@ def write_snapshot(
     _write(df, f"{path}/v={version}", partition_cols, clustered)
 
 
-def read_snapshot(spark: SparkSession, path: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/v={version}")
+def read_snapshot(
+    spark: SparkSession, path: str, version: int, schema: T.StructType | None = None
+) -> DataFrame:
+    """One version of a table. A schema keeps the type of partition columns ('007' stays text)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/v={version}")
 
 
 # Key buckets as folders: for feeds known to touch few keys, such as corrections. A feed of many

@@ -118,6 +118,17 @@ def test_storage_and_plan_do_not_change_the_result(spark, tmp_path, buckets, fit
     assert read_silver(other, spec, layout).count() == len(want)
 
 
+@pytest.mark.parametrize("load", ["cdc_merge", "full_merge", "cdc_history"])
+def test_partition_values_keep_their_type(spark, tmp_path, load):
+    layout, spec = Layout(str(tmp_path)), silver(load, partition_cols=("op_type",))
+    commit(spark, layout, 0, (1, "007", 1))
+    promote(spark, spec, BRONZE, layout)
+    commit(spark, layout, 1, (2, "08", 1))
+    promote(spark, spec, BRONZE, layout)
+    assert rows(read_silver(spark, spec, layout), "order_id", "op_type") == bag(
+        (1, "007"), (2, "08"))
+
+
 @pytest.mark.parametrize("load, buckets", [
     ("cdc_merge", None), ("cdc_merge", 4), ("full_merge", None), ("cdc_history", None),
     ("cdc_history", 4)])
