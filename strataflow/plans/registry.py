@@ -457,6 +457,21 @@ def binary_file_scan(spark, sf_dir):
     return read_table(spark, out, schema).drop(BATCH)
 
 
+@query("SELECT event_id, props FROM events")
+def binary_landing_to_bronze(spark, sf_dir):
+    """Binary objects with their content: events as small text files, taken whole and unpacked."""
+    landing, lines = scratch_dir(spark, "landing"), F.concat_ws("|", "event_id", "props")
+    events = table(spark, sf_dir, "events").select(lines)
+    events.write.option("maxRecordsPerFile", 10_000).text(landing)
+    spec = BronzeSpec("files", "binaryFile", landing=landing,
+                      read_options={"pathGlobFilter": "*.txt"})
+    text = F.col("content").cast("string")
+    rows = _ingested(spark, spec).select(F.explode(F.split(text, "\n")).alias("line"))
+    return rows.filter("line <> ''").select(
+        F.substring_index("line", "|", 1).cast("bigint").alias("event_id"),
+        F.substring_index("line", "|", -1).alias("props"))
+
+
 def _cdc_commits(spark: SparkSession, sf_dir: str, path: str, *numbers: int) -> None:
     """Write the change feed as commits numbered by sequence."""
     feed = derive(spark, sf_dir, fx.ORDERS_CDC)
@@ -476,6 +491,15 @@ def change_range(spark, sf_dir):
     return source.change_range(commits, after, upto).drop(BATCH)
 
 
+@query(f"""
+SELECT CAST(max(sequence_num) AS BIGINT) AS version FROM ({as_sql(fx.ORDERS_CDC)})
+""")
+def current_version(spark, sf_dir):
+    path = scratch_dir(spark, "bronze")
+    _cdc_commits(spark, sf_dir, path, 1, 2, 3)
+    return source.current_version(read_table(spark, path, build_schema(CDC_COLUMNS)))
+
+
 @query(f"""
 SELECT product_id, price, CASE WHEN feed_no = 2 THEN brand END AS brand
 FROM ({as_sql(fx.PRODUCT_FEED)}) WHERE feed_no < 3

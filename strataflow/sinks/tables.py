@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -149,7 +150,8 @@ def save_as_table(
 
 def bucketed_name(label: str, path: str) -> str:
     """A catalog name that is the same in every session for the same location."""
-    return f"{label}_{hashlib.md5(path.encode()).hexdigest()[:12]}"
+    plain = re.sub(r"\W", "_", label)
+    return f"{plain}_{hashlib.md5(path.encode()).hexdigest()[:12]}"
 
 
 def _register(spark, table, path, schema, bucket_by, commits) -> bool:
@@ -160,10 +162,11 @@ def _register(spark, table, path, schema, bucket_by, commits) -> bool:
     schema = with_batch_column(schema) if commits else schema
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = ", ".join(f"`{k}`" for k in keys)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {table} ({cols}) USING parquet "
         + (f"PARTITIONED BY ({BATCH}) " if commits else "")
-        + f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {n} BUCKETS LOCATION '{path}'"
+        + f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {n} BUCKETS LOCATION '{location}'"
     )
     return True
 

@@ -187,6 +187,26 @@ def test_merge_plans_agree_with_model(spark, seed, kind):
     assert rows(run(run(state))) == want  # a feed applied twice equals once
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_cutting_the_feed_does_not_matter(spark, seed):
+    """For the guarded merge when the order is unique per key, and for appends of equal copies."""
+    rng = random.Random(seed)
+    unique = [(k, f"v{k}{w}", w) for k in range(12) for w in rng.sample(range(9), 4)]
+    rng.shuffle(unique)
+    copies = [rng.choice(unique) for _ in range(80)]
+    for data, step in (
+        (unique, lambda s, f: merge.full_merge(s, f, ["k"], "w")),
+        (copies, lambda s, f: merge.cdc_history(s, f, ["k", "w"])),
+        (copies, lambda s, f: merge.append_dedup(s, f, ["k", "v", "w"])),
+    ):
+        whole = rows(step(None, make(spark, data)))
+        cut = sorted(rng.sample(range(1, len(data)), 2))
+        state = None
+        for part in (data[:cut[0]], data[cut[0]:cut[1]], data[cut[1]:]):
+            state = step(state, make(spark, part))
+        assert rows(state) == whole
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_insert_plans_agree(spark, seed):
     rng = random.Random(seed)

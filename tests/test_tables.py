@@ -105,7 +105,8 @@ def test_short_ranges_list_only_their_commits(spark, tmp_path):
 
 
 def test_commits_of_a_bucketed_table(spark, tmp_path):
-    table, path, by = "bucketed_commits", f"{tmp_path}/t", (4, ["k"])
+    path, by = f"{tmp_path}/it's", (4, ["k"])
+    table = sink.bucketed_name("bucketed-commits", path)
     sink.append_bucketed(kv(spark, *[(i, "a") for i in range(50)]), table, path, 0, by)
     sink.append_bucketed(kv(spark, (1, "half")), table, path, 1, by)
     sink.append_bucketed(kv(spark, (60, "b"), (61, "b")), table, path, 1, by)  # repeated commit
