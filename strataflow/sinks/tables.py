@@ -216,11 +216,12 @@ def merge_into(
     keys: Sequence[str],
     update_if: Column | None = None,
     insert_if: Column | None = None,
+    update: bool = True,
     evolve: bool = False,
 ) -> None:
     """The same upsert in place, for catalogs whose tables accept row-level operations.
 
-    Conditions name the table by ``table`` and the feed by ``src``.
+    Conditions name the table by ``table`` and the feed by ``src``. ``update=False`` only inserts.
     """
     feed = staged.alias("src")
     on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"src.{k}") for k in keys])
@@ -229,7 +230,8 @@ def merge_into(
     writer = feed.mergeInto(table, on)
     if evolve:
         writer = writer.withSchemaEvolution()
-    matched = writer.whenMatched() if update_if is None else writer.whenMatched(update_if)
-    writer = matched.update(changed)
+    if update:
+        matched = writer.whenMatched() if update_if is None else writer.whenMatched(update_if)
+        writer = matched.update(changed)
     missing = writer.whenNotMatched() if insert_if is None else writer.whenNotMatched(insert_if)
     missing.insert(values).merge()

@@ -108,6 +108,7 @@ class SilverSpec:
     rules: tuple[RangeRule, ...] = ()
     partition_cols: tuple[str, ...] = ()
     clustered: bool = True  # gather partition values before writing: fewer files, one shuffle
+    table: str | None = None  # catalog table that accepts MERGE; refreshed in place
     buckets: int | None = None  # keep merged state hash-distributed by key in a catalog table
     read_options: Mapping[str, str] = field(default_factory=dict)  # of the raw table as a stream
 

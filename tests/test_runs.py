@@ -5,6 +5,7 @@ from datetime import date, datetime
 
 import pytest
 from helpers import bag, rows
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from strataflow.operators import control
@@ -20,7 +21,7 @@ from strataflow.plans.refresh import (
     read_silver,
     start_ingest,
 )
-from strataflow.sinks.tables import append_batch
+from strataflow.sinks.tables import append_batch, save_as_table
 from strataflow.spec import BronzeSpec, RangeRule, SilverSpec, build_schema, columns
 
 ORDER = columns("order_id long, op_type string, sequence_num long")
@@ -253,6 +254,20 @@ def test_logging_never_fails_a_run(spark, tmp_path, caplog):
     assert control.read_control(spark, f"{tmp_path}/nothing").count() == 0
 
 
+@pytest.mark.parametrize("load", ["full_merge", "incremental_replace", "cdc_merge", "cdc_history"])
+def test_catalog_tables_are_merged_in_place(spark, tmp_path, load):
+    """Up to the point where a plain parquet table refuses; the run is then logged as failed."""
+    layout = Layout(str(tmp_path))
+    commit(spark, layout, 0, (1, "I", 1))
+    spec = silver(load, table=f"in_place_{load}")
+    save_as_table(spark.createDataFrame([], build_schema(spec.columns)), spec.table,
+                  f"{tmp_path}/t")
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
+        promote(spark, spec, BRONZE, layout)
+    assert read_silver(spark, spec, layout).count() == 0
+    assert refresh.position(spark, layout, "silver", spec.name) is None
+
+
 # --- counts
 
 
