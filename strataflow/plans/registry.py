@@ -339,6 +339,21 @@ def kafka_envelope_parse(spark, sf_dir):
     ).drop("_ingested_at", "_ingested_date")
 
 
+@query("""
+SELECT CAST(event_id % 4 AS INTEGER) AS _kafka_partition, count(*) AS failed
+FROM events WHERE event_id % 50 = 0 GROUP BY 1
+""")
+def kafka_parse_failures(spark, sf_dir):
+    """Events whose text gave no declared field; the raw text is kept for them."""
+    cols = columns("k long")
+    records = derive(spark, sf_dir, fx.KAFKA_ROWS)
+    broken = F.when(F.col("offset") % 50 == 0, F.lit("not json").cast("binary"))
+    records = records.withColumn("value", F.coalesce(broken, "value"))
+    parsed = enrich.parse_json_value(enrich.with_kafka_metadata(records), cols)
+    failed = parsed.filter(enrich.parse_failed(cols))
+    return failed.groupBy("_kafka_partition").agg(F.count(F.lit(1)).alias("failed"))
+
+
 @query("""
 SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL
                       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_ts

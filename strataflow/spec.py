@@ -115,6 +115,8 @@ class SilverSpec:
     def __post_init__(self):
         if self.load not in LOADS:
             raise ValueError(f"unknown load pattern: {self.load!r}")
+        if self.load in ("full_merge", "incremental_replace") and not self.order_col:
+            raise ValueError(f"{self.load} needs order_col, the column that tells recency")
 
     @classmethod
     def from_config(cls, entry: Mapping) -> SilverSpec:

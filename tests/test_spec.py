@@ -23,6 +23,8 @@ def test_unknown_type_and_load_are_errors():
         build_schema(columns("a decimal"))
     with pytest.raises(ValueError):
         SilverSpec("x", "upsert", "y", ("k",), ())
+    with pytest.raises(ValueError):
+        SilverSpec("x", "full_merge", "y", ("k",), ())
 
 
 def test_specs_from_config_entries():
