@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,21 +19,28 @@ from .size import broadcast_if_small
 log = logging.getLogger(__name__)
 
 
-def table_row_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
-    """``(table, rows)`` for each named path, in one job; a missing table has null rows.
+def row_counts(
+    spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]]
+) -> DataFrame:
+    """``(table, rows)`` for each named reader, in one job; a missing table has null rows.
 
     Counting needs no columns, so only parquet footers are read.
     """
 
-    def count(name: str, path: str) -> DataFrame:
+    def count(name: str, read: Callable[[], DataFrame]) -> DataFrame:
         try:
-            counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-        except AnalysisException as error:
+            counted = read().agg(F.count(F.lit(1)).alias("rows"))
+        except (AnalysisException, LookupError) as error:
             log.warning("%s cannot be read: %s", name, error)
             counted = spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
         return counted.select(F.lit(name).alias("table"), "rows")
 
-    return reduce(DataFrame.unionByName, [count(n, p) for n, p in tables.items()])
+    return reduce(DataFrame.unionByName, [count(n, read) for n, read in tables.items()])
+
+
+def table_row_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """``row_counts`` of parquet paths."""
+    return row_counts(spark, {n: partial(spark.read.parquet, path) for n, path in tables.items()})
 
 
 def batch_audit(

@@ -8,10 +8,11 @@ follows, and repeating it replaces its output.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ..functions.enrich import (
 from ..functions.quality import conform_to_contract
 from ..operators import control as ctl
 from ..operators import merge
+from ..operators.audit import row_counts
 from ..operators.latest import latest_per_key
 from ..operators.size import fits_broadcast
 from ..sinks import tables as sink
@@ -110,6 +112,13 @@ def position(spark: SparkSession, layout: Layout, layer: str, name: str) -> int
     return ctl.ledger_position(control, pipeline)
 
 
+def _completed(spark: SparkSession, layout: Layout, layer: str, name: str) -> int:
+    upto = position(spark, layout, layer, name)
+    if upto is None:
+        raise LookupError(f"no completed run of {layout.pipeline(layer, name)}")
+    return upto
+
+
 def bronze_schema(spec: BronzeSpec) -> T.StructType | None:
     """Columns of the raw table a spec produces; None when they follow from the files."""
     if spec.ingest == "streaming":
@@ -194,7 +203,7 @@ def start_ingest(
 
 def read_bronze(spark: SparkSession, spec: BronzeSpec, layout: Layout) -> DataFrame:
     """The completed commits of a raw table."""
-    upto = position(spark, layout, "bronze", spec.name)
+    upto = _completed(spark, layout, "bronze", spec.name)
     rows = read_table(spark, layout.table("bronze", spec.name), bronze_schema(spec))
     return change_range(rows, None, upto)
 
@@ -204,7 +213,7 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFr
     if spec.table:
         return spark.table(spec.table)
     path, schema = layout.table("silver", spec.name), build_schema(spec.columns)
-    upto = position(spark, layout, "silver", spec.name)
+    upto = _completed(spark, layout, "silver", spec.name)
     if spec.load == "streaming_append":
         return change_range(read_table(spark, path, schema), None, upto).drop(BATCH)
     if spec.load in ("cdc_history", "append_dedup"):
@@ -212,6 +221,20 @@ def read_silver(spark: SparkSession, spec: SilverSpec, layout: Layout) -> DataFr
     return _state(spark, spec, layout, upto)
 
 
+def lake_row_counts(
+    spark: SparkSession,
+    layout: Layout,
+    bronze: Iterable[BronzeSpec] = (),
+    silver: Iterable[SilverSpec] = (),
+) -> DataFrame:
+    """``(table, rows)`` of raw and refined tables as of their last completed runs."""
+    readers = {
+        **{f"bronze.{s.name}": partial(read_bronze, spark, s, layout) for s in bronze},
+        **{f"silver.{s.name}": partial(read_silver, spark, s, layout) for s in silver},
+    }
+    return row_counts(spark, readers)
+
+
 def promote(
     spark: SparkSession,
     spec: SilverSpec,

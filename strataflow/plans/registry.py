@@ -728,7 +728,7 @@ def stream_late_rows(spark, sf_dir):
     for number in range(4):
         sink.append_batch(events.filter(F.col(BATCH) == number), raw, number)
         stream = source.read_table_stream(spark, raw, build_schema(cols))
-        staged = streaming_append(stream, spec)
+        staged = streaming_append(stream, spec, spread=False)
         sink.append_stream(staged, out, checkpoint).awaitTermination()
     return read_table(spark, out, build_schema(cols)).select("event_id")
 

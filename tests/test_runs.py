@@ -16,6 +16,7 @@ from strataflow.plans.refresh import (
     Layout,
     full_refresh,
     ingest,
+    lake_row_counts,
     promote,
     read_bronze,
     read_silver,
@@ -277,6 +278,15 @@ def test_row_counts_warn_about_missing_tables(spark, tmp_path):
     assert rows(counted) == bag(("a", 5), ("b", None))
 
 
+def test_lake_row_counts_before_the_first_run(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    commit(spark, layout, 0, (1, "I", 1))
+    counts = lake_row_counts(spark, layout, [BRONZE], [silver(), silver("cdc_history", buckets=4)])
+    assert rows(counts) == bag(("bronze.orders", 1), ("silver.orders_silver", None))
+    with pytest.raises(LookupError):
+        read_silver(spark, silver(buckets=4), layout)
+
+
 def test_batch_audit_small(spark):
     def at(minute):
         return datetime(2026, 4, 1, 12, minute)
@@ -397,13 +407,14 @@ def test_stock_datasets_end_to_end(spark, tmp_path):
         for spec in refined.values():
             promote(spark, spec, bronze[spec.source], layout)
 
-    raw = {n: read_bronze(spark, s, layout).count() for n, s in bronze.items()}
-    assert raw == {"product_catalog": 240, "inventory": 480, "orders_cdc": 360,
-                   "field_images": 80, "sensors": 400, "app_events": 700}
+    counts = lake_row_counts(spark, layout, bronze.values(), refined.values())
+    assert {r["table"]: r["rows"] for r in counts.collect()} == {
+        "bronze.product_catalog": 240, "bronze.inventory": 480, "bronze.orders_cdc": 360,
+        "bronze.field_images": 80, "bronze.sensors": 400, "bronze.app_events": 700,
+        "silver.product_current": 120, "silver.inventory_current": 240,
+        "silver.orders_current": 180, "silver.orders_history": 360, "silver.field_images": 80,
+        "silver.sensor_reads": 399, "silver.app_events": 600}
     tables = {n: read_silver(spark, s, layout) for n, s in refined.items()}
-    assert {n: t.count() for n, t in tables.items()} == {
-        "product_current": 120, "inventory_current": 240, "orders_current": 180,
-        "orders_history": 360, "field_images": 80, "sensor_reads": 399, "app_events": 600}
     for name, spec in refined.items():
         assert set(tables[name].columns) == {c for c, _ in spec.columns}
         kinds = dict(tables[name].dtypes)
