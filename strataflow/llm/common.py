@@ -128,6 +128,29 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(starts)
 
 
+def count_words(texts) -> np.ndarray:
+    """Words (runs of non-blank bytes) of every text of an Arrow array; null has none."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    whole = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)
+    out, first = np.zeros(len(whole), np.int64), 0
+    while first < len(whole):  # rows of about a slice at a time; a longer text alone
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1)
+        solid = ~_BLANK[data[offsets[first] : offsets[last]]]
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        cuts = offsets[first : last + 1] - offsets[first]
+        inner = cuts[(cuts < len(solid))]
+        begins[inner] = solid[inner]  # a text's first byte begins a word whatever stands before it
+        sums = np.concatenate(([0], np.cumsum(begins, dtype=np.int64)))
+        out[first:last] = np.diff(sums[cuts])
+        first = last
+    return out
+
+
 def text_chunks(batch, column: str, most: int = SLICE_BYTES):
     """Row ranges of an Arrow batch with about ``most`` bytes of text each, as (first, [bytes])."""
     import pyarrow as pa

@@ -49,39 +49,57 @@ def windows(bench: DataFrame, text: str, item: str, length: int) -> tuple[DataFr
     return grams, each.select("gram", "item").distinct()
 
 
+END = "\u0000"
+
+
 def find_hits(
     docs: DataFrame, bench: DataFrame, text: str = "text", id_col: str = "doc_id", item: str = "item_id",
     item_text: str = "text", length: int = WINDOW, most_windows: int = MOST_WINDOWS,
 ) -> DataFrame:
-    """One row per different (id, text) that holds a benchmark window: id, ``mark`` (hash of the text),
-    ``spans`` (sorted starts and lengths of the windows found, in words) and ``items``.
+    """One row per different (id, text): id, ``mark`` (hash of the text), ``copies`` (rows that are alike),
+    ``n_words``, ``spans`` (sorted starts and lengths, in words, of the windows found) and ``items``.
 
     The windows are a hash set keyed by their anchor words. It is broadcast after its size was
     checked (``most_windows`` rows); a larger benchmark is joined by a shuffle on the anchors
     instead, with the same result. Every position of a training text that holds an anchor opens
-    the windows of that anchor, and a hit counts only when all words agree.
+    the windows of that anchor, and a hit counts only when all words agree. One more position
+    stands for the end of the text, so one pass over the texts also gives their word counts.
     """
     grams, members = windows(bench, item_text, item, length)
-    grams, members = written(grams, "grams"), written(members, "members")
+    end = docs.sparkSession.range(1).select(
+        F.lit(END).alias("gram"), F.lit(0).alias("n"), F.lit(0).alias("offset"), F.lit(END).alias("anchor"))
+    grams, members = written(grams.unionByName(end), "grams"), written(members, "members")
     small = grams.count() <= most_windows
     words, mark = fresh("words"), fresh("mark")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias(mark),
-                       words_of(F.col(f"`{text}`")).alias(words))
+                       F.array_append(words_of(F.col(f"`{text}`")), F.lit(END)).alias(words))
     each = rows.select("id", mark, words, F.posexplode(words).alias("pos", "word"))
-    first = F.col("pos") - F.col("offset")
-    same = (F.col("word") == F.col("anchor")) & (first >= 0) & (
-        F.array_join(F.slice(F.col(words), F.greatest(first, F.lit(0)) + 1, F.col("n")), " ") == F.col("gram"))
+    first, over = F.col("pos") - F.col("offset"), F.col("n") == 0
+    same = (F.col("word") == F.col("anchor")) & (first >= 0) & (over | (
+        F.array_join(F.slice(F.col(words), F.greatest(first, F.lit(0)) + 1, F.col("n")), " ") == F.col("gram")))
     found = each.join(F.broadcast(grams) if small else grams, same).select("id", mark, first.alias("start"), "n", "gram")
     # The spans of a text and its items are at most as many as its words and the benchmark's windows.
-    per_text = found.groupBy("id", mark).agg(
-        F.array_sort(F.collect_set(F.struct(F.col("start"), F.col("n")))).alias("spans"), F.collect_set("gram").alias("grams"))
-    per_text = written(per_text, "hits")
+    per_text = written(found.groupBy("id", mark).agg(
+        F.count(F.when(over, True)).alias("copies"), F.max(F.when(over, F.col("start"))).cast("long").alias("n_words"),
+        F.array_sort(F.collect_set(F.when(~over, F.struct(F.col("start"), F.col("n"))))).alias("spans"),
+        F.collect_set(F.when(~over, F.col("gram"))).alias("grams")), "hits")
     pairs = per_text.select("id", mark, F.explode("grams").alias("gram"))
     items = pairs.join(F.broadcast(members) if small else members, "gram").groupBy("id", mark).agg(
         F.collect_set("item").alias("items"))
     items = items.withColumnsRenamed({"id": "id2", mark: mark + "2"})
-    return per_text.join(items, F.col("id").eqNullSafe(F.col("id2")) & (F.col(mark) == F.col(mark + "2"))).select(
-        "id", F.col(mark).alias("mark"), "spans", "items")
+    return per_text.join(items, F.col("id").eqNullSafe(F.col("id2")) & (F.col(mark) == F.col(mark + "2")), "left").select(
+        "id", F.col(mark).alias("mark"), "copies", "n_words", "spans", "items")
+
+
+def report(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row per document: its id, ``n_words``, ``n_hit`` (words inside a window found) and ``items``
+    (the items found, sorted as strings). Options and defined cases are those of ``decontaminate``."""
+    hits = find_hits(docs, bench, id_col=id_col, **options)
+    listed = F.array_sort(F.transform(F.coalesce("items", F.array()), lambda x: x.cast("string")))
+    rows = hits.select(
+        F.col("id").alias(id_col), "n_words", covered(F.col("spans")).cast("long").alias("n_hit"), listed.alias("items"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    return rows.select(id_col, "n_words", "n_hit", "items")
 
 
 def covered(spans: Column) -> Column:
@@ -102,41 +120,26 @@ def decontaminate(
 
     ``remove="documents"`` drops every document with a hit; ``"spans"`` keeps it and takes the hit
     words out (each run of hit words, with what stands between them, becomes one space; where the
-    words left over form another window, a second call finds it);
-    ``"nothing"`` keeps all rows and adds ``n_words``, ``n_hit``, ``items`` (sorted as strings).
+    words left over form another window, a second call finds it). ``report`` counts and removes nothing.
 
     Defined cases: a null or wordless text has no words and no hits and is kept; an item without
     words is no window; texts of any length are read whole; repeated rows are judged alike, each on
-    its own; null ids are ids; with an empty benchmark nothing is hit; of the caller's columns only
-    ``n_words``, ``n_hit`` and ``items`` are replaced, and only by ``"nothing"``.
+    its own; null ids are ids; with an empty benchmark nothing is hit; the caller's columns come back
+    as they are, whatever their names.
     """
-    if remove not in ("documents", "spans", "nothing"):
-        raise ValueError(f"remove must be documents, spans or nothing, not {remove!r}")
-    hits = find_hits(docs, bench, text, id_col, item, item_text, length, most_windows)
-    key, mark, spans, items = fresh("id"), fresh("mark"), fresh("spans"), fresh("items")
-    hits = hits.toDF(key, mark, spans, items)
+    if remove not in ("documents", "spans"):
+        raise ValueError(f"remove must be documents or spans, not {remove!r}")
+    hits = find_hits(docs, bench, text, id_col, item, item_text, length, most_windows).filter(F.size("spans") > 0)
+    key, mark, spans = fresh("id"), fresh("mark"), fresh("spans")
+    hits = hits.select(F.col("id").alias(key), F.col("mark").alias(mark), F.col("spans").alias(spans))
     same = F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(mark))
     if remove == "documents":
-        return docs.join(hits.select(key, mark), same, "left_anti")
-    if remove == "nothing":
-        # Count words before the exchange: the text itself stays behind.
-        kept = docs.drop("n_words", "n_hit", "items")
-        kept = kept.withColumn("n_words", _count(F.col(f"`{text}`"))).withColumn(mark + "t", F.xxhash64(F.col(f"`{text}`")))
-        same = F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (F.col(mark + "t") == F.col(mark))
-        out = kept.join(hits, same, "left")
-        listed = F.array_sort(F.transform(F.coalesce(items, F.array()), lambda x: x.cast("string")))
-        return out.select(
-            *[F.col(f"`{c}`") for c in kept.columns if c != mark + "t"],
-            F.coalesce(covered(F.col(spans)), F.lit(0)).cast("long").alias("n_hit"), listed.alias("items"))
+        return docs.join(hits, same, "left_anti")
     out = docs.join(hits.select(key, mark, spans), same, "left")
     clean = F.when(F.col(spans).isNull(), F.col(f"`{text}`")).otherwise(_without(F.col(f"`{text}`"), F.col(spans)))
     return out.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
-def _count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(RAW_WORD)), F.lit(0)).cast("long")
-
-
 def _without(text: Column, spans: Column) -> Column:
     """The text with the words of the spans, and what stands between them, as single spaces."""
     # Piece i is word i with what follows it up to the next word; piece 0 is what precedes the first.

@@ -10,21 +10,26 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.llm.common import fresh, ranked
+from strataflow.llm.common import count_words, fresh, ranked, ship
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_TIMES = 2
-WORD = r"[^\x20\x09-\x0D]+"
+
+
+@F.arrow_udf("long")
+def _word_counts(texts: pa.Array) -> pa.Array:
+    return pa.array(count_words(texts), pa.int64())
 
 
 def words(text: Column) -> Column:
     """The number of blank-separated words; null counts 0."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    return _word_counts(text)
 
 
 def targets(sizes: list[int], weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_TIMES) -> list[float]:
@@ -120,7 +125,7 @@ def mix_sources(
     """
     docs = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_blocks")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    spark, own = docs.sparkSession, F.col(f"`{source}`")
+    spark, own = ship(docs.sparkSession), F.col(f"`{source}`")
     size, spread, name = fresh("size"), fresh("spread"), fresh("source")
     rows = docs.withColumn(size, F.col(f"`{words_col}`") if words_col else words(F.col(f"`{text}`")))
     facts = sorted(

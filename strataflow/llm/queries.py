@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import chat, decontaminate, extract, langid, mixing, ngramjoin, quality, sharding, topk, urlfilter
-from strataflow.llm.common import table, written
+from strataflow.llm.common import ship, table, written
 
 SHARDS = 40
 
@@ -145,6 +145,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mix takes, and the shards of its copies."""
     docs = table(spark, sf_dir, "documents")
+    ship(spark)
     narrow = written(docs.select(
         "doc_id", "source", mixing.words(F.col("text")).alias("size"), F.xxhash64("text").alias("text")), "mix-sizes")
     mix = mixing.mix_sources(narrow, words_col="size")
@@ -204,8 +205,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 10 words found in every document."""
-    found = decontaminate.decontaminate(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), remove="nothing")
+    found = decontaminate.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
