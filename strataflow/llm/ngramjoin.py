@@ -54,19 +54,27 @@ def _part(percent: int) -> float:
     return min(1.0, (100 - percent) / 100 + 0.10)
 
 
+def _size_class(n: np.ndarray, percent: int) -> np.ndarray:
+    """Sets that can link have classes at most one apart: a class spans the greatest ratio of linked sizes."""
+    return np.floor(np.log(np.maximum(n, 1)) / (np.log(100 / percent) * (1 + 1e-6))).astype(np.int64)
+
+
 def _marked(batches, k: int, percent: int):
     """Per text: set size, class, and the tokens below a bound, to be counted over the whole corpus.
 
-    Tokens that several texts of a chunk share are known to be shared: the texts are credited at once
-    (``known``), and only one row tells the rest of the corpus, so a very frequent token gives a row
-    per chunk, not per text. ``own`` of the first tokens in the list belong to the text itself.
+    Tokens that several texts of a chunk with one size class share are known to be shared: the texts
+    are credited at once (``known``), and only one row tells the rest of the corpus, so a very frequent
+    token gives a row per chunk, not per text. ``own`` of the first tokens in the list belong to the
+    text itself.
     """
     bound = np.uint64(int(_part(percent) * (2**64 - 1)))
     for batch in batches:
         for first, held in text_chunks(batch, "text"):
             sets = shingle_sets(held, k)
             looked = [s[s <= bound] if _part(percent) < 1 else s for s in sets]
-            every, back, times = np.unique(np.concatenate(looked), return_inverse=True, return_counts=True)
+            sizes = _size_class(np.array([len(s) for s in sets]), percent)
+            salted = [t ^ mix(np.array([c + 1], np.uint64)) for t, c in zip(looked, sizes, strict=True)]
+            every, back, times = np.unique(np.concatenate(salted), return_inverse=True, return_counts=True)
             shared = times[back] > 1
             told = np.zeros(len(every), bool)
             at, rows = 0, []
@@ -76,31 +84,32 @@ def _marked(batches, k: int, percent: int):
                 told[place[news]] = True
                 rows.append((len(tokens), int(both.sum()), int((~both).sum()), np.concatenate([tokens[~both], tokens[news]])))
                 at += len(tokens)
-            lengths = np.array([len(r[3]) for r in rows], dtype=np.int64)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").slice(first, len(held)),
                 "mark": batch.column("mark").slice(first, len(held)),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
+                "size_class": pa.array(sizes, pa.int64()),
                 "cls": pa.array([class_of(s) for s in sets], pa.binary()),
                 "looked": pa.array([r[0] for r in rows], pa.int64()),
                 "known": pa.array([r[1] for r in rows], pa.int64()),
                 "own": pa.array([r[2] for r in rows], pa.int32()),
-                "tokens": pa.LargeListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int64()),
-                    pa.array(np.concatenate([r[3] for r in rows]).view(np.int64))).cast(pa.list_(pa.int64())),
+                "tokens": _lists([r[3] for r in rows]),
             })
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    cuts = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int64)
+    values = pa.array(np.concatenate(arrays).view(np.int64))
+    return pa.LargeListArray.from_arrays(pa.array(cuts), values).cast(pa.list_(pa.int64()))
+
+
 def _whole(batches, k: int):
     for batch in batches:
         for _, held in text_chunks(batch, "text"):
             sets = shingle_sets(held, k)
-            lengths = np.array([len(s) for s in sets], dtype=np.int64)
             yield pa.RecordBatch.from_pydict({
-                "cls": pa.array([class_of(s) for s in sets], pa.binary()), "n": pa.array(lengths),
-                "tokens": pa.LargeListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int64()),
-                    pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64())),
+                "cls": pa.array([class_of(s) for s in sets], pa.binary()),
+                "n": pa.array([len(s) for s in sets], pa.int64()), "tokens": _lists(sets),
             })
 
 
@@ -115,12 +124,11 @@ def _linked(a: Column, b: Column, na: Column, nb: Column, percent: int) -> Colum
     return F.lit(100) * common >= F.lit(percent) * (na + nb - common)
 
 
-def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(marks, sets, edges): marks has doc_id, mark (a hash of the text), n and cls, one row per document; equal sets share a class.
-    Classes that may have a partner are numbered in sets (sid, cls); edges (a, b) join such numbers.
+def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(marks, roots): marks has doc_id, mark (a hash of the text), n and cls, one row per document;
+    equal sets share a class. roots names the component (root) of classes that may have a partner.
 
-    The edges connect exactly the classes that all links connect, without listing every link between
-    the members of one star.
+    Links connect exactly what all links connect, without listing those between members of one star.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
@@ -128,15 +136,17 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
     kind = rows.schema["doc_id"].dataType.simpleString()
     marks = rows.mapInArrow(
         lambda it: _marked(it, k, percent),
-        f"doc_id {kind}, mark long, n long, cls binary, looked long, known long, own int, tokens array<long>")
+        f"doc_id {kind}, mark long, n long, size_class long, cls binary, looked long, known long, own int, tokens array<long>")
     marks = written(marks.withColumn("row", F.monotonically_increasing_id()), "join-marks")
 
-    # 1. Rule out what can have no partner. Of the tokens looked at, a partner has all but _lacking(n).
+    # 1. Rule out what can have no partner: of the tokens looked at, a partner has all but _lacking(n).
+    # A token counts as shared if another text of a size that could link has it.
     least = math.ceil(percent / max(1, 100 - percent))  # smaller sets link with equal ones only
     every = marks.filter(F.col("n") >= least)
-    each = every.select("row", "own", F.posexplode("tokens").alias("pos", "token")).select(
-        "token", F.when(F.col("pos") < F.col("own"), F.col("row")).alias("row"))
-    seen = each.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    each = every.select("row", "size_class", "own", F.posexplode("tokens").alias("pos", "token")).select(
+        "token", "size_class", F.when(F.col("pos") < F.col("own"), F.col("row")).alias("row"))
+    near = Window.partitionBy("token").orderBy("size_class").rangeBetween(-1, 1)
+    seen = each.withColumn("times", F.count(F.lit(1)).over(near))
     met = seen.filter((F.col("times") > 1) & F.col("row").isNotNull()).groupBy("row").agg(F.count(F.lit(1)).alias("met"))
     able = every.select("row", "doc_id", "mark", "cls", "n", "looked", "known").join(met, "row", "left").filter(
         F.col("known") + F.coalesce("met", F.lit(0)) >= F.col("looked") - _lacking(F.col("n"), percent))
@@ -177,40 +187,47 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
     query = placed.select("sid", "n", "star", F.explode("prefix").alias("token"))
     fits = (F.col("n") * 100 >= F.col("low") * percent) & (F.col("high") * 100 >= F.col("n") * percent)
     met = query.join(matrix, (query["token"] == matrix["token"]) & (F.col("star") < F.col("group")) & fits)
-    opened = written(met.select("sid", "group").distinct(), "join-open")
+    opened = written(met.select("sid", "star", "group").distinct(), "join-open")
 
     # 6. Open the qualifying groups: every member against the query, exactly.
     mine = opened.join(sets.select("sid", "n", "tokens"), "sid")
     theirs = placed.select(F.col("sid").alias("other"), F.col("n").alias("on"), F.col("star").alias("group")).join(
         tokens.select(F.col("sid").alias("other"), F.col("tokens").alias("ot")), "other")
-    near = (F.col("n") * 100 >= F.col("on") * percent) & (F.col("on") * 100 >= F.col("n") * percent)
-    found = mine.join(theirs, (mine["group"] == theirs["group"]) & near & _linked(
-        F.col("tokens"), F.col("ot"), F.col("n"), F.col("on"), percent))
-    edges = found.select(F.col("sid").alias("a"), F.col("other").alias("b")).unionByName(
-        stars.select(F.col("sid").alias("a"), F.col("head").alias("b")))
-    return marks.select("doc_id", "mark", "n", "cls"), sets.select("sid", "cls"), written(edges, "join-edges")
+    close = (F.col("n") * 100 >= F.col("on") * percent) & (F.col("on") * 100 >= F.col("n") * percent)
+    found = mine.join(theirs, (mine["group"] == theirs["group"]) & close & _linked(
+        F.col("tokens"), F.col("ot"), F.col("n"), F.col("on"), percent)).select("star", mine["group"])
+    # Members of a star are connected already: what remains are links between stars.
+    edges = written(found.select("star", F.col("group").alias("to")).distinct(), "join-links")
+    roots = written(components(edges, "star", "to"), "join-roots")
+    sided = placed.select("sid", "star").join(roots, F.col("star") == F.col("node"), "left").select(
+        "sid", F.coalesce("root", "star").alias("root"))
+    return marks.select("doc_id", "mark", "n", "cls"), sided.join(sets.select("sid", "cls"), "sid").select("cls", "root")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): connected components, the root being the least node of each.
+    """(node, root): the connected components of a graph; equal roots mean one component.
 
-    Every round each node takes the least label among its own and its neighbours', and labels are
-    then replaced by the label of the node they name, which halves long chains. Rounds are written
-    to the shared folder, so a lost executor repeats one round at most.
+    Each round every node joins its least neighbour (or stays, if it is the least itself), and the
+    graph is contracted: an edge now joins what its ends joined, equal edges are one, and edges inside
+    one node are gone. So the graph shrinks at least by half a round, whatever its shape. Rounds are
+    written to the shared folder: a lost executor repeats one round at most.
     """
-    both = written(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(
-        edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct(), "join-graph")
-    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root")), "join-labels")
-    while True:
-        heard = both.join(labels.select(F.col("node").alias("v"), F.col("root").alias("r")), "v").groupBy("u").agg(F.min("r").alias("r"))
-        low = labels.join(heard, labels["node"] == heard["u"], "left").select(
-            "node", F.col("root").alias("was"), F.least("root", F.coalesce("r", "root")).alias("root"))
-        jump = labels.select(F.col("node").alias("at"), F.col("root").alias("next"))
-        after = written(low.join(jump, F.col("root") == F.col("at"), "left").select(
-            "node", "was", F.least("root", F.coalesce("next", "root")).alias("root")), "join-labels")
-        labels = after.select("node", "root")
-        if after.filter(F.col("was") != F.col("root")).isEmpty():
-            return labels
+    graph = written(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).filter("u <> v").distinct(), "join-graph")
+    labels = graph.select(F.col("u").alias("node")).unionByName(graph.select(F.col("v").alias("node"))).distinct()
+    labels = written(labels.withColumn("root", F.col("node")), "join-labels")
+    while not graph.isEmpty():
+        both = graph.unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        joined = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("was"), F.least("u", "v").alias("now"))
+        # One jump more: the node that the neighbour itself joined.
+        again = joined.select(F.col("was").alias("mid"), F.col("now").alias("far"))
+        joined = written(joined.join(again, F.col("now") == F.col("mid")).select("was", "far"), "join-joined")
+        labels = written(labels.join(joined, F.col("root") == F.col("was"), "left").select(
+            "node", F.coalesce("far", "root").alias("root")), "join-labels")
+        to = joined.select(F.col("was").alias("was2"), F.col("far").alias("far2"))
+        moved = graph.join(joined, F.col("u") == F.col("was")).join(to, F.col("v") == F.col("was2"))
+        graph = written(moved.select(F.least("far", "far2").alias("u"), F.greatest("far", "far2").alias("v")).filter(
+            "u <> v").distinct(), "join-graph")
+    return labels
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -235,8 +252,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, t
 
 def _classified(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> DataFrame:
     """Per row: doc_id, mark, n, component_id and root, which names the component."""
-    marks, sets, edges = links(docs, k, percent, text, id_col)
-    roots = components(edges).join(sets, F.col("node") == F.col("sid")).select("cls", F.col("root").alias("found"))
+    marks, roots = links(docs, k, percent, text, id_col)
+    roots = roots.select("cls", F.col("root").alias("found"))
     root, least = fresh("root"), fresh("least")
     own = F.when(F.col("n") > 0, F.coalesce(F.col("found").cast("string"), F.hex("cls")))
     whole = marks.join(roots, "cls", "left").select("doc_id", "mark", "n", own.alias("root"))
