@@ -13,6 +13,8 @@ from strataflow.llm.common import fresh, mix, ship, text_chunks, word_hashes, wr
 
 SHINGLE = 5
 PERCENT = 80
+#: Rows of two numbers; with more of them the texts are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -62,38 +64,42 @@ def _size_class(n: np.ndarray, percent: int) -> np.ndarray:
 def _marked(batches, k: int, percent: int):
     """Per text: set size, class, and the tokens below a bound, to be counted over the whole corpus.
 
-    Tokens that several texts of a chunk with one size class share are known to be shared: the texts
+    Tokens that several classes of a chunk with one size class share are known to be shared: the texts
     are credited at once (``known``), and only one row tells the rest of the corpus, so a very frequent
     token gives a row per chunk, not per text. ``own`` of the first tokens in the list belong to the
-    text itself.
+    class itself; of equal sets in a chunk only the first lists any.
     """
     bound = np.uint64(int(_part(percent) * (2**64 - 1)))
     for batch in batches:
         for first, held in text_chunks(batch, "text"):
             sets = shingle_sets(held, k)
+            classes = [class_of(s) for s in sets]
+            firsts = {c: i for i, c in reversed(list(enumerate(classes)))}
             looked = [s[s <= bound] if _part(percent) < 1 else s for s in sets]
             sizes = _size_class(np.array([len(s) for s in sets]), percent)
-            salted = [t ^ mix(np.array([c + 1], np.uint64)) for t, c in zip(looked, sizes, strict=True)]
+            heard = [t if firsts[c] == i else t[:0] for i, (t, c) in enumerate(zip(looked, classes, strict=True))]
+            salted = [t ^ mix(np.array([c + 1], np.uint64)) for t, c in zip(heard, sizes, strict=True)]
             every, back, times = np.unique(np.concatenate(salted), return_inverse=True, return_counts=True)
             shared = times[back] > 1
             told = np.zeros(len(every), bool)
             at, rows = 0, []
-            for tokens in looked:
+            for tokens in heard:
                 place, both = back[at : at + len(tokens)], shared[at : at + len(tokens)]
                 news = both & ~told[place]
                 told[place[news]] = True
-                rows.append((len(tokens), int(both.sum()), int((~both).sum()), np.concatenate([tokens[~both], tokens[news]])))
+                rows.append((int(both.sum()), int((~both).sum()), np.concatenate([tokens[~both], tokens[news]])))
                 at += len(tokens)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").slice(first, len(held)),
                 "mark": batch.column("mark").slice(first, len(held)),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "size_class": pa.array(sizes, pa.int64()),
-                "cls": pa.array([class_of(s) for s in sets], pa.binary()),
-                "looked": pa.array([r[0] for r in rows], pa.int64()),
-                "known": pa.array([r[1] for r in rows], pa.int64()),
-                "own": pa.array([r[2] for r in rows], pa.int32()),
-                "tokens": _lists([r[3] for r in rows]),
+                "cls": pa.array(classes, pa.binary()),
+                "ref": pa.array([int.from_bytes(c[:8], "little", signed=True) for c in classes], pa.int64()),
+                "looked": pa.array([len(t) for t in looked], pa.int64()),
+                "known": pa.array([r[0] for r in rows], pa.int64()),
+                "own": pa.array([r[1] for r in rows], pa.int32()),
+                "tokens": _lists([r[2] for r in rows]),
             })
 
 
@@ -136,24 +142,29 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
     kind = rows.schema["doc_id"].dataType.simpleString()
     marks = rows.mapInArrow(
         lambda it: _marked(it, k, percent),
-        f"doc_id {kind}, mark long, n long, size_class long, cls binary, looked long, known long, own int, tokens array<long>")
-    marks = written(marks.withColumn("row", F.monotonically_increasing_id()), "join-marks")
+        f"doc_id {kind}, mark long, n long, size_class long, cls binary, ref long, looked long, known long, own int, tokens array<long>")
+    marks = written(marks, "join-marks")
 
     # 1. Rule out what can have no partner: of the tokens looked at, a partner has all but _lacking(n).
-    # A token counts as shared if another text of a size that could link has it.
+    # A token counts as shared if another class of a size that could link has it. ref stands for the
+    # class, in 64 bits; were two classes to share one, they would only be kept more easily.
     least = math.ceil(percent / max(1, 100 - percent))  # smaller sets link with equal ones only
     every = marks.filter(F.col("n") >= least)
-    each = every.select("row", "size_class", "own", F.posexplode("tokens").alias("pos", "token")).select(
-        "token", "size_class", F.when(F.col("pos") < F.col("own"), F.col("row")).alias("row"))
+    each = every.select("ref", "size_class", "own", F.posexplode("tokens").alias("pos", "token")).select(
+        "token", "size_class", F.when(F.col("pos") < F.col("own"), F.col("ref")).alias("ref"))
     near = Window.partitionBy("token").orderBy("size_class").rangeBetween(-1, 1)
-    seen = each.withColumn("times", F.count(F.lit(1)).over(near))
-    met = seen.filter((F.col("times") > 1) & F.col("row").isNotNull()).groupBy("row").agg(F.count(F.lit(1)).alias("met"))
-    able = every.select("row", "doc_id", "mark", "cls", "n", "looked", "known").join(met, "row", "left").filter(
+    seen = each.withColumn("told", F.count(F.lit(1)).over(near) > F.count("ref").over(near)).withColumn(
+        "other", F.min("ref").over(near) < F.max("ref").over(near))
+    met = seen.filter((F.col("told") | F.col("other")) & F.col("ref").isNotNull()).select("ref", "token").distinct().groupBy(
+        "ref").agg(F.count(F.lit(1)).alias("met"))
+    classes = every.groupBy("cls", "ref").agg(
+        F.min(F.struct("doc_id", "mark")).alias("f"), F.max("n").alias("n"), F.max("looked").alias("looked"), F.max("known").alias("known"))
+    able = classes.join(met, "ref", "left").filter(
         F.col("known") + F.coalesce("met", F.lit(0)) >= F.col("looked") - _lacking(F.col("n"), percent))
-    pick = written(able.groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("f")).select(
-        F.col("f")["doc_id"].alias("id2"), F.col("f")["mark"].alias("mark2")), "join-able")
+    pick = written(able.select(F.col("f")["doc_id"].alias("id2"), F.col("f")["mark"].alias("mark2")), "join-able")
 
     # 2. Whole sets of one text for each class that is left.
+    pick = F.broadcast(pick) if pick.count() <= MOST_BROADCAST else pick
     texts = rows.join(pick, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("mark") == F.col("mark2")), "left_semi")
     sets = texts.select("text").mapInArrow(lambda it: _whole(it, k), "cls binary, n long, tokens array<long>")
     sets = written(sets.dropDuplicates(["cls"]).withColumn("sid", F.monotonically_increasing_id()), "join-sets")
@@ -164,38 +175,48 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
     kept = token.groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("times", "token"))).alias("common"))
     length = (_lacking(F.col("n"), percent) + 1 - (F.col("n") - F.size("common"))).cast("int")
     kept = kept.select(
-        "sid", "n", F.transform(F.slice("common", F.lit(1), F.greatest(F.lit(0), length)), lambda p: p["token"]).alias("prefix"),
-        F.array_min(F.transform("common", lambda p: p["token"])).alias("home"))
+        "sid", "n", F.size("common").alias("m"), F.transform(F.slice("common", F.lit(1), F.greatest(F.lit(0), length)), lambda p: p["token"]).alias("prefix"),
+        F.array_min(F.transform("common", lambda p: p["token"])).alias("home"),
+        F.array_max(F.transform("common", lambda p: p["token"])).alias("away"))
     prefixes = written(kept.filter(F.size("prefix") > 0), "join-prefixes")
 
-    # 4. Groups: sets that agree on their least token hash share most tokens as a rule. The first of a
-    # group is its leader; the members that reach the similarity to it are its star.
+    # 4. Groups: sets that agree on their least token hash, then on their greatest, share most tokens as
+    # a rule. The member with the fewest tokens of its own leads; those that reach the similarity to it
+    # are its star, and the second round joins stars by their leaders.
     tokens = sets.select("sid", "tokens")
-    heads = prefixes.groupBy("home").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    lead = heads.join(sets.select(F.col("sid").alias("head"), F.col("n").alias("hn"), F.col("tokens").alias("ht")), "head")
-    member = prefixes.select("sid", "n", "home").join(tokens, "sid")
-    stars = written(member.join(lead, (member["home"] == lead["home"]) & (F.col("sid") != F.col("head")) & _linked(
-        F.col("tokens"), F.col("ht"), F.col("n"), F.col("hn"), percent)).select("sid", "head"), "join-stars")
-    placed = prefixes.join(stars, "sid", "left").select("sid", "n", "prefix", F.coalesce("head", "sid").alias("star"))
-    placed = written(placed, "join-placed")
-
-    # 5. The matrix: for every token the stars whose members' prefixes hold it, with the range of their sizes.
-    # A query opens a star only if its own prefix meets the star's union and the sizes allow a link.
+    placed = prefixes.select("sid", "n", "m", "prefix", "home", "away", F.col("sid").alias("star"))
+    for spot in ("home", "away"):
+        tops = placed.filter(F.col("star") == F.col("sid")).select("sid", "n", "m", spot)
+        heads = tops.groupBy(spot).agg(F.min(F.struct(F.col("n") - F.col("m"), "sid")).alias("h"), F.count(F.lit(1)).alias("members"))
+        heads = heads.filter("members > 1").select(F.col(spot).alias("spot"), F.col("h")["sid"].alias("head"))
+        lead = heads.join(sets.select(F.col("sid").alias("head"), F.col("n").alias("hn"), F.col("tokens").alias("ht")), "head")
+        led = tops.join(tokens, "sid").join(lead, (F.col(spot) == F.col("spot")) & (F.col("sid") != F.col("head")) & _linked(
+            F.col("tokens"), F.col("ht"), F.col("n"), F.col("hn"), percent)).select(F.col("sid").alias("was"), "head")
+        placed = written(placed.join(led, F.col("star") == F.col("was"), "left").withColumn(
+            "star", F.coalesce("head", "star")).drop("was", "head"), "join-placed")
+
+    # 5. The matrix: for every token the stars whose members' prefixes hold it, with the least size of a
+    # star and, per token, how much of a member is left from that token on. That bounds what a query
+    # and any member can have in common, if this token is the first they share; a star is opened only
+    # where a link could still follow.
     bounds = placed.groupBy("star").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    cells = placed.select("star", F.explode("prefix").alias("token")).distinct()
+    each = placed.select("sid", "n", "m", "star", F.posexplode("prefix").alias("pos", "token")).withColumn("left", F.col("m") - F.col("pos"))
+    cells = each.groupBy("star", "token").agg(F.max("left").alias("rest"))
     matrix = cells.join(bounds, "star").withColumnRenamed("star", "group")
-    query = placed.select("sid", "n", "star", F.explode("prefix").alias("token"))
-    fits = (F.col("n") * 100 >= F.col("low") * percent) & (F.col("high") * 100 >= F.col("n") * percent)
+    query = each.select("sid", "n", "star", "left", "token")
+    most = F.least("left", "rest")
+    fits = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent) & (
+        most * (100 + percent) >= (F.col("n") + F.greatest(F.col("low"), most)) * percent)
     met = query.join(matrix, (query["token"] == matrix["token"]) & (F.col("star") < F.col("group")) & fits)
     opened = written(met.select("sid", "star", "group").distinct(), "join-open")
 
-    # 6. Open the qualifying groups: every member against the query, exactly.
+    # 6. Open the qualifying groups: the query against their members, exactly, up to the first link.
     mine = opened.join(sets.select("sid", "n", "tokens"), "sid")
-    theirs = placed.select(F.col("sid").alias("other"), F.col("n").alias("on"), F.col("star").alias("group")).join(
+    theirs = placed.select(F.col("sid").alias("other"), F.col("n").alias("on"), F.col("star").alias("in")).join(
         tokens.select(F.col("sid").alias("other"), F.col("tokens").alias("ot")), "other")
     close = (F.col("n") * 100 >= F.col("on") * percent) & (F.col("on") * 100 >= F.col("n") * percent)
-    found = mine.join(theirs, (mine["group"] == theirs["group"]) & close & _linked(
-        F.col("tokens"), F.col("ot"), F.col("n"), F.col("on"), percent)).select("star", mine["group"])
+    found = mine.join(theirs, (F.col("group") == F.col("in")) & close & _linked(
+        F.col("tokens"), F.col("ot"), F.col("n"), F.col("on"), percent), "left_semi")
     # Members of a star are connected already: what remains are links between stars.
     edges = written(found.select("star", F.col("group").alias("to")).distinct(), "join-links")
     roots = written(components(edges, "star", "to"), "join-roots")
