@@ -43,22 +43,35 @@ def configure(spark: SparkSession, largest_shuffle: int | None = None) -> SparkS
     return spark
 
 
+#: Folders made for local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a fresh temporary folder; on a cluster that would lose
-    data with the machine, so there the setting is required.
+    A local session without the setting gets a fresh temporary folder, kept as long as the session; on
+    a cluster that would lose data with the machine, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="strataflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="strataflow-")
+    return _LOCAL[context.applicationId]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table once nothing reads it any more; only paths below the shared folder."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{path} is not a scratch path")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
