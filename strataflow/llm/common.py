@@ -11,14 +11,22 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataflow.session import scratch_dir
+from strataflow.session import discard, scratch_dir
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: it survives lost executors and is computed once."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def done_with(*tables: DataFrame) -> None:
+    """Remove written tables that only tables already written were made from."""
+    for df in tables:
+        discard(df.sparkSession, df.scratch_path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

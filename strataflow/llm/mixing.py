@@ -183,9 +183,11 @@ def mix_sources(
     )
 
 
-def mixed_rows(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+def mixed_rows(docs: DataFrame, text: str = "text", arranged: bool = True, **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, one row per copy, shuffled within its output shard.
 
+    ``arranged=False`` leaves the order to whoever reads the rows next, and saves the exchange.
+
     A document that the mix takes twice appears twice; one that it does not take is absent; the one
     document per source at the target's edge has its last copy cut after the words still wanted.
     Texts without words carry none of a source's weight and are absent. ``n_chars``, where the table
@@ -201,6 +203,7 @@ def mixed_rows(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     now = {text: F.when(short, leading).otherwise(F.col(f"`{text}`"))}
     if "n_chars" in docs.columns:
         now["n_chars"] = F.when(short, F.length(leading).cast("long")).otherwise(F.col("n_chars"))
-    rows = rows.repartition(F.col(block)["part"], F.shiftrightunsigned(F.col(block)["place"], 56))
-    rows = rows.sortWithinPartitions(F.col(block)["part"], F.col(block)["place"])
+    if arranged:
+        rows = rows.repartition(F.col(block)["part"], F.shiftrightunsigned(F.col(block)["place"], 56))
+        rows = rows.sortWithinPartitions(F.col(block)["part"], F.col(block)["place"])
     return rows.select(*[now.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import fresh, mix, ship, text_chunks, word_hashes, written
+from strataflow.llm.common import done_with, fresh, mix, ship, text_chunks, word_hashes, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -143,13 +143,14 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
     marks = rows.mapInArrow(
         lambda it: _marked(it, k, percent),
         f"doc_id {kind}, mark long, n long, size_class long, cls binary, ref long, looked long, known long, own int, tokens array<long>")
-    marks = written(marks, "join-marks")
+    wide = written(marks, "join-tokens")
+    marks = written(wide.select("doc_id", "mark", "n", "cls"), "join-marks")
 
     # 1. Rule out what can have no partner: of the tokens looked at, a partner has all but _lacking(n).
     # A token counts as shared if another class of a size that could link has it. ref stands for the
     # class, in 64 bits; were two classes to share one, they would only be kept more easily.
     least = math.ceil(percent / max(1, 100 - percent))  # smaller sets link with equal ones only
-    every = marks.filter(F.col("n") >= least)
+    every = wide.filter(F.col("n") >= least)
     each = every.select("ref", "size_class", "own", F.posexplode("tokens").alias("pos", "token")).select(
         "token", "size_class", F.when(F.col("pos") < F.col("own"), F.col("ref")).alias("ref"))
     near = Window.partitionBy("token").orderBy("size_class").rangeBetween(-1, 1)
@@ -164,6 +165,7 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
     pick = written(able.select(F.col("f")["doc_id"].alias("id2"), F.col("f")["mark"].alias("mark2")), "join-able")
 
     # 2. Whole sets of one text for each class that is left.
+    done_with(wide)
     pick = F.broadcast(pick) if pick.count() <= MOST_BROADCAST else pick
     texts = rows.join(pick, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("mark") == F.col("mark2")), "left_semi")
     sets = texts.select("text").mapInArrow(lambda it: _whole(it, k), "cls binary, n long, tokens array<long>")
@@ -184,7 +186,7 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
     # a rule. The member with the fewest tokens of its own leads; those that reach the similarity to it
     # are its star, and the second round joins stars by their leaders.
     tokens = sets.select("sid", "tokens")
-    placed = prefixes.select("sid", "n", "m", "prefix", "home", "away", F.col("sid").alias("star"))
+    placed, made = prefixes.select("sid", "n", "m", "prefix", "home", "away", F.col("sid").alias("star")), [sets, prefixes]
     for spot in ("home", "away"):
         tops = placed.filter(F.col("star") == F.col("sid")).select("sid", "n", "m", spot)
         heads = tops.groupBy(spot).agg(F.min(F.struct(F.col("n") - F.col("m"), "sid")).alias("h"), F.count(F.lit(1)).alias("members"))
@@ -194,6 +196,7 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
             F.col("tokens"), F.col("ht"), F.col("n"), F.col("hn"), percent)).select(F.col("sid").alias("was"), "head")
         placed = written(placed.join(led, F.col("star") == F.col("was"), "left").withColumn(
             "star", F.coalesce("head", "star")).drop("was", "head"), "join-placed")
+        made.append(placed)
 
     # 5. The matrix: for every token the stars whose members' prefixes hold it, with the least size of a
     # star and, per token, how much of a member is left from that token on. That bounds what a query
@@ -219,10 +222,12 @@ def links(docs: DataFrame, k: int, percent: int, text: str, id_col: str) -> tupl
         F.col("tokens"), F.col("ot"), F.col("n"), F.col("on"), percent), "left_semi")
     # Members of a star are connected already: what remains are links between stars.
     edges = written(found.select("star", F.col("group").alias("to")).distinct(), "join-links")
-    roots = written(components(edges, "star", "to"), "join-roots")
+    roots = components(edges, "star", "to")
     sided = placed.select("sid", "star").join(roots, F.col("star") == F.col("node"), "left").select(
         "sid", F.coalesce("root", "star").alias("root"))
-    return marks.select("doc_id", "mark", "n", "cls"), sided.join(sets.select("sid", "cls"), "sid").select("cls", "root")
+    named = written(sided.join(sets.select("sid", "cls"), "sid").select("cls", "root"), "join-roots")
+    done_with(*made, opened, edges, roots)
+    return marks, named
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -237,17 +242,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels = graph.select(F.col("u").alias("node")).unionByName(graph.select(F.col("v").alias("node"))).distinct()
     labels = written(labels.withColumn("root", F.col("node")), "join-labels")
     while not graph.isEmpty():
+        old = [graph, labels]
         both = graph.unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        joined = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("was"), F.least("u", "v").alias("now"))
+        near = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("was"), F.least("u", "v").alias("now"))
         # One jump more: the node that the neighbour itself joined.
-        again = joined.select(F.col("was").alias("mid"), F.col("now").alias("far"))
-        joined = written(joined.join(again, F.col("now") == F.col("mid")).select("was", "far"), "join-joined")
+        again = near.select(F.col("was").alias("mid"), F.col("now").alias("far"))
+        joined = written(near.join(again, F.col("now") == F.col("mid")).select("was", "far"), "join-joined")
         labels = written(labels.join(joined, F.col("root") == F.col("was"), "left").select(
             "node", F.coalesce("far", "root").alias("root")), "join-labels")
         to = joined.select(F.col("was").alias("was2"), F.col("far").alias("far2"))
         moved = graph.join(joined, F.col("u") == F.col("was")).join(to, F.col("v") == F.col("was2"))
         graph = written(moved.select(F.least("far", "far2").alias("u"), F.greatest("far", "far2").alias("v")).filter(
             "u <> v").distinct(), "join-graph")
+        done_with(*old, joined)
     return labels
 
 
