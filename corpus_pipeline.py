@@ -34,8 +34,8 @@ def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources in their target shares, one row per copy."""
-    return mixing.mixed_rows(docs)
+    """The sources in their target shares, one row per copy; the next stage orders the rows anew."""
+    return mixing.mixed_rows(docs, arranged=False)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
