@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 PIECE_CHARS = 1 << 20
 CHUNK_DOCS = 512
 
 
 def chunks(texts, most_chars: int = PIECE_CHARS, most_docs: int = CHUNK_DOCS):
-    """Runs of texts (null as empty) with bounded characters in all, as (first index, [text])."""
+    """Runs of texts (null as empty) with bounded characters in all, as (first index, [text]).
+
+    An Arrow array is turned into strings run by run, so one run is in memory at a time.
+    """
     first, held, size = 0, [], 0
     for i, text in enumerate(texts):
+        text = text.as_py() if isinstance(text, pa.Scalar) else text
         held.append(text if isinstance(text, str) else "")
         size += len(held[-1])
         if size >= most_chars or len(held) >= most_docs:

@@ -87,7 +87,7 @@ _ASCII_LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _POWERS = np.multiply.accumulate(np.full(1 << 14, 0x9E3779B97F4A7C15 | 1, dtype=np.uint64))
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -161,13 +161,9 @@ def count_words(texts) -> np.ndarray:
 
 def text_chunks(batch, column: str, most: int = SLICE_BYTES):
     """Row ranges of an Arrow batch with about ``most`` bytes of text each, as (first, [bytes])."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    texts = pc.fill_null(batch.column(column).cast(pa.large_binary()), b"")
     first, held, size = 0, [], 0
-    for i, text in enumerate(texts):
-        held.append(text.as_py())
+    for i, text in enumerate(batch.column(column)):
+        held.append((text.as_py() or "").encode())
         size += len(held[-1])
         if size >= most:
             yield first, held

@@ -6,7 +6,7 @@ import functools
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -212,9 +212,9 @@ def extract(pages: DataFrame, html: str = "html", model: Trees | None = None) ->
     """
     known = ship(pages.sparkSession).sparkContext.broadcast(model or trained())
 
-    @F.pandas_udf("string")
-    def main_text(htmls: pd.Series) -> pd.Series:
-        return pd.Series([t for _, held in chunks(htmls, 1 << 18, 64) for t in extract_text(held, known.value)], dtype=object)
+    @F.arrow_udf("string")
+    def main_text(htmls: pa.Array) -> pa.Array:
+        return pa.array([t for _, held in chunks(htmls, 1 << 18, 64) for t in extract_text(held, known.value)], pa.string())
 
     out, kept = fresh("text"), pages.drop("text")
     return kept.withColumn(out, main_text(F.col(f"`{html}`"))).withColumnRenamed(out, "text")

@@ -6,12 +6,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.chars import PIECE_CHARS, chunks, code_points, is_class
+from strataflow.llm.chars import chunks, code_points, is_class
 from strataflow.llm.common import fresh, ship, written
 
+#: Characters and texts worked on at once; longer texts go in pieces.
+PIECE_CHARS, CHUNK_DOCS = 1 << 18, 128
 BITS = 12
 DIMS = 1 << BITS
 #: Odd multipliers of the three places of an n-gram.
@@ -95,9 +98,9 @@ class LanguageModel:
     floors: np.ndarray
     idf: np.ndarray
 
-    def predict(self, texts) -> pd.DataFrame:
+    def predict(self, texts) -> pa.StructArray:
         names, scores, rejected = [], [], []
-        for _, held in chunks(texts):
+        for _, held in chunks(texts, PIECE_CHARS, CHUNK_DOCS):
             x = weighted(gram_counts(held), self.idf)
             if len(self.languages):
                 cosine = x @ self.centroids.T
@@ -110,7 +113,9 @@ class LanguageModel:
             scores += [min(max(float(t), 0.0), 1.0) if k else 0.0 for t, k in zip(top, known, strict=True)]
             low = top < self.floors[best] if len(self.languages) else ~known
             rejected += [bool(r) for r in (low | ~known)]
-        return pd.DataFrame({"lang_pred": names, "score": scores, "rejected": rejected})
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
+            ["lang_pred", "score", "rejected"])
 
 
 def fit(
@@ -132,7 +137,7 @@ def fit(
     def frequencies(batches):
         df, n = np.zeros(DIMS), 0
         for batch in batches:
-            for _, held in chunks(batch["text"]):
+            for _, held in chunks(batch["text"], PIECE_CHARS, CHUNK_DOCS):
                 df += (gram_counts(held) > 0).sum(axis=0)
                 n += len(held)
         yield pd.DataFrame({"k": np.arange(-1, DIMS), "n": np.concatenate([[n], df]).astype(np.int64)})
@@ -175,8 +180,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     """
     known = ship(docs.sparkSession).sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
+    def predict(texts: pa.Array) -> pa.Array:
         return known.value.predict(texts)
 
     out, kept = fresh("lang"), docs.drop("lang_pred", "score", "rejected")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -231,9 +232,9 @@ def score_quality(docs: DataFrame, model: LineModel, text: str = "text", thresho
     """
     known = ship(docs.sparkSession).sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(known.value.scores(texts))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(known.value.scores(texts), pa.float64())
 
     rows = docs.drop("score", "predicted").withColumn("score", score(F.col(f"`{text}`")))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
