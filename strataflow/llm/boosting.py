@@ -29,7 +29,7 @@ class Trees:
         return 1 / (1 + np.exp(-total))
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2, ridge: float = 2.0) -> Trees:
+def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 5, rate: float = 0.2, ridge: float = 2.0) -> Trees:
     """Fit by second-order boosting of the logistic loss; exact repeats give exact repeats."""
     n, width = x.shape
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(width)]

@@ -254,6 +254,10 @@ def forest(pages: list[Page]) -> Forest:
         (start + chars) / whole, depth, np.log1p(place), place / n_mates, np.log1p(n_mates), alike / n_mates, np.log1p(before),
         np.log1p(after), np.log1p(whole), words / (tree[:, 10] + 1), tree[:, 2] / (tree[:, 10] + 1),
     ], axis=1)
+    # In sum: does anything in the node's own markup, or above it, speak against main text, or for it?
+    against, above_against = (n[:, 1:11].sum(axis=1) + k[:, 14:19].sum(axis=1) for n, k in ((named, kind), (above_named, above_kind)))
+    above_for = above_kind[:, 1:3].sum(axis=1) + above_named[:, 0]
+    derived = np.column_stack([derived, against, above_against, above_for, above_for * (above_against + against == 0)])
     return Forest(parent, first, levels, np.concatenate([derived, kind, above_kind, named, above_named], axis=1))
 
 

@@ -15,7 +15,7 @@ from strataflow.llm.chars import chunks
 from strataflow.llm.common import fresh, ship
 from strataflow.llm.dom import decode, forest, read_page, text_of
 
-TRAINING_PAGES = 700
+TRAINING_PAGES = 600
 SEED = 7
 MAIN = "\u0001"
 

@@ -22,7 +22,7 @@ SHARE = 1.5
 MOST_TIMES = 2
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def _word_counts(texts: pa.Array) -> pa.Array:
     return pa.array(count_words(texts), pa.int64())
 

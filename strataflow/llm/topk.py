@@ -54,7 +54,7 @@ def search_block(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np
     (Cauchy-Schwarz). A query is closed as soon as the rows whose score could still reach the k-th
     best lower bound are few; those, ties included, are scored exactly.
     """
-    largest = max(np.abs(queries).max(initial=0), 1) * max(np.abs(rows).max(initial=0), 1) * max(rows.shape[1], 1)
+    largest = float(max(np.abs(queries).max(initial=0), 1)) * float(max(np.abs(rows).max(initial=0), 1)) * max(rows.shape[1], 1)
     kind = np.float32 if largest < 2**23 else np.float64
     exact = np.int64 if largest >= 2**52 else None  # beyond a double's integers: bounds round, scores don't
     q, r = queries.astype(kind), rows.astype(kind)
@@ -122,7 +122,7 @@ def top_k(
     neither do null ids; vectors of another width than the query's are not compared; a query with
     fewer than k others gets all of them; ties go to the smaller vec_id; rows that repeat a vec_id
     are one candidate each, but never for a query of that same vec_id; query rows that repeat an id
-    share one list; an empty table gives no rows.
+    share one list; an empty table gives no rows; a score beyond a long is an error.
     """
     ship(vectors.sparkSession)
     every = quantised(vectors, vec, id_col, scale)
