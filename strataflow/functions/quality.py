@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..spec import Columns, RangeRule, build_schema
 
@@ -47,6 +48,24 @@ def conform_columns(df: DataFrame, columns: Columns) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name, _ in columns if name in df.columns])
 
 
+def unconverted(df: DataFrame, columns: Columns, keys: Sequence[str] = ()) -> dict[str, Column]:
+    """Per declared column whose type differs from the data's: how many values would not survive the cast.
+
+    A value that becomes null counts. Of a key column with a numeric type every value counts that does
+    not come back unchanged, since such a cast can make two keys one.
+    """
+    counts = {}
+    for f in build_schema(columns).fields:
+        if f.name not in df.columns or df.schema[f.name].dataType == f.dataType:
+            continue
+        was, now = F.col(f"`{f.name}`"), F.col(f"`{f.name}`").try_cast(f.dataType)
+        lost = now.isNull()
+        if f.name in keys and isinstance(f.dataType, T.NumericType):
+            lost = lost | ~now.try_cast(df.schema[f.name].dataType).eqNullSafe(was)
+        counts[f.name] = F.count(F.when(was.isNotNull() & lost, True))
+    return counts
+
+
 def conform_to_contract(df: DataFrame, columns: Columns, keep_extra: bool = False) -> DataFrame:
     """Exactly the declared columns, types and order.
 

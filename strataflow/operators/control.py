@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
-# Log columns, statuses and the note limit.
+# Log columns and statuses.
 CONTROL_SCHEMA = (
     "pipeline_name string, source_name string, batch_id string, ingest_ts timestamp, "
     "rows_read bigint, rows_written bigint, status string, notes string"
 )
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
-NOTE_LIMIT = 500
+# Values that did not convert, counted per column: an event of its own, since a note of SUCCESS is a commit.
+UNCONVERTED = "UNCONVERTED"
 
 
 def new_run_id() -> str:
@@ -35,7 +36,10 @@ def log_run(
     rows_written: int = 0,
     notes: str = "",
 ) -> None:
-    """Append one run event. Logging never fails a run: problems become warnings.
+    """Append one run event with its whole note.
+
+    A SUCCESS event is the ledger, so a run fails if it cannot be written; other events are
+    best-effort, and problems become warnings.
 
     Each event has a folder of its own, so concurrent runs never share a commit folder; a pipeline's
     events can be read without listing the others'.
@@ -48,12 +52,14 @@ def log_run(
         "rows_read": F.lit(rows_read).cast("bigint"),
         "rows_written": F.lit(rows_written).cast("bigint"),
         "status": F.lit(status),
-        "notes": F.lit(notes[:NOTE_LIMIT]),
+        "notes": F.lit(notes),
     }
     try:
         event = spark.range(0, 1, 1, 1).select(*[v.alias(name) for name, v in values.items()])
         event.write.mode("overwrite").parquet(f"{path}/{pipeline}/{run_id}-{status}")
     except Exception as error:  # noqa: BLE001
+        if status == SUCCESS:
+            raise
         log.warning("control log %s not written: %s", path, error)
 
 

@@ -22,5 +22,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str | None = N
     order = ([order_col] if order_col else []) + rest
     if not order:
         return df.distinct()
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    quoted = [F.col(f"`{c}`") for c in keys]
+    w = Window.partitionBy(*quoted).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in order])
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")

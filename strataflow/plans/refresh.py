@@ -8,6 +8,7 @@ follows, and repeating it replaces its output.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -25,7 +26,7 @@ from ..functions.enrich import (
     with_file_metadata,
     with_silver_metadata,
 )
-from ..functions.quality import conform_to_contract
+from ..functions.quality import conform_to_contract, unconverted
 from ..operators import control as ctl
 from ..operators import merge
 from ..operators.audit import row_counts
@@ -152,7 +153,7 @@ def ingest(
     ``source`` is the topic stream (see ``sources.kafka``); landing files are found from the spec.
     """
     with _logged(spark, layout, "bronze", spec.name) as run:
-        run.version = position(spark, layout, "bronze", spec.name)
+        run.version = _reached(spark, layout, "bronze", spec.name)
 
         def on_commit(batch_id: int, rows: int) -> None:
             run.rows_read += rows
@@ -258,11 +259,11 @@ def promote(
             return run
         feed = read_commits(
             spark, layout.table("bronze", bronze.name), bronze_schema(bronze), after, upto)
-        run.rows_read = feed.count()
+        _count_feed(spark, spec, feed, layout, run)
         stamped = with_silver_metadata(feed, created=True, now=now)
         rows = conform_to_contract(stamped, spec.columns)
         if spec.table:
-            _merge_in_place(spark, spec, rows, run)
+            _merge_in_place(spark, spec, rows, run, options)
         elif spec.load in ("cdc_history", "append_dedup"):
             _append(spark, spec, rows, layout, after, upto, run, options)
         else:
@@ -270,8 +271,35 @@ def promote(
     return run
 
 
+def _count_feed(spark, spec, feed, layout, run) -> None:
+    """Count the feed and the values that its declared types cannot hold.
+
+    A key that does not convert fails the run: cast, it could become one with another key, or null.
+    Other values become null; how many is logged per column.
+    """
+    counts = {n: c.alias(n) for n, c in unconverted(feed, spec.columns, spec.keys).items()}
+    if not counts:  # footers are enough
+        run.rows_read = feed.count()
+        return
+    found = feed.agg(F.count(F.lit(1)).alias("rows"), F.struct(*counts.values()).alias("lost")).first()
+    run.rows_read = found["rows"]
+    lost = {n: c for n, c in found["lost"].asDict().items() if c}
+    keys = {n: c for n, c in lost.items() if n in spec.keys}
+    if keys:
+        raise ValueError(f"{spec.name}: key values that do not convert, by column: {keys}")
+    if lost:
+        ctl.log_run(spark, layout.control, layout.pipeline("silver", spec.name), spec.name, ctl.new_run_id(),
+                    ctl.UNCONVERTED, run.rows_read, 0, json.dumps(lost))
+
+
+def _reached(spark: SparkSession, layout: Layout, layer: str, name: str) -> int | None:
+    """The last commit of a stream: the ledger's, or a later one that Spark completed but whose entry is lost."""
+    known = [position(spark, layout, layer, name), sink.completed_batch(spark, layout.checkpoint(layer, name))]
+    return max((k for k in known if k is not None), default=None)
+
+
 def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
-    run.version = position(spark, layout, "silver", spec.name)
+    run.version = _reached(spark, layout, "silver", spec.name)
     if position(spark, layout, "bronze", bronze.name) is None:
         return
 
@@ -372,8 +400,16 @@ def _merge(spark, spec, rows, layout, after, upto, run, options) -> None:
     run.rows_written = sink.observed_rows(seen)
 
 
-def _merge_in_place(spark, spec, rows, run) -> None:
-    """The load pattern as one MERGE; only the files that hold touched keys are rewritten."""
+def _merge_in_place(spark, spec, rows, run, options) -> None:
+    """The load pattern as one MERGE; only the files that hold touched keys are rewritten.
+
+    Of the patterns' options it has ``guard`` of incremental_replace; others are refused.
+    ``rows_written`` counts the rows offered to the MERGE.
+    """
+    options = dict(options)
+    guard = options.pop("guard", False) if spec.load == "incremental_replace" else False
+    if options:
+        raise ValueError(f"{spec.load} into a catalog table has no option {', '.join(sorted(options))}")
     appended = spec.load in ("cdc_history", "append_dedup")
     order = spec.sequence_col if spec.load == "cdc_merge" else spec.order_col
     reduced = scratch_dir(spark, "staged")
@@ -383,7 +419,7 @@ def _merge_in_place(spark, spec, rows, run) -> None:
     )
     staged.write.parquet(reduced)
     staged = spark.read.schema(rows.schema).parquet(reduced)
-    guarded = spec.load in ("full_merge", "cdc_merge")
+    guarded = spec.load in ("full_merge", "cdc_merge") or guard
     sink.merge_into(
         staged, spec.table, spec.keys,
         update_if=F.col(f"src.{order}") >= F.col(f"{spec.table}.{order}") if guarded else None,
@@ -416,6 +452,8 @@ def full_refresh(
     The rebuild has its own paths, checkpoint and ledger; the previous generation stays readable.
     ``reread_landing`` rebuilds the raw table from its landing files first.
     """
+    if spec.table:
+        raise ValueError("a catalog table has one generation: rebuild it under another table name")
     fresh = replace(layout, silver_generation=layout.silver_generation + 1)
     if reread_landing:
         fresh = replace(fresh, bronze_generation=layout.bronze_generation + 1)

@@ -18,7 +18,6 @@ from ..operators.size import fits_broadcast
 from ..session import scratch_dir
 from ..sinks import tables as sink
 from ..sources import tables as source
-from ..sources.landing import read_landing_stream
 from ..sources.tables import BATCH, read_table
 from ..spec import BronzeSpec, RangeRule, SilverSpec, build_schema, columns
 from ..streaming.append import stream_dedup, streaming_append, with_watermark
@@ -457,21 +456,6 @@ def csv_landing_to_bronze(spark, sf_dir):
     return _ingested(spark, spec).select(*[c for c, _ in cols])
 
 
-@query()
-def binary_file_scan(spark, sf_dir):
-    """The tables' own files as binary objects; content is not requested, so it is not read."""
-    spec = BronzeSpec("files", "binaryFile", landing=sf_dir,
-                      read_options={"pathGlobFilter": "*.parquet"})
-    out = scratch_dir(spark, "files")
-    stream = read_landing_stream(spark, spec).select(
-        F.substring_index("path", "/", -1).alias("file_name"),
-        F.col("length").alias("file_size_bytes"),
-    )
-    sink.append_stream(stream, out, scratch_dir(spark, "checkpoint")).awaitTermination()
-    schema = build_schema(columns("file_name string, file_size_bytes long"))
-    return read_table(spark, out, schema).drop(BATCH)
-
-
 @query("SELECT event_id, props FROM events")
 def binary_landing_to_bronze(spark, sf_dir):
     """Binary objects with their content: events as small text files, taken whole and unpacked."""
@@ -516,25 +500,52 @@ def current_version(spark, sf_dir):
 
 
 @query(f"""
-SELECT product_id, price, CASE WHEN feed_no = 2 THEN brand END AS brand
-FROM ({as_sql(fx.PRODUCT_FEED)}) WHERE feed_no < 3
+SELECT product_id, price, CASE WHEN feed_no >= 2 THEN brand END AS brand,
+       CASE WHEN feed_no = 3 THEN category END AS category
+FROM ({as_sql(fx.PRODUCT_FEED)})
 """)
 def schema_evolution_append(spark, sf_dir):
     feed, path = derive(spark, sf_dir, fx.PRODUCT_FEED), scratch_dir(spark, "evolving")
     sink.append_batch(feed.filter("feed_no = 1").select("product_id", "price"), path, 0)
     sink.append_batch(feed.filter("feed_no = 2").select("product_id", "price", "brand"), path, 1)
-    return read_table(spark, path).select("product_id", "price", "brand")
+    wide = feed.filter("feed_no = 3").select("product_id", "price", "brand", "category")
+    sink.append_batch(wide, path, 2)
+    return read_table(spark, path).select("product_id", "price", "brand", "category")
 
 
 @query(f"""
-SELECT product_id, price, CASE WHEN feed_no = 2 THEN brand END AS brand
-FROM ({as_sql(fx.PRODUCT_FEED)}) WHERE feed_no < 3
+SELECT product_id, price, CASE WHEN feed_no >= 2 THEN brand END AS brand,
+       CASE WHEN feed_no = 3 THEN category END AS category
+FROM ({as_sql(fx.PRODUCT_FEED)})
 """)
 def append_evolving(spark, sf_dir):
     feed = derive(spark, sf_dir, fx.PRODUCT_FEED)
-    return sink.append_evolving(
+    two = sink.append_evolving(
         feed.filter("feed_no = 1").select("product_id", "price"),
         feed.filter("feed_no = 2").select("product_id", "price", "brand"))
+    return sink.append_evolving(
+        two, feed.filter("feed_no = 3").select("product_id", "price", "brand", "category"))
+
+
+@query(f"""
+SELECT status, rows_read, rows_written, lost FROM (
+  SELECT 'UNCONVERTED' AS status, count(*) AS rows_read, 0 AS rows_written, count(o_orderpriority) AS lost FROM orders
+  UNION ALL SELECT 'SUCCESS', count(*), count(*), NULL FROM orders)
+""")
+def promote_unconvertible(spark, sf_dir):
+    """Values that their declared type cannot hold are counted in the run log, per column."""
+    lake, cols = refresh.Layout(scratch_dir(spark, "lake")), columns("o_orderkey long, o_orderpriority string")
+    landing = scratch_dir(spark, "landing")
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority").write.parquet(landing)
+    raw = BronzeSpec("orders", "parquet", columns=cols, landing=landing)
+    refined = SilverSpec("orders_numbers", "append_dedup", "orders", ("o_orderkey",),
+                         columns("o_orderkey long, o_orderpriority long"))
+    refresh.ingest(spark, raw, lake)
+    refresh.promote(spark, refined, raw, lake, within_feed="keep")
+    log = control.read_control(spark, f"{lake.control}/{lake.pipeline('silver', refined.name)}")
+    counts = F.from_json("notes", "o_orderpriority long")["o_orderpriority"]
+    return log.filter("status <> 'STARTED'").select(
+        "status", "rows_read", "rows_written", F.when(F.col("status") == control.UNCONVERTED, counts).alias("lost"))
 
 
 # --- Streams ------------------------------------------------------------------------------------

@@ -235,3 +235,13 @@ def merge_into(
         writer = matched.update(changed)
     missing = writer.whenNotMatched() if insert_if is None else writer.whenNotMatched(insert_if)
     missing.insert(values).merge()
+
+
+def completed_batch(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last micro-batch that Spark has marked as completed in a checkpoint, or None."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [entry.getPath().getName() for entry in files.listStatus(folder)]
+    return max((int(n) for n in names if n.isdigit()), default=None)

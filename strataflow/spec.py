@@ -117,6 +117,10 @@ class SilverSpec:
             raise ValueError(f"unknown load pattern: {self.load!r}")
         if self.load in ("full_merge", "incremental_replace") and not self.order_col:
             raise ValueError(f"{self.load} needs order_col, the column that tells recency")
+        if self.table and self.load == "streaming_append":
+            raise ValueError("streaming_append appends to its own path; table= is for merged tables")
+        if self.buckets and self.partition_cols:
+            raise ValueError("a bucketed table is laid out by key: give buckets or partition_cols")
 
     @classmethod
     def from_config(cls, entry: Mapping) -> SilverSpec:
