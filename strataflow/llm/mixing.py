@@ -20,6 +20,8 @@ from strataflow.llm.common import count_words, fresh, ranked, ship
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_TIMES = 2
+#: Sources; with more of them their rows of totals are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 
 @F.arrow_udf(T.LongType())
@@ -151,7 +153,9 @@ def mix_sources(
     ])
     rows = rows.withColumn(spread, F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text}`")))
     rows, rank, before = ranked(rows, [own, F.col(size) > 0], F.col(spread), total, F.col(size))
-    rows = rows.join(spark.createDataFrame(plan, fields), own.eqNullSafe(F.col(name)))
+    # One row per source, as many as the driver just held: small enough to broadcast below the bound.
+    near = F.broadcast if len(facts) <= MOST_BROADCAST else (lambda df: df)
+    rows = rows.join(near(spark.createDataFrame(plan, fields)), own.eqNullSafe(F.col(name)))
     extra = F.greatest(F.lit(0), F.least(F.col(size), F.col(name + "r") - F.col(before)))
     rows = rows.withColumn("mix_taken", F.col(size) * F.col(name + "t") + extra).withColumn(spread + "x", extra)
     # Copies in the permutation's order: the whole rounds first, then the front of it once more.
@@ -167,7 +171,7 @@ def mix_sources(
             T.StructField(name + "c", T.ArrayType(T.LongType())),
         ]),
     )
-    rows = rows.join(cuts, own.eqNullSafe(F.col(name + "2")))
+    rows = rows.join(near(cuts), own.eqNullSafe(F.col(name + "2")))
     number = F.col(name + "t") + (F.col(spread + "x") > 0).cast("int")
     copies = F.when((F.col(size) > 0) & (number > 0), F.transform(
         F.sequence(F.lit(0), number.cast("int") - 1),
