@@ -9,6 +9,7 @@ follows, and repeating it replaces its output.
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -303,7 +304,19 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
     if position(spark, layout, "bronze", bronze.name) is None:
         return
 
+    # Spark keeps the progress of the last batches only, so it is read batch by batch.
+    read: dict[int, int] = {}
+    started: list[StreamingQuery] = []
+    ready = threading.Event()
+
+    def note_progress() -> None:
+        for progress in started[0].recentProgress:
+            batch = progress["batchId"]
+            read[batch] = max(read.get(batch, 0), progress["numInputRows"])
+
     def on_commit(batch_id: int, rows: int) -> None:
+        ready.wait()
+        note_progress()
         run.rows_written += rows
         run.version = batch_id
 
@@ -318,8 +331,11 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
         spec.clustered,
         on_commit=on_commit,
     )
+    started.append(query)
+    ready.set()
     query.awaitTermination()
-    run.rows_read = sum(p["numInputRows"] for p in query.recentProgress)
+    note_progress()
+    run.rows_read = sum(read.values())
 
 
 def _append(spark, spec, rows, layout, after, upto, run, options) -> None:

@@ -106,3 +106,23 @@ def test_specs_that_cannot_work_are_refused():
 def test_latest_per_key_takes_names_with_dots(spark):
     df = spark.createDataFrame([(1, 1), (1, 2)], "`a.k` long, `a.v` long")
     assert rows(latest_per_key(df, ["a.k"], "a.v")) == bag((1, 2))
+
+
+def test_rows_read_of_more_batches_than_spark_remembers(spark, tmp_path):
+    layout, cols = Layout(str(tmp_path)), columns("reading_id string, event_ts timestamp")
+    raw = BronzeSpec("readings", "json", columns=cols)
+    for number in range(7):
+        made = spark.range(number + 1).select(
+            F.concat_ws("-", F.lit(number), "id").alias("reading_id"), F.lit("2026-05-01").cast("timestamp").alias("event_ts"))
+        append_batch(made.coalesce(1), layout.table("bronze", "readings"), number)
+    control.log_run(spark, layout.control, layout.pipeline("bronze", "readings"), "readings", "raw", control.SUCCESS, notes="6")
+    spec = SilverSpec("read", "streaming_append", "readings", ("reading_id",), cols, order_col="event_ts",
+                      read_options={"maxFilesPerTrigger": "1"})
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        run = promote(spark, spec, raw, layout)
+    finally:
+        spark.conf.set(key, before)
+    assert run.rows_read == run.rows_written == 28
