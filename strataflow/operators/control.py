@@ -19,6 +19,8 @@ CONTROL_SCHEMA = (
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 # Values that did not convert, counted per column: an event of its own, since a note of SUCCESS is a commit.
 UNCONVERTED = "UNCONVERTED"
+# The last raw commit that a promotion of a stream has read to its end, as its note.
+DRAINED = "DRAINED"
 
 
 def new_run_id() -> str:
@@ -81,18 +83,18 @@ def runs_with_status(control: DataFrame, pipeline: str, status: str = SUCCESS) -
     return control.filter((F.col("pipeline_name") == pipeline) & (F.col("status") == status))
 
 
-def last_processed(control: DataFrame, pipeline: str) -> DataFrame:
+def last_processed(control: DataFrame, pipeline: str, status: str = SUCCESS) -> DataFrame:
     """The highest commit a pipeline has finished, as one row ``(last_version)``, null if none.
 
     Successful runs keep it in their note; notes that are not numbers are ignored.
     """
-    done = runs_with_status(control, pipeline)
+    done = runs_with_status(control, pipeline, status)
     return done.agg(F.max(F.col("notes").try_cast("bigint")).alias("last_version"))
 
 
-def ledger_position(control: DataFrame, pipeline: str) -> int | None:
+def ledger_position(control: DataFrame, pipeline: str, status: str = SUCCESS) -> int | None:
     """``last_processed`` as a number for planning a range; commit 0 is a valid position."""
-    return last_processed(control, pipeline).first()["last_version"]
+    return last_processed(control, pipeline, status).first()["last_version"]
 
 
 def recent_runs(control: DataFrame, n: int | None = None) -> DataFrame:

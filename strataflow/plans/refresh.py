@@ -65,6 +65,10 @@ class Layout:
     bronze_generation: int = 0
     silver_generation: int = 0
 
+    def __post_init__(self):
+        if set(self.root) & set("{}[]*?\\"):
+            raise ValueError(f"Spark would read {self.root!r} as a pattern: a root must not hold any of {{}}[]*?\\")
+
     def _generation(self, layer: str) -> int:
         return self.bronze_generation if layer == "bronze" else self.silver_generation
 
@@ -107,11 +111,13 @@ def _logged(spark: SparkSession, layout: Layout, layer: str, name: str) -> Itera
                 run.rows_read, run.rows_written, note)
 
 
-def position(spark: SparkSession, layout: Layout, layer: str, name: str) -> int | None:
+def position(
+    spark: SparkSession, layout: Layout, layer: str, name: str, status: str = ctl.SUCCESS
+) -> int | None:
     """The last commit a pipeline has completed, or None."""
     pipeline = layout.pipeline(layer, name)
     control = ctl.read_control(spark, f"{layout.control}/{pipeline}")
-    return ctl.ledger_position(control, pipeline)
+    return ctl.ledger_position(control, pipeline, status)
 
 
 def _completed(spark: SparkSession, layout: Layout, layer: str, name: str) -> int:
@@ -169,6 +175,7 @@ def ingest(
             spec.partition_cols,
             spec.clustered,
             on_commit=on_commit,
+            done=position(spark, layout, "bronze", spec.name),
         ).awaitTermination()
     return run
 
@@ -200,6 +207,7 @@ def start_ingest(
         spec.clustered,
         trigger or {"processingTime": "1 minute"},
         on_commit,
+        position(spark, layout, "bronze", spec.name),
     )
 
 
@@ -300,8 +308,11 @@ def _reached(spark: SparkSession, layout: Layout, layer: str, name: str) -> int
 
 
 def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
+    # The raw table is read up to its last logged commit: a later one may be incomplete still.
     run.version = _reached(spark, layout, "silver", spec.name)
-    if position(spark, layout, "bronze", bronze.name) is None:
+    upto = position(spark, layout, "bronze", bronze.name)
+    after = position(spark, layout, "silver", spec.name, ctl.DRAINED)
+    if upto is None or upto == after:
         return
 
     # Spark keeps the progress of the last batches only, so it is read batch by batch.
@@ -322,7 +333,7 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
 
     path = layout.table("bronze", bronze.name)
     schema = bronze_schema(bronze) or read_table(spark, path).schema
-    stream = read_table_stream(spark, path, schema, **spec.read_options)
+    stream = read_table_stream(spark, path, schema, after, upto, **spec.read_options)
     query = sink.append_stream(
         streaming_append(stream, spec, now, **options),
         layout.table("silver", spec.name),
@@ -336,6 +347,8 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
     query.awaitTermination()
     note_progress()
     run.rows_read = sum(read.values())
+    ctl.log_run(spark, layout.control, layout.pipeline("silver", spec.name), spec.name, ctl.new_run_id(),
+                ctl.DRAINED, run.rows_read, run.rows_written, str(upto))
 
 
 def _append(spark, spec, rows, layout, after, upto, run, options) -> None:
@@ -386,16 +399,26 @@ def _history(spark: SparkSession, spec: SilverSpec, layout: Layout, upto: int) -
 
 
 def _merge(spark, spec, rows, layout, after, upto, run, options) -> None:
-    state = None if after is None else _state(spark, spec, layout, after)
+    path = layout.table("silver", spec.name)
     # Reduce the feed once and keep the result: every plan below reads it as a plain table, whose
-    # size is known. Spark can then hash-join it instead of sorting the state.
+    # size is known.
     order = spec.sequence_col if spec.load == "cdc_merge" else spec.order_col
     reduced = scratch_dir(spark, "staged")
     latest_per_key(rows, spec.keys, order).write.parquet(reduced)
     staged = spark.read.schema(rows.schema).parquet(reduced)
+    if spec.buckets:
+        mapped = {} if after is None else sink.read_bucket_map(spark, path, after, spec.buckets)
+        touched = sink.touched_buckets(staged, spec.keys, spec.buckets)
+        if not touched:
+            sink.write_bucket_map(spark, path, upto, mapped, touched, spec.buckets)
+            return
+        state = sink.read_buckets(
+            spark, path, {b: mapped[b] for b in touched if b in mapped}, build_schema(spec.columns))
+    else:
+        state = None if after is None else _state(spark, spec, layout, after)
     seen = Observation()
     options = {"applied": seen, "reduced": True, **options}
-    if state is not None and not spec.buckets:
+    if state is not None:
         options.setdefault("small_feed", fits_broadcast(staged))
     if spec.load == "cdc_merge":
         merged = merge.cdc_merge(
@@ -404,13 +427,10 @@ def _merge(spark, spec, rows, layout, after, upto, run, options) -> None:
         merged = merge.full_merge(state, staged, spec.keys, spec.order_col, **options)
     else:
         merged = merge.incremental_replace(state, staged, spec.keys, spec.order_col, **options)
-    path = layout.table("silver", spec.name)
     if spec.buckets:
-        location = f"{path}/v={upto}"
-        if state is None:  # later runs: the join already leaves one bucket per task
-            merged = merged.repartition(spec.buckets, *spec.keys)
-        sink.save_as_table(merged, sink.bucketed_name(spec.name, location), location,
-                           bucket_by=(spec.buckets, spec.keys))
+        sink.write_buckets(
+            merged, path, upto, spec.keys, spec.buckets, spec.partition_cols, spec.clustered)
+        sink.write_bucket_map(spark, path, upto, mapped, touched, spec.buckets)
     else:
         sink.write_snapshot(merged, path, upto, spec.partition_cols, spec.clustered)
     run.rows_written = sink.observed_rows(seen)
@@ -449,9 +469,9 @@ def _state(spark: SparkSession, spec: SilverSpec, layout: Layout, version: int)
     path, schema = layout.table("silver", spec.name), build_schema(spec.columns)
     if not spec.buckets:
         return sink.read_snapshot(spark, path, version, schema)
-    location = f"{path}/v={version}"
-    return sink.open_bucketed(spark, sink.bucketed_name(spec.name, location), location, schema,
-                              (spec.buckets, spec.keys))
+    mapped = sink.read_bucket_map(spark, path, version, spec.buckets)
+    rows = sink.read_buckets(spark, path, mapped, schema)
+    return spark.createDataFrame([], schema) if rows is None else rows
 
 
 def full_refresh(

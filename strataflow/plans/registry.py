@@ -739,11 +739,35 @@ def stream_late_rows(spark, sf_dir):
     for number in range(4):
         sink.append_batch(events.filter(F.col(BATCH) == number), raw, number)
         stream = source.read_table_stream(spark, raw, build_schema(cols))
-        staged = streaming_append(stream, spec, spread=False)
+        staged = streaming_append(stream, spec)
         sink.append_stream(staged, out, checkpoint).awaitTermination()
     return read_table(spark, out, build_schema(cols)).select("event_id")
 
 
+@query(f"""
+SELECT DISTINCT event_id, field_id, reading, user_id, event_id % 3 = 2 AS second_run
+FROM ({as_sql(fx.SENSOR_EVENTS)}) WHERE reading BETWEEN 5 AND 60
+""")
+def promote_stream_bounded(spark, sf_dir):
+    """A raw commit that is on disk but not logged waits for the promotion after its log entry."""
+    layout = refresh.Layout(scratch_dir(spark, "lake"))
+    raw = BronzeSpec("reads", "json", ingest="streaming", columns=SENSOR_COLUMNS)
+    spec = SilverSpec("reads", "streaming_append", "reads", ("event_id",), SENSOR_COLUMNS,
+                      order_col="event_ts", delay="3650 days", rules=READING_RULES)
+    events = derive(spark, sf_dir, fx.SENSOR_EVENTS)
+    events = events.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    path, pipeline = layout.table("bronze", "reads"), layout.pipeline("bronze", "reads")
+    for number in range(3):
+        sink.append_batch(events.filter(F.col("event_id") % 3 == number), path, number)
+    runs = []
+    for logged in (1, 2):
+        control.log_run(spark, layout.control, pipeline, "reads", f"run{logged}", control.SUCCESS,
+                        notes=str(logged))
+        runs.append(refresh.promote(spark, spec, raw, layout))
+    rows = read_table(spark, layout.table("silver", "reads"), build_schema(SENSOR_COLUMNS))
+    return rows.select(*READINGS, (F.col(BATCH) > runs[0].version).alias("second_run"))
+
+
 ORDERS_BRONZE = BronzeSpec("orders", "json", columns=CDC_COLUMNS)
 ORDERS_SILVER = SilverSpec("orders_current", "cdc_merge", "orders", ("order_id",), CDC_COLUMNS)
 
@@ -767,7 +791,7 @@ def promote_incremental(spark, sf_dir):
 
 @query(CDC_WARM)
 def promote_bucketed(spark, sf_dir):
-    """State kept distributed by key between runs: each run shuffles only its feed."""
+    """State split by key hash: a run reads and writes only the buckets its feed touches."""
     spec = replace(ORDERS_SILVER, buckets=8)
     return refresh.read_silver(spark, spec, _promoted(spark, sf_dir, spec))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -17,6 +18,7 @@ from ..operators.merge import CREATED
 from ..sources.tables import BATCH, with_batch_column
 
 BUCKET = "_bucket"
+MAP_SCHEMA = "buckets int, held map<string,long>"
 
 
 def observed_rows(seen: Observation) -> int:
@@ -55,15 +57,25 @@ def append_stream(
     clustered: bool = False,
     trigger: dict | None = None,
     on_commit: Callable[[int, int], None] | None = None,
+    done: int | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a table, one commit per micro-batch.
 
     The default trigger drains what is pending and stops. A micro-batch replayed after a failure
     overwrites its own commit, so the table holds each row once. ``on_commit(batch_id, rows)`` is
     called after each commit; the count is observed during the write.
+
+    ``done`` is the last commit that readers may already follow: a replay of it runs, but leaves its
+    files alone. A checkpoint further behind is not the one that wrote the table and is refused.
     """
+    if done is not None:
+        reached = completed_batch(stream.sparkSession, checkpoint)
+        if (-1 if reached is None else reached) < done - 1:
+            raise ValueError(f"commit {done} is complete, but the checkpoint {checkpoint} has reached {reached}")
 
     def commit(batch: DataFrame, batch_id: int) -> None:
+        if done is not None and batch_id <= done:
+            return batch.write.format("noop").mode("overwrite").save()
         if on_commit is None:
             return append_batch(batch, path, batch_id, partition_cols, clustered)
         seen = Observation()
@@ -94,8 +106,8 @@ def read_snapshot(
     return reader.parquet(f"{path}/v={version}")
 
 
-# Key buckets as folders: for feeds known to touch few keys, such as corrections. A feed of many
-# keys touches every bucket; a table saved with ``save_as_table(bucket_by=...)`` serves it better.
+# Key buckets as folders: a refresh reads and writes only the buckets its feed touches. A version's
+# map names the version that last wrote each bucket, so versions share the files of the others.
 
 
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -110,6 +122,58 @@ def touched_buckets(staged: DataFrame, keys: Sequence[str], buckets: int) -> lis
     return sorted(row[BUCKET] for row in found.collect())
 
 
+def write_buckets(
+    df: DataFrame,
+    path: str,
+    version: int,
+    keys: Sequence[str],
+    buckets: int,
+    partition_cols: Sequence[str] = (),
+    clustered: bool = True,
+) -> None:
+    """Write the rows of some buckets, whole, as new files of ``version``."""
+    _write(with_bucket(df, keys, buckets), f"{path}/{BATCH}={version}", [BUCKET, *partition_cols], clustered)
+
+
+def write_bucket_map(
+    spark: SparkSession, path: str, version: int, held: dict[int, int], touched: Sequence[int], buckets: int
+) -> None:
+    """Store which version holds each bucket: ``version`` for the touched ones, else as in ``held``.
+
+    Touched buckets without a row (a delete of an unknown key inserts none) have no files.
+    """
+    mapped = {b: v for b, v in held.items() if b not in touched}
+    if touched:
+        mapped |= {b: version for b in _written_buckets(spark, f"{path}/{BATCH}={version}")}
+    held_now = F.from_json(F.lit(json.dumps(mapped)), "map<string,long>")
+    row = spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"), held_now.alias("held"))
+    row.write.mode("overwrite").parquet(f"{path}/map/{version}")
+
+
+def read_bucket_map(spark: SparkSession, path: str, version: int, buckets: int) -> dict[int, int]:
+    """The version that holds each bucket: at most ``buckets`` numbers."""
+    row = spark.read.schema(MAP_SCHEMA).parquet(f"{path}/map/{version}").first()
+    if row["buckets"] != buckets:
+        raise ValueError(f"{path} has {row['buckets']} buckets, not {buckets}: rebuild it to change them")
+    return {int(b): v for b, v in row["held"].items()}
+
+
+def read_buckets(spark: SparkSession, path: str, mapped: dict[int, int], schema: T.StructType) -> DataFrame | None:
+    """The rows of the given buckets; None without any."""
+    if not mapped:
+        return None
+    folders = [f"{path}/{BATCH}={v}/{BUCKET}={b}" for b, v in sorted(mapped.items())]
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return rows.select(*[F.col(f"`{c}`") for c in schema.names])
+
+
+def _written_buckets(spark: SparkSession, path: str) -> list[int]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [entry.getPath().getName() for entry in listed]
+    return [int(n.removeprefix(f"{BUCKET}=")) for n in names if n.startswith(f"{BUCKET}=")]
+
+
 def overwrite_buckets(df: DataFrame, path: str, staging: str) -> None:
     """Replace exactly the buckets present in ``df`` (which must hold them whole).
 

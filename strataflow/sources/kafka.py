@@ -10,15 +10,14 @@ def kafka_options(
 ) -> dict[str, str]:
     """Reader options for one topic, or for all topics matching a regular expression.
 
-    Reads from the earliest offset and does not fail on expired records, unless overridden. Pass
-    ``minPartitions`` or ``maxRecordsPerPartition`` to split a busy topic partition over several
+    Reads from the earliest offset unless overridden. Records that expired unread fail the stream;
+    pass ``failOnDataLoss="false"`` to go on without them. Pass ``minPartitions`` or ``maxRecordsPerPartition`` to split a busy topic partition over several
     tasks, and ``maxOffsetsPerTrigger`` to bound a backlog's batches.
     """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribePattern" if pattern else "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
         **options,
     }
 

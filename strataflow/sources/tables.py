@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH = "_batch_id"
-LISTED_COMMITS = 1000
 
 
 def with_batch_column(schema: T.StructType) -> T.StructType:
@@ -35,25 +34,47 @@ def read_commits(
 ) -> DataFrame:
     """``change_range`` of a table on disk, where commit ``upto`` exists.
 
-    A short range names its commit folders, so that the files of all the others are not even
-    listed.
+    Only the folders of the range are listed. Without a schema those of all files are merged.
     """
-    if schema is None or after is None or upto - after > LISTED_COMMITS:
-        return change_range(read_table(spark, path, schema), after, upto)
-    numbers = ",".join(str(n) for n in range(after + 1, upto + 1))
+    if schema is None:
+        return change_range(read_table(spark, path), after, upto)
     reader = spark.read.schema(with_batch_column(schema)).option("basePath", path)
-    return reader.parquet(f"{path}/{BATCH}={{{numbers}}}")
+    return reader.parquet(commit_folders(path, after, upto))
+
+
+def commit_folders(path: str, after: int | None, upto: int) -> str:
+    """A path pattern that matches exactly the commits in ``(after, upto]``.
+
+    Runs of ten, a hundred, ... commits are one alternative each (120 to 129: ``12[0-9]``), so the
+    pattern stays short however many commits the range spans.
+    """
+    first, parts = 0 if after is None else max(0, after + 1), []
+    while first <= upto:
+        step, digits = 1, 0
+        while first and first % (step * 10) == 0 and first + step * 10 - 1 <= upto:
+            step, digits = step * 10, digits + 1
+        parts.append(f"{first // step}{'[0-9]' * digits}")
+        first += step
+    return f"{path}/{BATCH}={{{','.join(parts)}}}"
 
 
 def read_table_stream(
-    spark: SparkSession, path: str, schema: T.StructType, **options: str
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    after: int | None = None,
+    upto: int | None = None,
+    **options: str,
 ) -> DataFrame:
     """An appended table as a stream of the files committed since the checkpoint.
 
-    A file can only vanish when its commit is replayed, and its rows then come in new files.
+    ``upto`` bounds it to commits known to be complete; those up to ``after`` are not even listed
+    (the checkpoint still knows the files it has planned). A file that vanishes is an error.
     """
-    reader = spark.readStream.schema(with_batch_column(schema))
-    return reader.options(**{"ignoreMissingFiles": "true", **options}).parquet(path)
+    reader = spark.readStream.schema(with_batch_column(schema)).options(**options)
+    if upto is None:
+        return reader.parquet(path)
+    return reader.option("basePath", path).parquet(commit_folders(path, after, upto))
 
 
 def change_range(bronze: DataFrame, after: int | None, upto: int | None) -> DataFrame:

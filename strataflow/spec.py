@@ -109,7 +109,11 @@ class SilverSpec:
     partition_cols: tuple[str, ...] = ()
     clustered: bool = True  # gather partition values before writing: fewer files, one shuffle
     table: str | None = None  # catalog table that accepts MERGE; refreshed in place
-    buckets: int | None = None  # keep merged state hash-distributed by key in a catalog table
+    # Split by key hash. Current state: a refresh rewrites only the buckets its feed touches.
+    # History: a catalog table distributed by key, which appends need not shuffle.
+    buckets: int | None = None
+    bounded: bool = False  # streaming_append: forget a key once the watermark has passed it
+    spread: bool = False  # streaming_append: thin very frequent keys per input split first
     read_options: Mapping[str, str] = field(default_factory=dict)  # of the raw table as a stream
 
     def __post_init__(self):
@@ -119,8 +123,8 @@ class SilverSpec:
             raise ValueError(f"{self.load} needs order_col, the column that tells recency")
         if self.table and self.load == "streaming_append":
             raise ValueError("streaming_append appends to its own path; table= is for merged tables")
-        if self.buckets and self.partition_cols:
-            raise ValueError("a bucketed table is laid out by key: give buckets or partition_cols")
+        if self.buckets and self.partition_cols and self.load in ("cdc_history", "append_dedup"):
+            raise ValueError("a bucketed history is laid out by key: give buckets or partition_cols")
 
     @classmethod
     def from_config(cls, entry: Mapping) -> SilverSpec:

@@ -23,7 +23,7 @@ def with_watermark(
 
 
 def stream_dedup(
-    stream: DataFrame, keys: Sequence[str], bounded: bool = False, spread: bool = True
+    stream: DataFrame, keys: Sequence[str], bounded: bool = False, spread: bool = False
 ) -> DataFrame:
     """First row per key over the life of the stream; rows behind the watermark are dropped.
 
@@ -32,8 +32,9 @@ def stream_dedup(
 
     A streaming deduplication sends all copies of a key to one task. ``spread`` first removes copies
     per input split, with state that expires with the watermark, so a key with very many copies is
-    thinned in parallel before its copies meet. The split number only routes rows; it never changes
-    which keys survive.
+    thinned in parallel before its copies meet. It costs a second exchange and a second state, so it
+    is left out unless asked for. The split number only routes rows; it never changes which keys
+    survive.
     """
     if spread:
         stream = (
@@ -50,14 +51,17 @@ def streaming_append(
     stream: DataFrame,
     spec: SilverSpec,
     now: Column | None = None,
-    bounded: bool = False,
-    spread: bool = True,
+    bounded: bool | None = None,
+    spread: bool | None = None,
 ) -> DataFrame:
     """Range rules, event time, creation stamp, watermark, declared columns, deduplication.
 
     Filters come first so they reach the scan, and the projection precedes the deduplication so
-    that only declared columns enter the state store.
+    that only declared columns enter the state store. ``bounded`` and ``spread`` are the spec's
+    unless given.
     """
+    bounded = spec.bounded if bounded is None else bounded
+    spread = spec.spread if spread is None else spread
     event_time = spec.order_col or "event_ts"
     now = F.current_timestamp() if now is None else now
     rows = range_filter(stream, spec.rules).withColumn("_silver_created_at", now)

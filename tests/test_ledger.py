@@ -99,7 +99,7 @@ def test_specs_that_cannot_work_are_refused():
     cols = columns("k long, d string")
     with pytest.raises(ValueError, match="table"):
         SilverSpec("t", "streaming_append", "s", ("k",), cols, order_col="k", table="t")
-    with pytest.raises(ValueError, match="buckets"):
+    with pytest.raises(ValueError, match="bucketed history"):
         SilverSpec("t", "cdc_history", "s", ("k",), cols, buckets=4, partition_cols=("d",))
 
 
@@ -126,3 +126,8 @@ def test_rows_read_of_more_batches_than_spark_remembers(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert run.rows_read == run.rows_written == 28
+
+
+def test_roots_that_read_as_patterns_are_refused():
+    with pytest.raises(ValueError, match="pattern"):
+        Layout("/data/c[1]")

@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from helpers import bag, rows
@@ -22,6 +23,7 @@ from strataflow.plans.refresh import (
     read_silver,
     start_ingest,
 )
+from strataflow.sinks import tables
 from strataflow.sinks.tables import append_batch, save_as_table
 from strataflow.spec import BronzeSpec, RangeRule, SilverSpec, build_schema, columns
 
@@ -120,6 +122,32 @@ def test_storage_and_plan_do_not_change_the_result(spark, tmp_path, buckets, fit
     assert read_silver(other, spec, layout).count() == len(want)
 
 
+def test_a_refresh_writes_only_the_buckets_it_touches(spark, tmp_path):
+    """A feed of one key reads and writes one bucket; older versions stay readable."""
+    layout = Layout(str(tmp_path))
+    spec = silver(buckets=16, partition_cols=("op_type",))
+    commit(spark, layout, 0, *[(i, "I", 1) for i in range(200)])
+    promote(spark, spec, BRONZE, layout)
+    path = Path(layout.table("silver", spec.name))
+    assert len(list(path.glob("_batch_id=0/_bucket=*"))) == 16
+    commit(spark, layout, 1, (7, "U", 2))
+    assert promote(spark, spec, BRONZE, layout).rows_written == 1
+    written = list(path.glob("_batch_id=1/_bucket=*"))
+    assert len(written) == 1 and (written[0] / "op_type=U").is_dir()
+    feed = read_silver(spark, spec, layout).filter("sequence_num = 2").select("order_id")
+    untouched = [f for f in read_silver(spark, spec, layout).inputFiles() if "_batch_id=1" not in f]
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in untouched}) == 15
+    assert rows(feed) == bag((7,))
+    assert read_silver(spark, spec, layout).count() == 200
+    old = tables.read_bucket_map(spark, str(path), 0, 16)
+    assert set(old.values()) == {0} and set(tables.read_bucket_map(spark, str(path), 1, 16).values()) == {0, 1}
+    commit(spark, layout, 2, (1000, "D", 1))  # inserts nothing, wherever it belongs
+    assert promote(spark, spec, BRONZE, layout).rows_written == 0
+    assert read_silver(spark, spec, layout).count() == 200
+    with pytest.raises(ValueError, match="16 buckets"):
+        read_silver(spark, silver(buckets=8), layout)
+
+
 @pytest.mark.parametrize("load", ["cdc_merge", "full_merge", "cdc_history"])
 def test_partition_values_keep_their_type(spark, tmp_path, load):
     layout, spec = Layout(str(tmp_path)), silver(load, partition_cols=("op_type",))

@@ -154,7 +154,7 @@ def test_hot_key_is_thinned_before_it_meets(spark, tmp_path):
      .write.json(f"{tmp_path}/in"))
     stream = stream_dedup(
         with_watermark(spark.readStream.schema(build_schema(COLUMNS)).json(f"{tmp_path}/in"), "at"),
-        ["id"])
+        ["id"], spread=True)
     query, out = drain(spark, stream, tmp_path)
     assert out.count() == 20001
     # Operators are listed from the sink to the source.

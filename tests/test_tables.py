@@ -1,5 +1,8 @@
 """Landing sources, table reads, sinks, and the plans they give."""
 
+import re
+from pathlib import Path
+
 import pytest
 from helpers import bag, plan, rows
 from pyspark.errors import UnsupportedOperationException
@@ -8,9 +11,10 @@ from pyspark.sql import functions as F
 from strataflow.operators import merge
 from strataflow.operators.latest import latest_per_key
 from strataflow.sinks import tables as sink
+from strataflow.sinks.tables import append_stream
 from strataflow.sources.kafka import kafka_options
 from strataflow.sources.landing import files_dated, read_landing, read_landing_stream
-from strataflow.sources.tables import change_range, current_version, read_commits, read_table
+from strataflow.sources.tables import change_range, commit_folders, current_version, read_commits, read_table
 from strataflow.spec import BronzeSpec, build_schema, columns
 
 KV = columns("k long, v string")
@@ -250,7 +254,31 @@ def test_kafka_options():
     one = kafka_options("host:9092", "events", minPartitions="64")
     assert one == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "events",
-        "startingOffsets": "earliest", "failOnDataLoss": "false", "minPartitions": "64"}
+        "startingOffsets": "earliest", "minPartitions": "64"}
     many = kafka_options("host:9092", "plant[.].*", pattern=True, startingOffsets="latest")
     assert many["subscribePattern"] == "plant[.].*" and "subscribe" not in many
     assert many["startingOffsets"] == "latest"
+
+
+@pytest.mark.parametrize("after, upto", [(None, 0), (None, 7), (0, 1), (6, 123), (99, 100), (8, 1204), (-5, 11), (3, 3)])
+def test_commit_folders_match_a_range(after, upto):
+    pattern = commit_folders("t", after, upto)
+    wanted = set(range(0 if after is None else max(after + 1, 0), upto + 1))
+    inner = re.sub(r"[{,}]", lambda m: {"{": "(", ",": "|", "}": ")"}[m[0]], pattern.removeprefix("t/_batch_id="))
+    assert {n for n in range(2000) if re.fullmatch(inner, str(n))} == wanted
+    assert len(pattern) < 400
+
+
+def test_a_logged_commit_is_not_rewritten(spark, tmp_path):
+    """A replay of a commit that readers follow leaves its files; a foreign checkpoint is refused."""
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/cp"
+    append_stream(stream, out, checkpoint).awaitTermination()
+    files = read_table(spark, out).inputFiles()
+    for mark in Path(checkpoint, "commits").iterdir():  # the mark of completion is lost, the entry is not
+        mark.unlink()
+    append_stream(stream, out, checkpoint, done=0).awaitTermination()
+    assert read_table(spark, out).inputFiles() == files
+    with pytest.raises(ValueError, match="checkpoint"):
+        append_stream(stream, out, f"{tmp_path}/other", done=5)
