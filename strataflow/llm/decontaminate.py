@@ -61,8 +61,9 @@ def find_hits(
 
     The windows are a hash set keyed by their anchor words. It is broadcast after its size was
     checked (``most_windows`` rows); a larger benchmark is joined by a shuffle on the anchors
-    instead, with the same result. Every position of a training text that holds an anchor opens
-    the windows of that anchor, and a hit counts only when all words agree. One more position
+    instead, with the same result; only the words that a window there could reach travel with a
+    position. Every position of a training text that holds an anchor opens the windows of that
+    anchor, and a hit counts only when all words agree. One more position
     stands for the end of the text, so one pass over the texts also gives their word counts.
     """
     grams, members = windows(bench, item_text, item, length)
@@ -74,9 +75,13 @@ def find_hits(
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias(mark),
                        F.array_append(words_of(F.col(f"`{text}`")), F.lit(END)).alias(words))
     each = rows.select("id", mark, words, F.posexplode(words).alias("pos", "word"))
+    base = F.lit(0)  # the position of the first word carried along
+    if not small:
+        base = F.greatest(F.col("pos") - F.lit(length - 1), F.lit(0))
+        each = each.withColumn(words, F.slice(F.col(words), base + 1, F.lit(2 * length - 1)))
     first, over = F.col("pos") - F.col("offset"), F.col("n") == 0
     same = (F.col("word") == F.col("anchor")) & (first >= 0) & (over | (
-        F.array_join(F.slice(F.col(words), F.greatest(first, F.lit(0)) + 1, F.col("n")), " ") == F.col("gram")))
+        F.array_join(F.slice(F.col(words), F.greatest(first - base, F.lit(0)) + 1, F.col("n")), " ") == F.col("gram")))
     found = each.join(F.broadcast(grams) if small else grams, same).select("id", mark, first.alias("start"), "n", "gram")
     # The spans of a text and its items are at most as many as its words and the benchmark's windows.
     per_text = written(found.groupBy("id", mark).agg(
