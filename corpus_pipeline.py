@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import decontaminate, langid, mixing, ngramjoin, sharding
-from strataflow.llm.common import table, written
+from strataflow.llm.common import fresh, table, written
 
 SHARDS = 40
 
@@ -34,13 +34,21 @@ def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources in their target shares, one row per copy; the next stage orders the rows anew."""
-    return mixing.mixed_rows(docs, arranged=False)
+    """The sources in their target shares, one row per copy, shuffled within the mix's own shards."""
+    return mixing.mixed_rows(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their shard and their slot in it."""
-    return sharding.shard_rows(docs, SHARDS)
+    """All rows with their shard and their slot in it.
+
+    Slots are dealt to the rows of the files by number; the texts are joined once.
+    """
+    columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    file, row, digest = fresh("file"), fresh("row"), fresh("digest")
+    keyed = docs.select(*columns, F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    narrow = written(keyed.select(file, row, "doc_id", "source", F.xxhash64("text").alias(digest)), "shard-rows")
+    slots = sharding.shard_rows(narrow, SHARDS, text=digest).select(file, row, "shard", "slot")
+    return keyed.join(slots, [file, row]).select(*columns, "shard", "slot")
 
 
 STAGES = [

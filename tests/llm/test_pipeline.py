@@ -4,10 +4,11 @@ from collections import Counter
 
 import pytest
 from oracle import TESTDATA, compare, database
+from pyspark.sql import functions as F
 from test_operators import brute_components, windows_of
 
 import corpus_pipeline
-from strataflow.llm import queries
+from strataflow.llm import mixing, queries
 from strataflow.llm.common import table
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -41,6 +42,22 @@ def test_stages(spark):
     assert max(per.values()) - min(per.values()) <= 1
 
 
+def test_mixed_copies_are_shuffled_within_their_shards(spark):
+    docs = table(spark, SF_DIR, "documents")
+    blocks = {}
+    for r in mixing.mix_sources(docs).collect():
+        blocks.setdefault(r.doc_id, []).extend((b.part, b.place) for b in r.mix_blocks)
+    assert max(map(len, blocks.values())) == 2
+    got = corpus_pipeline.mixed(spark, docs, SF_DIR).select("doc_id", F.spark_partition_id().alias("task")).collect()
+    assert Counter(r.doc_id for r in got) == Counter({k: len(v) for k, v in blocks.items() if v})
+    for task in {r.task for r in got}:
+        ids, last = [r.doc_id for r in got if r.task == task], (-1, 0)
+        for i in ids:  # some copy of each document stands behind the one before
+            later = [b for b in blocks[i] if b > last]
+            assert later, (task, i)
+            last = min(later)
+
+
 def test_run_agrees_again(spark):
     key = lambda df: sorted((r.doc_id, r.shard, r.slot) for r in df.collect())
     assert key(corpus_pipeline.run(spark, SF_DIR)) == key(corpus_pipeline.run(spark, SF_DIR))
