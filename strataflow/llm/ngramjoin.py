@@ -24,9 +24,10 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     hashes, starts = word_hashes(joined)
     ends = np.cumsum([len(t) + 1 for t in texts])
     cuts = np.searchsorted(starts, ends)
-    grams = np.zeros(max(len(hashes) - k + 1, 0), np.uint64)
+    n = max(len(hashes) - k + 1, 0)
+    grams = np.zeros(n, np.uint64)
     for i in range(k):
-        grams += mix(hashes[i : len(hashes) - k + 1 + i] + np.uint64(i + 1))
+        grams += mix(hashes[i : i + n] + np.uint64(i + 1))
     grams = mix(grams)
     first = 0
     for last in cuts:

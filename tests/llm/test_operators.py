@@ -228,6 +228,13 @@ def test_words_beyond_a_slice(monkeypatch):
     assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
 
 
+@pytest.mark.parametrize("n", range(6))
+def test_one_short_text_alone(spark, n):
+    rows = [(1, " ".join("abcdef"[:n]))]
+    got = ngramjoin.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == [(1, int(n > 0), 1)]
+
+
 def test_a_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200) if i != 120], "a long, b long")
     got = {r.node: r.root for r in ngramjoin.components(edges).collect()}
