@@ -21,7 +21,11 @@ DIMS = 1 << BITS
 PLACES = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
-REJECT_SHARE = 0.25
+#: The share of training texts, and of their beginnings, that may lie beyond the least cosine accepted.
+REJECT_SHARE = 0.005
+#: Characters of the beginnings looked at; texts are classed by the power of two of their n-grams.
+BEGINNINGS = tuple(3 << i for i in range(9))
+LENGTHS = 12
 UNDETERMINED = "und"
 
 
@@ -89,9 +93,34 @@ def centroids_of(vectors: np.ndarray, most: int) -> np.ndarray:
     return centres.astype(np.float32)
 
 
+def length_class(counts: np.ndarray) -> np.ndarray:
+    """The power of two of a text's n-grams; the last class holds all longer texts."""
+    return np.minimum(np.log2(np.maximum(counts.sum(axis=1), 1)).astype(int), LENGTHS - 1)
+
+
+def floors_of(texts: list[str], idf: np.ndarray, centres: np.ndarray, share: float) -> list[float]:
+    """The least cosine accepted for each class of length: all but ``share`` of the texts' beginnings
+    of that length reach it. A class with too few to tell takes in those of the next shorter ones."""
+    seen = [[] for _ in range(LENGTHS)]
+    for size in BEGINNINGS:
+        counts = gram_counts([t[:size] for t in texts if len(t) >= size or size == BEGINNINGS[0]])
+        top = (weighted(counts, idf) @ centres.T).max(axis=1, initial=0.0)
+        for k, t, letters in zip(length_class(counts), top, counts.any(axis=1), strict=True):
+            if letters:
+                seen[k].append(float(t))
+    floors = []
+    for k in range(LENGTHS):
+        held, shorter = list(seen[k]), k - 1
+        while len(held) * share < 1 and shorter >= 0:
+            held += seen[shorter]
+            shorter -= 1
+        floors.append(float(np.quantile(held, share)) if held else 0.0)
+    return floors
+
+
 @dataclass
 class LanguageModel:
-    """Centroids (one row each, with its language and the least cosine accepted) and the IDF."""
+    """Centroids (one row each, with its language and the least cosines accepted by length) and the IDF."""
 
     languages: list[str]
     centroids: np.ndarray
@@ -101,7 +130,8 @@ class LanguageModel:
     def predict(self, texts) -> pa.StructArray:
         names, scores, rejected = [], [], []
         for _, held in chunks(texts, PIECE_CHARS, CHUNK_DOCS):
-            x = weighted(gram_counts(held), self.idf)
+            counts = gram_counts(held)
+            x = weighted(counts, self.idf)
             if len(self.languages):
                 cosine = x @ self.centroids.T
                 best = np.argmax(cosine, axis=1)
@@ -111,7 +141,7 @@ class LanguageModel:
             known = x.any(axis=1) & bool(len(self.languages))
             names += [self.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
             scores += [min(max(float(t), 0.0), 1.0) if k else 0.0 for t, k in zip(top, known, strict=True)]
-            low = top < self.floors[best] if len(self.languages) else ~known
+            low = top < self.floors[best, length_class(counts)] if len(self.languages) else ~known
             rejected += [bool(r) for r in (low | ~known)]
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
@@ -154,27 +184,28 @@ def fit(
     picked = rows.join(F.broadcast(chosen) if chosen.count() <= 200_000 else chosen, [name, "at"]).dropDuplicates([name, "at"])
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        x = weighted(gram_counts(list(frame.sort_values("at")["text"])), idf)
+        texts = list(frame.sort_values("at")["text"])
+        x = weighted(gram_counts(texts), idf)
         x = x[x.any(axis=1)]
         if not len(x):
-            return pd.DataFrame({"lang": [], "floor": [], "vector": []})
+            return pd.DataFrame({"lang": [], "floors": [], "vector": []})
         centres = centroids_of(x, most)
-        floor = reject_share * float((x @ centres.T).max(axis=1).min())
-        return pd.DataFrame({"lang": frame[name].iloc[0], "floor": floor, "vector": [c.tobytes() for c in centres]})
+        floors = floors_of(texts, idf, centres, reject_share)
+        return pd.DataFrame({"lang": frame[name].iloc[0], "floors": [floors] * len(centres), "vector": [c.tobytes() for c in centres]})
 
-    found = sorted(tuple(r) for r in picked.groupBy(name).applyInPandas(cluster, "lang string, floor double, vector binary").collect())
+    found = sorted(tuple(r) for r in picked.groupBy(name).applyInPandas(cluster, "lang string, floors array<double>, vector binary").collect())
     return LanguageModel(
         [f[0] for f in found],
         np.stack([np.frombuffer(f[2], np.float32) for f in found]) if found else np.zeros((0, DIMS), np.float32),
-        np.array([f[1] for f in found]), idf)
+        np.array([f[1] for f in found]).reshape(len(found), LENGTHS), idf)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` (cosine to the nearest centroid, 0 to 1) and ``rejected``.
 
-    The whole text counts. A text is rejected when its nearest centroid is farther than the
-    language's training texts ever were, by the margin of ``reject_share``, or when it has no letter
-    at all. Defined cases: a null text or one without a letter is ``und``, score 0, rejected; without
+    The whole text counts. A text is rejected when its nearest centroid is farther than all but the
+    share ``reject_share`` of the language's training texts, cut to about its length (beyond some 700
+    letters all lengths count alike), or when it has no letter at all. Defined cases: a null text or one without a letter is ``und``, score 0, rejected; without
     any labelled row all texts are; repeated rows get equal answers; the columns ``lang_pred``,
     ``score`` and ``rejected`` of the input are replaced, all others come back unchanged.
     """

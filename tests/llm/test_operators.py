@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +274,21 @@ def test_held_out_languages_and_quality(spark):
     assert np.mean([r.predicted == r.quality for r in scored]) > 0.95
 
 
+def test_unlearned_languages_and_noise_go(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rest = langid.remainder(F.col("doc_id"), 3)
+    model, r = langid.fit(d, rest != 1), random.Random(3)
+    finnish = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+               "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokaisella on oikeus elämään, vapauteen ja turvallisuuteen.")
+    polish = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+              "i powinni postępować wobec innych w duchu braterstwa. Każda osoba ma prawo do życia, wolności i bezpieczeństwa.")
+    noise = [" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 9))) for _ in range(n)) for n in (20, 100, 1000)]
+    assert model.predict(pa.array([finnish, polish, *noise])).field("rejected").to_pylist() == [True] * 5
+    held = langid.identify(d.filter((rest == 1) & F.col("lang").isNotNull() & (F.length("text") > 0)), model)
+    share = held.agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+    assert share < 0.02
+
+
 def test_chains_against_all_labelings():
     rng = np.random.default_rng(0)
     counts = np.array([3, 1, 4])
