@@ -20,6 +20,8 @@ _STOPS = re.compile(r"[.,;:!?。，]")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style template noscript svg math iframe object canvas head title audio video noframes".split())
+#: Elements that an open head may hold; any other ends it.
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title noscript iframe noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong "
@@ -99,6 +101,8 @@ def read_page(html: str) -> Page:
 
     def say(text: str) -> None:
         nonlocal chars
+        if stack[-1][0] == "head" and text.strip():
+            close(len(stack) - 1)
         if not text or not stack[-1][2] and len(stack) > 1:
             return
         text = _BLANKS.sub(" ", unescape(text) if "&" in text else text)
@@ -143,6 +147,8 @@ def read_page(html: str) -> Page:
                     break
             continue
         attributes = found[3] or found[6] or ""
+        if stack[-1][0] == "head" and tag not in _IN_HEAD:
+            close(len(stack) - 1)
         if tag in _CLOSES_P or tag in _ENDS:
             ends, scope = _ENDS.get(tag, ({"p"}, {"td", "th", "li", "table", "button", "article", "section", "div"}))
             for k in range(len(stack) - 1, 0, -1):

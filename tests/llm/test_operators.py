@@ -424,6 +424,22 @@ def test_pages_with_broken_markup(spark):
     assert extract.extract(df.limit(0)).count() == 0
 
 
+def all_text(html):
+    page = dom.read_page(html)
+    return dom.text_of(page, np.ones(len(page.parent), bool)).split("\n\n")
+
+
+@pytest.mark.parametrize("start", [
+    "<html><head><title>x</title><body>", "<head><title>x</title><meta charset=utf-8><body>", "<html><head><title>x</title>",
+    "<head><style>p{}</style><link rel=x href=y>"])
+def test_pages_without_the_end_of_the_head(start):
+    body = "<article><h1>Head line</h1><p>The town has grown, and the river runs past it. It is old.</p><p>It is very old.</p></article>"
+    assert all_text(start + body) == ["Head line", "The town has grown, and the river runs past it. It is old.", "It is very old."]
+    assert all_text("<head><title>x</title>Words, not in a head.") == ["Words, not in a head."]
+    texts = extract.extract_text([start + body, start.replace("<body>", "") + "</head><body>" + body], extract.trained())
+    assert texts[0] and texts[0] == texts[1]
+
+
 def test_pages_of_unseen_layouts():
     r, hit, extra, missed = random.Random(4242), 0, 0, 0
     model = extract.trained()
