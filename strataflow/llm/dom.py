@@ -11,17 +11,19 @@ import numpy as np
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>",
     re.S)
-_NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _PIECE = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _BLANKS = re.compile(r"\s+")
 _STOPS = re.compile(r"[.,;:!?。，]")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-SILENT = frozenset("script style template noscript svg math iframe object canvas head title audio video noframes".split())
+SILENT = frozenset("script style template noscript iframe head title noframes".split())
 #: Elements that an open head may hold; any other ends it.
 _IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements with drawn or replacement text, nodes of their own within a line; the trees decide on them.
+EMBEDDED = frozenset("svg object canvas audio video".split())
 RAW = frozenset("script style textarea title noscript iframe noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong "
@@ -29,6 +31,7 @@ INLINE = frozenset(
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre section summary table ul".split())
+_HOLDS_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 #: A start tag that ends an open element of the second kind, up to the third.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -39,8 +42,9 @@ _ENDS = {
 GROUPS = {name: k for k, names in enumerate((
     "html body", "article", "main", "section", "div", "p", "h1", "h2 h3 h4 h5 h6", "ul ol dl menu dir", "li dt dd",
     "table tbody thead tfoot tr", "td th", "blockquote pre", "figure figcaption", "nav", "header", "footer", "aside",
-    "form fieldset label button select option textarea input output legend")) for name in names.split()}
-N_GROUPS = 21  # the last two: inline elements with names, and all others
+    "form fieldset label button select option textarea input output legend",
+    "svg object canvas audio video")) for name in names.split()}
+N_GROUPS = 22  # the last two: inline elements with names, and all others
 #: Kinds of words in class, id and role.
 WORDS = {word: k for k, words in enumerate((
     "article content post entry story body main text prose read copy page",
@@ -82,15 +86,21 @@ class Page:
         return len(self.parent) - 1
 
 
-def name_kinds(attributes: str) -> int:
-    """Bits of the kinds of words found in class, id and role."""
-    bits = 0
-    for _, a, b, c in _NAMED.findall(attributes):
-        for word in _PIECE.findall(a or b or c):
-            kind = WORDS.get(word.lower())
-            if kind is not None:
-                bits |= 1 << kind
-    return bits
+def named(attributes: str) -> tuple[int, bool]:
+    """Bits of the kinds of words found in class, id and role; whether the element is hidden."""
+    bits, hidden = 0, False
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name in ("class", "id", "role"):
+            for word in _PIECE.findall(value):
+                kind = WORDS.get(word.lower())
+                if kind is not None:
+                    bits |= 1 << kind
+        elif name == "hidden":
+            hidden |= value.lower() != "until-found"
+        elif name == "style":
+            hidden |= bool(_UNSHOWN.search(value))
+    return bits, hidden
 
 
 def read_page(html: str) -> Page:
@@ -118,15 +128,17 @@ def read_page(html: str) -> Page:
                 own[3] += size
             chars += size
 
-    links = 0
+    links = foreign = 0  # open links; open svg and math
 
     def close(down_to: int) -> None:
-        nonlocal links
+        nonlocal links, foreign
         while len(stack) > down_to:
             tag = stack.pop()[0]
             if tag == "a":
                 links -= 1
-            elif tag not in INLINE:
+            elif tag in ("svg", "math"):
+                foreign -= 1
+            elif tag not in INLINE and tag not in EMBEDDED and not foreign:
                 page.pieces.append((0, "\n"))
 
     while at < len(html):
@@ -149,6 +161,14 @@ def read_page(html: str) -> Page:
         attributes = found[3] or found[6] or ""
         if stack[-1][0] == "head" and tag not in _IN_HEAD:
             close(len(stack) - 1)
+        if foreign and (tag in GROUPS or tag in INLINE and tag not in ("a", "font") or tag in ("br", "hr", "img")) and tag not in EMBEDDED:
+            # Elements of HTML end a drawing or formula, unless it holds HTML by rule.
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in _HOLDS_HTML:
+                    break
+                if stack[k][0] in ("svg", "math"):
+                    close(k)
+                    break
         if tag in _CLOSES_P or tag in _ENDS:
             ends, scope = _ENDS.get(tag, ({"p"}, {"td", "th", "li", "table", "button", "article", "section", "div"}))
             for k in range(len(stack) - 1, 0, -1):
@@ -176,9 +196,22 @@ def read_page(html: str) -> Page:
             elif not attributes.endswith("/"):
                 stack.append((tag, node, False))
             continue
-        kinds = name_kinds(attributes) if attributes else 0
+        kinds, hidden = named(attributes) if attributes else (0, False)
+        shown = (stack[-1][2] or len(stack) == 1) and not hidden
+        if foreign and tag not in GROUPS and tag not in INLINE or tag == "math":  # shapes and signs: words apart, no nodes
+            page.pieces.append((node, " "))
+            if not attributes.endswith("/"):
+                foreign += tag == "math"
+                stack.append((tag, node, shown))
+            continue
         own[4] += 1
-        shown = (stack[-1][2] or len(stack) == 1) and not (attributes and _HIDDEN.search(attributes))
+        if tag in EMBEDDED:
+            node = page.add(node, GROUPS[tag], kinds, chars)
+            page.own[node][10] += 1
+            if not attributes.endswith("/"):
+                foreign += tag == "svg"
+                stack.append((tag, node, shown))
+            continue
         if tag in INLINE:
             if kinds:
                 node = page.add(node, N_GROUPS - 2, kinds, chars)

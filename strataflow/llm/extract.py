@@ -143,6 +143,18 @@ class _Writer:
             return "<table>" + "".join(f"<tr><td>{MAIN}{self.words(1, 3)}</td><td>{MAIN}{self.words(1, 4)}</td></tr>" for _ in range(self.r.randint(2, 4))) + "</table>"
         return f"<div>{self.prose(1, 5, MAIN)}</div>"
 
+    def unseen(self) -> str:
+        kind = self.r.choice(("p", "div", "section", "span"))
+        return f"<{kind}{self.r.choice((' hidden', ' style="display:none"'))}>{self.some(1, 3)}</{kind}>"
+
+    def embedded(self) -> str:
+        """Start and end of an element with text of its own that is no main text; the end may be missing."""
+        kind = self.r.choice(("svg", "object", "canvas", "audio", "video"))
+        inner = self.r.choice(("", self.words(1, 4), self.sentence()))
+        if kind == "svg":
+            inner = f"<text>{inner}</text><path d='M0 0'/>" if inner else "<path d='M0 0'>"
+        return f"<{kind}{self.name('player', 'media', 'chart')}>{inner}{'' if self.r.random() < 0.3 else f'</{kind}>'}"
+
     def article(self) -> str:
         n = self.r.choice((0, 0, 1, 1, 2, 3, 4, 6, 10, 20))
         parts = [f"<h1>{MAIN}{self.words(1, 12)}</h1>"] if self.r.random() < 0.8 else []
@@ -152,6 +164,9 @@ class _Writer:
         for extra, often in ((self.advert, 0.3), (self.related, 0.12), (self.notice, 0.1), (self.form, 0.08)):
             if self.r.random() < often:
                 body.insert(self.r.randint(0, len(body)), extra())
+        for extra, often in ((self.embedded, 0.35), (self.unseen, 0.2)):
+            for _ in range(self.r.randint(1, 2) if self.r.random() < often else 0):
+                body.insert(self.r.randint(0, len(body)), extra())
         inner = "".join(parts + body)
         if self.r.random() < 0.25:
             inner = f"<div{self.name('content', 'entry-content', 'body', 'text')}>{inner}</div>"
@@ -203,7 +218,10 @@ def extract(pages: DataFrame, html: str = "html", model: Trees | None = None) ->
     Every node of the whole page gets a chance to hold main text from boosted trees over its own
     markup and names, its ancestors', its subtree's densities, its siblings and its place. Decoding
     then picks the most likely choice for the whole tree in which nothing is kept below a dropped
-    node. Character references are decoded; blanks inside a block become one space; blocks are
+    node. What is not shown is left out ahead of that: scripts, styles, templates, titles, frames,
+    ``noscript`` and elements with the attribute ``hidden`` or the style ``display: none``. Text of svg,
+    object, canvas, audio and video is for the trees to decide; formulas stay with their block, their
+    signs set apart by blanks. Character references are decoded; blanks inside a block become one space; blocks are
     joined by two line feeds.
 
     Defined cases: null or empty html, and pages without main text, give an empty text; markup may be

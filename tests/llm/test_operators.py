@@ -440,6 +440,20 @@ def test_pages_without_the_end_of_the_head(start):
     assert texts[0] and texts[0] == texts[1]
 
 
+@pytest.mark.parametrize("tag", ["svg", "object", "audio", "video", "canvas", "math"])
+def test_text_in_and_after_an_unclosed_embedded_element(tag):
+    assert all_text(f"<div><p>One.</p><{tag}>two<p>Three.</p>Four.</div>Five.")[-3:] == ["Three.", "Four.", "Five."]
+    assert all_text(f"<p>One <{tag}>two</{tag}> three.</p><p>Four.") == ["One two three.", "Four."]
+
+
+def test_hidden_is_an_attribute_of_its_own():
+    assert all_text(
+        '<article data-title="A hidden river" class="md:block hidden lg:flex" title="display:none"><p>Read <a href=x title="the hidden cost">these '
+        'words</a> too.</p><p hidden>no</p><p hidden="">no</p><p style="color:red; display: none">no</p><p aria-hidden="true">Shown.'
+        "<p>Here <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds.</article>"
+    ) == ["Read these words too.", "Shown.", "Here x = 1 2 holds."]
+
+
 def test_pages_of_unseen_layouts():
     r, hit, extra, missed = random.Random(4242), 0, 0, 0
     model = extract.trained()
