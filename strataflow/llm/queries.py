@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import chat, decontaminate, extract, langid, mixing, ngramjoin, quality, sharding, topk, urlfilter
+from strataflow.llm import (
+    chat, decontaminate, extract, langid, manifest, mixing, ngramjoin, quality, secretscan, sharding, spelling, topk, urlfilter)
 from strataflow.llm.common import ship, table, written
 
 SHARDS = 40
@@ -232,8 +233,165 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_hit, 0) AS n_
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id
 """
 
+
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, with what their holders across the corpus say about them.
+
+    Every document counts as a repository, its source as the owner.
+    """
+    found = secretscan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secretscan.KINDS[:3]))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    number = lambda test: F.size(F.filter("spans", test)).cast("long")
+    return found.select(
+        "doc_id", *[number(lambda s, k=k: s["kind"] == k).alias("n_" + k) for k in secretscan.KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        *[number(lambda s, v=v: s["verdict"] == v).alias("n_" + v) for v in ("live", "example")])
+
+
+def _matches_sql(kind: str, pattern: str, group: int) -> str:
+    """Matches of a pattern with their starts: the text between them, split off, tells how far they stand."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, source, '{kind}' AS kind, m, v,
+         CAST(sum(length(gap)) OVER w + coalesce(sum(length(m)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s
+  FROM (SELECT doc_id, source, unnest(range(len(m))) AS i, unnest(m) AS m, unnest(v) AS v, unnest(g[1 : len(m)]) AS gap
+        FROM (SELECT doc_id, source, regexp_extract_all(t, '{quoted}') AS m, regexp_extract_all(t, '{quoted}', {group}) AS v,
+                     string_split_regex(t, '{quoted}') AS g FROM d))
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
+
+
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+found AS (
+  SELECT * FROM ({_matches_sql("assign", "(?i)" + secretscan.ASSIGN, 2)}) WHERE length(v) >= {secretscan.LEAST["assign"]}
+  UNION ALL SELECT * FROM ({_matches_sql("access", secretscan.ACCESS, 0)}) WHERE length(v) >= {secretscan.LEAST["access"]}
+  UNION ALL SELECT * FROM ({_matches_sql("hex", secretscan.HEX, 0)}) WHERE length(v) >= {secretscan.LEAST["hex"]}),
+base AS (SELECT doc_id, source, kind, v, s, s + length(m) AS e FROM found),
+looks AS (
+  SELECT v, len(list_distinct(string_split(v, ''))) >= {secretscan.LEAST_DISTINCT} AND regexp_matches(v, '[A-Za-z]')
+            AND length(regexp_replace(v, '[^0-9]', '', 'g')) >= {secretscan.LEAST_DIGITS} AS strong FROM (
+    SELECT v FROM base UNION SELECT unnest(regexp_extract_all(t, '{secretscan.RUN}')) FROM d)),
+runs AS (
+  SELECT r.doc_id, r.source, r.v, s, s + length(m) AS e FROM ({_matches_sql("run", secretscan.RUN, 0)}) r JOIN looks l ON l.v = r.v AND l.strong
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s < r.s + length(r.m) AND b.e > r.s)),
+held AS (SELECT doc_id, source, v, TRUE AS base FROM base UNION ALL SELECT doc_id, source, v, FALSE FROM runs),
+owned AS (
+  SELECT v, count(DISTINCT source) + CAST(bool_or(source IS NULL) AS INT) AS owners, bool_or(base) AS base FROM held GROUP BY v),
+judged AS (
+  SELECT o.v, o.base, CASE WHEN owners >= {secretscan.EXAMPLE_OWNERS} THEN 'example' WHEN owners = 1 AND strong THEN 'live' ELSE 'unclear' END AS verdict
+  FROM owned o JOIN looks l ON l.v = o.v),
+spans AS (
+  SELECT doc_id, kind, list_position(['assign', 'access', 'hex'], kind) AS k, s, e, verdict FROM base b JOIN judged j ON j.v = b.v
+  UNION ALL SELECT doc_id, CASE WHEN base THEN 'reused' ELSE 'owned' END, CASE WHEN base THEN 4 ELSE 5 END, s, e, verdict
+  FROM runs r JOIN judged j ON j.v = r.v WHERE verdict = 'live'),
+r AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secretscan.KINDS)},
+         coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k <= 3), '') AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans,
+         count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secretscan.KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN r ON r.doc_id = d.doc_id
+"""
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest's proof of every document, held against the documents after some lost their line ends."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proofs = manifest.manifest(docs, {"text": text})[1]
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+# The checksum of CRC-32, whose table of 256 remainders follows from its polynomial.
+_CRC_TABLE_SQL = """(SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc)"""
+
+
+def _crc_sql(text: str) -> str:
+    steps = f"list_transform(range(1, strlen({text}) + 1), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i - 1, 2) AS BIGINT))"
+    return f"""xor(list_reduce(list_prepend(4294967295, {steps}),
+      lambda a, b: xor(a >> 8, crc[CAST((xor(a, b) & 255) AS BIGINT) + 1])), 4294967295)"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All levels of the trees over ``leaves``: tree, i, h, n (nodes of the level)."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS lvl, i, h, n FROM {leaves}
+  UNION ALL
+  SELECT tree, any_value(lvl) + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 2) // 3) FROM {name} WHERE n > 1 GROUP BY tree, i // 3)"""
+
+
+OP12_SQL = f"""
+WITH RECURSIVE
+docs AS (SELECT *, {_crc_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0 AS hit FROM documents, {_CRC_TABLE_SQL}),
+leaves AS (
+  SELECT doc_id, source, sha256(p || {_field_sql("text")}) AS h,
+         sha256(p || {_field_sql("CASE WHEN hit THEN replace(text, chr(10), '') ELSE text END")}) AS now
+  FROM (SELECT *, {" || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS p FROM docs)),
+ranked AS (
+  SELECT *, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+{_tree_sql("low", "ranked")},
+heads AS (SELECT '' AS tree, tree AS member, h, lvl, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+{_tree_sql("high", "heads")},
+walks AS (
+  SELECT r.doc_id, r.tree, u.lvl AS step, r.i // CAST(pow(3, u.lvl) AS BIGINT) AS own FROM ranked r JOIN (SELECT DISTINCT tree, lvl, n FROM low) u ON u.tree = r.tree AND u.n > 1),
+steps AS (
+  SELECT w.doc_id, w.step, coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i < w.own), '') AS l, coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i > w.own), '') AS r
+  FROM walks w JOIN low u ON u.tree = w.tree AND u.lvl = w.step AND u.i // 3 = w.own // 3 GROUP BY w.doc_id, w.step),
+above AS (
+  SELECT h.member, h.lvl + u.lvl AS step, coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i < h.i // CAST(pow(3, u.lvl) AS BIGINT)), '') AS l,
+         coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i > h.i // CAST(pow(3, u.lvl) AS BIGINT)), '') AS r
+  FROM heads h JOIN high u ON u.n > 1 AND u.i // 3 = h.i // CAST(pow(3, u.lvl) AS BIGINT) // 3 GROUP BY h.member, h.lvl, u.lvl),
+every AS (SELECT * FROM steps UNION ALL SELECT r.doc_id, a.step, a.l, a.r FROM ranked r JOIN above a ON a.member = r.tree),
+proofs AS (SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM every GROUP BY doc_id),
+folded AS (
+  SELECT doc_id, 0 AS step, now AS h FROM ranked
+  UNION ALL SELECT f.doc_id, f.step + 1, sha256(e.l || f.h || e.r) FROM folded f JOIN every e ON e.doc_id = f.doc_id AND e.step = f.step),
+ends AS (SELECT doc_id, arg_max(h, step) AS h FROM folded GROUP BY doc_id)
+SELECT r.doc_id, r.h AS leaf, s.h AS subroot, t.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256, e.h AS folded_root, e.h = t.h AS verified
+FROM ranked r JOIN heads s ON s.member = r.tree JOIN ends e ON e.doc_id = r.doc_id LEFT JOIN proofs p ON p.doc_id = r.doc_id, (SELECT h FROM high WHERE n = 1) t
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words, the form it is a variant of, and that form's last."""
+    counts = spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), slip=97)
+    return spelling.variants(counts).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE
+runs AS (
+  SELECT doc_id, translate(m, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS m FROM documents) GROUP BY ALL),
+sums AS (SELECT r, k, {_crc_sql("s")} AS h FROM (SELECT r, k, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r AS s FROM runs), {_CRC_TABLE_SQL}),
+slips AS (SELECT k, CASE WHEN h % 97 = 0 THEN left(r, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS w FROM sums),
+words AS (SELECT w, CAST(sum(k) AS BIGINT) AS n FROM slips WHERE length(w) >= 5 GROUP BY w HAVING sum(k) >= 3),
+cut AS (SELECT w, n, i, left(w, i) AS a, substr(w, i + 2) AS b FROM words, unnest(range(0, length(w))) AS u(i)),
+near AS (
+  SELECT x.w, x.n, y.w AS o, y.n AS m FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.w <> y.w
+  UNION SELECT x.w, x.n, y.w, y.n FROM cut x JOIN words y ON x.a || x.b = y.w
+  UNION SELECT y.w, y.n, x.w, x.n FROM cut x JOIN words y ON x.a || x.b = y.w),
+best AS (SELECT w, n, count(*) AS n_near, first(o ORDER BY m DESC, encode(o)) AS o, max(m) AS m FROM near GROUP BY w, n),
+forms AS (
+  SELECT words.w, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * words.n THEN o END AS form, CASE WHEN m >= 2 * words.n THEN m END AS form_n
+  FROM words LEFT JOIN best ON best.w = words.w),
+roots AS (SELECT w, w AS root FROM forms WHERE form IS NULL UNION ALL SELECT f.w, r.root FROM roots r JOIN forms f ON f.form = r.w)
+SELECT forms.w AS word, form, root, n, n_near, form_n FROM forms JOIN roots ON roots.w = forms.w
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_chat_format, op3_topk_search, op4_language_id, op5_mix_sources, op6_ngram_join, op7_html_extract,
-    op8_shard_rows, op9_quality, op10_decontaminate)}
+    op8_shard_rows, op9_quality, op10_decontaminate, op11_secret_scan, op12_merkle_manifest, op13_spelling_variants)}
 ORACLES = {"op1_url_filters": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_topk_search": OP3_SQL, "op6_ngram_join": OP6_SQL,
-           "op10_decontaminate": OP10_SQL}
+           "op10_decontaminate": OP10_SQL, "op11_secret_scan": OP11_SQL, "op12_merkle_manifest": OP12_SQL,
+           "op13_spelling_variants": OP13_SQL}
