@@ -242,11 +242,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secretscan.KINDS[:3]))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    number = lambda test: F.size(F.filter("spans", test)).cast("long")
+    number = lambda field, value: F.size(F.filter("spans", lambda s: s[field] == value)).cast("long")
     return found.select(
-        "doc_id", *[number(lambda s, k=k: s["kind"] == k).alias("n_" + k) for k in secretscan.KINDS],
+        "doc_id", *[number("kind", k).alias("n_" + k) for k in secretscan.KINDS],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
-        *[number(lambda s, v=v: s["verdict"] == v).alias("n_" + v) for v in ("live", "example")])
+        *[number("verdict", v).alias("n_" + v) for v in ("live", "example")])
 
 
 def _matches_sql(kind: str, pattern: str, group: int) -> str:
