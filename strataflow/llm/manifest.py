@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import ship, written
+from strataflow.llm.common import done_with, ship, written
 
 FAN = 3
 BAND = 6
@@ -45,7 +45,7 @@ def fold(digests) -> bytes:
 
 
 def ranked_leaves(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` (tree, the columns of ``order``, digest, ...) with their rank in the tree, ``lo``, and its ``size``.
+    """``rows`` (tree, the columns of ``order``, digest, ...) with their rank in the tree, ``lo``, and its ``size``, as a table.
 
     Rows are dealt to ranges of (tree, order, digest), so a tree of any size is ranked by many tasks;
     one count per range and tree meets in a tree's window.
@@ -58,8 +58,10 @@ def ranked_leaves(rows: DataFrame, order: list[str]) -> DataFrame:
     window = "(PARTITION BY tree ORDER BY range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     sums = sums.select("tree", "range", "first", F.expr(f"coalesce(sum(rows) OVER {window}, 0)").alias("before"),
                        F.expr("sum(rows) OVER (PARTITION BY tree)").alias("size"))
-    return placed.join(sums, ["tree", "range"]).withColumn("lo", F.col("before") + F.col("spot") - F.col("first")).select(
-        *[c for c in rows.columns], "lo", "size")
+    ranked = placed.join(sums, ["tree", "range"]).withColumn("lo", F.col("before") + F.col("spot") - F.col("first"))
+    out = written(ranked.select(*rows.columns, "lo", "size"), "merkle-leaves")
+    done_with(placed)
+    return out
 
 
 def _blocks(batches, names):
@@ -274,11 +276,12 @@ def manifest(
     rows = docs.select(name.alias("tree"), F.col(f"`{id_col}`").alias("id"), was.alias("digest"), is_.alias("now"))
     rows = written(rows.withColumn("now", F.when(F.col("now") != F.col("digest"), F.col("now"))), "merkle-leaves")
     kind = rows.schema["id"].dataType
-    leaves = written(ranked_leaves(rows, ["id"]), "merkle-leaves")
+    leaves = ranked_leaves(rows, ["id"])
+    done_with(rows)
     trees = grow_forest(leaves)
     subroots = written(trees.tops.select("tree", "digest", "size"), "merkle-subroots")
     heads = subroots.select(F.lit(WHOLE).alias("tree"), F.col("tree").alias("member"), "digest", F.col("size").alias("leaves"))
-    heads = written(ranked_leaves(heads, ["member"]), "merkle-subroots")
+    heads = ranked_leaves(heads, ["member"])
     whole = grow_forest(heads)
     found = whole.tops.select("digest", "size").first()  # one row: the root
     root, count = (found["digest"], found["size"]) if found else (b"", 0)

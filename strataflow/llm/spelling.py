@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import ship, written
+from strataflow.llm.common import done_with, ship, written
 
 PARTS = 4
 SLICE = 1 << 20
@@ -199,6 +199,7 @@ def variants(words: DataFrame, parts: int = PARTS, ratio: int = 2) -> DataFrame:
     linked = written(words.join(near, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(grown, F.col("best")["word"]).alias("form"), F.when(grown, form_n).alias("form_n")), "word-forms")
+    done_with(words)
     step = written(linked.filter("form IS NULL").withColumn("root", F.col("word")), "word-roots")
     out, below = step, linked.filter("form IS NOT NULL")
     while not step.isEmpty():
