@@ -19,6 +19,8 @@ CONTROL_SCHEMA = (
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 # Values that did not convert, counted per column: an event of its own, since a note of SUCCESS is a commit.
 UNCONVERTED = "UNCONVERTED"
+# Rows of a run that did not go the usual way (malformed, rejected, late, duplicate), by reason, as JSON.
+COUNTED = "COUNTED"
 # The last raw commit that a promotion of a stream has read to its end, as its note.
 DRAINED = "DRAINED"
 

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .latest import latest_per_key
 
@@ -209,6 +210,43 @@ def contested_keys(
     return both.filter("_fed > 1 OR (_fed = 1 AND _held = 1)").select(*names)
 
 
+#: Partition values listed one by one in a predicate on a table; beyond them their range is used.
+MAX_LISTED = 500
+_ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.StringType)
+
+
+def near_feed(
+    table: DataFrame, feed: DataFrame, keys: Sequence[str], partition_cols: Sequence[str] = ()
+) -> DataFrame:
+    """The part of ``table`` that can hold a key of ``feed``, as plain predicates that reach its scan.
+
+    The range of every key column prunes row groups. A partition column that is a key prunes folders: by
+    its values if the feed has no more than ``MAX_LISTED``, else by its range. One aggregation of the
+    feed's key columns finds both; one row, and at most that many values per column, reach the driver.
+    Rows with a null in their key match nothing and are left out.
+    """
+    known = [k for k in keys if isinstance(feed.schema[k].dataType, _ORDERED) and k in table.columns]
+    fed = feed.filter(~_any_null(keys))
+    listed = [k for k in known if k in partition_cols]
+    bounds = [f(_q(k)).alias(f"{tag}{i}") for i, k in enumerate(known) for tag, f in (("lo", F.min), ("hi", F.max))]
+    found = fed.agg(F.count(F.lit(1)).alias("rows"), *bounds).first()
+    if not found["rows"]:
+        return table.limit(0)
+    near = table
+    for i, k in enumerate(known):
+        values = None
+        if k in listed:
+            some = fed.select(_q(k)).distinct().limit(MAX_LISTED + 1).collect()
+            values = [r[0] for r in some] if len(some) <= MAX_LISTED else None
+        kind = feed.schema[k].dataType
+        literal = lambda v, kind=kind: F.lit(v).cast(kind)
+        if values is not None:
+            near = near.filter(_q(k).isin([literal(v) for v in values]))
+        else:
+            near = near.filter(_q(k).between(literal(found[f"lo{i}"]), literal(found[f"hi{i}"])))
+    return near
+
+
 def distinct_keys(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key; rows with a null in the key are not alike and all stay."""
     keyed = latest_per_key(feed.filter(~_any_null(keys)), keys)

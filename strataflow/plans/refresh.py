@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import json
 import threading
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,19 +22,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.enrich import (
+    parse_failed,
     parse_json_value,
     select_metadata,
     with_file_metadata,
     with_silver_metadata,
 )
-from ..functions.quality import conform_to_contract, unconverted
+from ..functions.quality import conform_to_contract, range_condition, unconverted
 from ..operators import control as ctl
 from ..operators import merge
-from ..operators.audit import row_counts
+from ..operators.audit import StreamTally, row_counts
 from ..operators.latest import latest_per_key
 from ..operators.size import fits_broadcast
 from ..sinks import tables as sink
-from ..sources.landing import files_dated, read_landing, read_landing_stream
+from ..sources.landing import MALFORMED, TEXT_FORMATS, files_dated, read_landing, read_landing_stream
 from ..sources.tables import BATCH, change_range, read_commits, read_table, read_table_stream
 from ..spec import BronzeSpec, SilverSpec, build_schema, columns
 from ..session import scratch_dir
@@ -93,6 +94,13 @@ class Run:
     rows_read: int = 0
     rows_written: int = 0
     version: int | None = None
+    #: Rows that did not go the usual way, by reason.
+    counts: dict[str, int] = field(default_factory=dict)
+
+    def add(self, **counts: int) -> None:
+        for name, n in counts.items():
+            if n:
+                self.counts[name] = self.counts.get(name, 0) + n
 
 
 @contextmanager
@@ -106,6 +114,9 @@ def _logged(spark: SparkSession, layout: Layout, layer: str, name: str) -> Itera
         ctl.log_run(spark, layout.control, pipeline, name, run_id, ctl.FAILED,
                     run.rows_read, 0, note)
         raise
+    if run.counts:
+        ctl.log_run(spark, layout.control, pipeline, name, run_id, ctl.COUNTED,
+                    run.rows_read, run.rows_written, json.dumps(run.counts))
     note = "" if run.version is None else str(run.version)
     ctl.log_run(spark, layout.control, pipeline, name, run_id, ctl.SUCCESS,
                 run.rows_read, run.rows_written, note)
@@ -133,13 +144,23 @@ def bronze_schema(spec: BronzeSpec) -> T.StructType | None:
         return build_schema(TOPIC_STAMPS + spec.columns)
     if spec.format == "binaryFile":
         return build_schema(IMAGE_COLUMNS)
-    return build_schema(FILE_STAMPS + spec.columns) if spec.columns else None
+    kept = ((MALFORMED, "string"),) if spec.format in TEXT_FORMATS else ()
+    return build_schema(FILE_STAMPS + spec.columns + kept) if spec.columns else None
+
+
+def malformed_counts(spec: BronzeSpec, columns_: Sequence[str]) -> dict[str, Column]:
+    """How many raw rows have damaged text: records of landing files, or payloads of a topic."""
+    if MALFORMED in columns_:
+        return {"malformed": F.count(MALFORMED)}
+    if spec.ingest == "streaming" and spec.columns:
+        return {"malformed": F.count_if(parse_failed(spec.columns))}
+    return {}
 
 
 def _source(spark: SparkSession, spec: BronzeSpec, given: DataFrame | None) -> DataFrame:
     if given is None and spec.ingest == "streaming":
         raise ValueError(f"{spec.name} is fed by a topic: pass its stream")
-    return read_landing_stream(spark, spec) if given is None else given
+    return read_landing_stream(spark, spec, keep_malformed=True) if given is None else given
 
 
 def to_bronze(source: DataFrame, spec: BronzeSpec, now: Column | None = None) -> DataFrame:
@@ -158,24 +179,28 @@ def ingest(
     """Append everything pending at the source to the raw table, then stop.
 
     ``source`` is the topic stream (see ``sources.kafka``); landing files are found from the spec.
+    Damaged records keep their text in the raw table (``_malformed``, or ``_raw_value`` of a topic)
+    and are counted in a COUNTED event of the run log.
     """
     with _logged(spark, layout, "bronze", spec.name) as run:
         run.version = _reached(spark, layout, "bronze", spec.name)
 
-        def on_commit(batch_id: int, rows: int) -> None:
+        def on_commit(batch_id: int, rows: int, **counts: int) -> None:
             run.rows_read += rows
             run.rows_written += rows
             run.version = batch_id
+            run.add(**counts)
 
-        stream = _source(spark, spec, source)
+        rows = to_bronze(_source(spark, spec, source), spec, now)
         sink.append_stream(
-            to_bronze(stream, spec, now),
+            rows,
             layout.table("bronze", spec.name),
             layout.checkpoint("bronze", spec.name),
             spec.partition_cols,
             spec.clustered,
             on_commit=on_commit,
             done=position(spark, layout, "bronze", spec.name),
+            counts=malformed_counts(spec, rows.columns),
         ).awaitTermination()
     return run
 
@@ -194,13 +219,17 @@ def start_ingest(
     """
     pipeline = layout.pipeline("bronze", spec.name)
 
-    def on_commit(batch_id: int, rows: int) -> None:
-        ctl.log_run(spark, layout.control, pipeline, spec.name, ctl.new_run_id(), ctl.SUCCESS,
+    def on_commit(batch_id: int, rows: int, **counts: int) -> None:
+        run_id = ctl.new_run_id()
+        if any(counts.values()):
+            ctl.log_run(spark, layout.control, pipeline, spec.name, run_id, ctl.COUNTED,
+                        rows, rows, json.dumps(counts))
+        ctl.log_run(spark, layout.control, pipeline, spec.name, run_id, ctl.SUCCESS,
                     rows, rows, str(batch_id))
 
-    stream = _source(spark, spec, source)
+    rows = to_bronze(_source(spark, spec, source), spec, now)
     return sink.append_stream(
-        to_bronze(stream, spec, now),
+        rows,
         layout.table("bronze", spec.name),
         layout.checkpoint("bronze", spec.name),
         spec.partition_cols,
@@ -208,6 +237,7 @@ def start_ingest(
         trigger or {"processingTime": "1 minute"},
         on_commit,
         position(spark, layout, "bronze", spec.name),
+        malformed_counts(spec, rows.columns),
     )
 
 
@@ -269,6 +299,7 @@ def promote(
         feed = read_commits(
             spark, layout.table("bronze", bronze.name), bronze_schema(bronze), after, upto)
         _count_feed(spark, spec, feed, layout, run)
+        feed = feed.filter(~_without_key(spec, feed.columns))
         stamped = with_silver_metadata(feed, created=True, now=now)
         rows = conform_to_contract(stamped, spec.columns)
         if spec.table:
@@ -280,6 +311,14 @@ def promote(
     return run
 
 
+def _without_key(spec: SilverSpec, names: Sequence[str]) -> Column:
+    """Raw rows of damaged records that lost their key: they stay in the raw table and are counted."""
+    if MALFORMED not in names:
+        return F.lit(False)
+    lost = [F.col(f"`{k}`").isNull() for k in spec.keys if k in names]
+    return F.col(MALFORMED).isNotNull() & reduce(lambda a, b: a | b, lost, F.lit(False))
+
+
 def _count_feed(spark, spec, feed, layout, run) -> None:
     """Count the feed and the values that its declared types cannot hold.
 
@@ -287,12 +326,16 @@ def _count_feed(spark, spec, feed, layout, run) -> None:
     Other values become null; how many is logged per column.
     """
     counts = {n: c.alias(n) for n, c in unconverted(feed, spec.columns, spec.keys).items()}
-    if not counts:  # footers are enough
+    damaged = F.count_if(_without_key(spec, feed.columns)).alias("malformed")
+    if not counts and MALFORMED not in feed.columns:  # footers are enough
         run.rows_read = feed.count()
         return
-    found = feed.agg(F.count(F.lit(1)).alias("rows"), F.struct(*counts.values()).alias("lost")).first()
+    found = feed.agg(F.count(F.lit(1)).alias("rows"), damaged, *counts.values()).first()
     run.rows_read = found["rows"]
-    lost = {n: c for n, c in found["lost"].asDict().items() if c}
+    run.add(malformed=found["malformed"])
+    if not counts:
+        return
+    lost = {n: c for n, c in found.asDict().items() if n in counts and c}
     keys = {n: c for n, c in lost.items() if n in spec.keys}
     if keys:
         raise ValueError(f"{spec.name}: key values that do not convert, by column: {keys}")
@@ -316,24 +359,28 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
         return
 
     # Spark keeps the progress of the last batches only, so it is read batch by batch.
-    read: dict[int, int] = {}
+    tally = StreamTally("accepted")
     started: list[StreamingQuery] = []
     ready = threading.Event()
 
-    def note_progress() -> None:
-        for progress in started[0].recentProgress:
-            batch = progress["batchId"]
-            read[batch] = max(read.get(batch, 0), progress["numInputRows"])
-
     def on_commit(batch_id: int, rows: int) -> None:
         ready.wait()
-        note_progress()
+        tally.note(started[0])
         run.rows_written += rows
         run.version = batch_id
 
     path = layout.table("bronze", bronze.name)
     schema = bronze_schema(bronze) or read_table(spark, path).schema
     stream = read_table_stream(spark, path, schema, after, upto, **spec.read_options)
+    # One pass counts what the rules let through. The observation stands before the rules, which
+    # therefore do not reach the scan of the new commits.
+    damaged = _without_key(spec, stream.columns)
+    passes = range_condition(spec.rules, stream.columns)
+    watched = passes is not None or MALFORMED in stream.columns
+    if watched:
+        accepted = ~damaged if passes is None else ~damaged & passes
+        stream = stream.observe("accepted", F.count_if(accepted).alias("rows_accepted"),
+                                F.count_if(damaged).alias("rows_malformed")).filter(~damaged)
     query = sink.append_stream(
         streaming_append(stream, spec, now, **options),
         layout.table("silver", spec.name),
@@ -345,15 +392,20 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
     started.append(query)
     ready.set()
     query.awaitTermination()
-    note_progress()
-    run.rows_read = sum(read.values())
+    tally.note(query)
+    run.rows_read, late = tally.total("rows_read"), tally.total("rows_late")
+    accepted, malformed = tally.total("rows_accepted") if watched else run.rows_read, tally.total("rows_malformed")
+    run.counts = {"upto": upto, "malformed": malformed, "rejected": run.rows_read - accepted - malformed,
+                  "late": late, "duplicate": accepted - late - run.rows_written}
     ctl.log_run(spark, layout.control, layout.pipeline("silver", spec.name), spec.name, ctl.new_run_id(),
                 ctl.DRAINED, run.rows_read, run.rows_written, str(upto))
 
 
 def _append(spark, spec, rows, layout, after, upto, run, options) -> None:
     path = layout.table("silver", spec.name)
-    table = None if after is None else _history(spark, spec, layout, after)
+    table = None
+    if after is not None:
+        table = merge.near_feed(_history(spark, spec, layout, after), rows, spec.keys, spec.partition_cols)
     if spec.buckets:
         if options.get("within_feed", "distinct") == "distinct":
             reduced = scratch_dir(spark, "staged")
@@ -509,4 +561,5 @@ def replay_range(
 
     One batch over exactly those files; other files are not opened.
     """
-    return with_file_metadata(files_dated(read_landing(spark, spec), start, end), now)
+    landed = read_landing(spark, spec, keep_malformed=True)
+    return with_file_metadata(files_dated(landed, start, end), now)

@@ -471,6 +471,36 @@ def binary_landing_to_bronze(spark, sf_dir):
         F.substring_index("line", "|", -1).alias("props"))
 
 
+@query(f"""
+WITH lines AS (
+    SELECT CASE WHEN order_id % 50 <> 3 THEN order_id END AS order_id,
+           CASE WHEN order_id % 50 <> 3 THEN sequence_num END AS sequence_num,
+           CASE WHEN order_id % 50 = 3 THEN concat('damaged ', order_id, '/', sequence_num) END AS text,
+           CAST(NULL AS BIGINT) AS logged
+    FROM ({as_sql(fx.ORDERS_CDC)})
+    UNION ALL SELECT NULL, NULL, NULL, count(*) FROM ({as_sql(fx.ORDERS_CDC)}) WHERE order_id % 50 = 3)
+SELECT 'json' AS format, * FROM lines UNION ALL SELECT 'csv', * FROM lines
+""")
+def landing_malformed(spark, sf_dir):
+    """Damaged lines keep their text in the raw table, and the run log says how many there were."""
+    feed = derive(spark, sf_dir, fx.ORDERS_CDC).select("order_id", F.col("sequence_num").cast("int").alias("sequence_num"))
+    damaged = F.concat(F.lit("damaged "), "order_id", F.lit("/"), "sequence_num")
+    sound = {"json": F.to_json(F.struct("order_id", "sequence_num")), "csv": F.concat_ws(",", "order_id", "sequence_num")}
+    parts = []
+    for fmt, line in sound.items():
+        landing, lake = scratch_dir(spark, "landing"), refresh.Layout(scratch_dir(spark, "lake"))
+        feed.select(F.when(F.col("order_id") % 50 == 3, damaged).otherwise(line)).write.text(landing)
+        spec = BronzeSpec("orders", fmt, columns=columns("order_id long, sequence_num integer"), landing=landing)
+        refresh.ingest(spark, spec, lake)
+        rows = refresh.read_bronze(spark, spec, lake).select(
+            F.lit(fmt).alias("format"), "order_id", "sequence_num", F.col("_malformed").alias("text"),
+            F.lit(None).cast("long").alias("logged"))
+        log = control.read_control(spark, lake.control).filter(F.col("status") == control.COUNTED)
+        counted = log.select(F.lit(fmt).alias("format"), F.from_json("notes", "malformed long")["malformed"].alias("logged"))
+        parts.append(rows.unionByName(counted, allowMissingColumns=True))
+    return parts[0].unionByName(parts[1])
+
+
 def _cdc_commits(spark: SparkSession, sf_dir: str, path: str, *numbers: int) -> None:
     """Write the change feed as commits numbered by sequence."""
     feed = derive(spark, sf_dir, fx.ORDERS_CDC)
@@ -513,6 +543,33 @@ def schema_evolution_append(spark, sf_dir):
     return read_table(spark, path).select("product_id", "price", "brand", "category")
 
 
+@query(f"SELECT CAST(max(sequence_num) AS BIGINT) AS version FROM ({as_sql(fx.ORDERS_CDC)})")
+def newest_commit(spark, sf_dir):
+    """The newest commit off the folder names: no data file is opened."""
+    path = scratch_dir(spark, "bronze")
+    _cdc_commits(spark, sf_dir, path, 1, 2, 3)
+    return source.newest_commit(spark, path)
+
+
+@query(f"""
+SELECT CAST(product_id AS BIGINT) AS product_id, CAST(feed_no AS DOUBLE) AS feed_no, price,
+       CAST(effective_date AS VARCHAR) AS effective_date, CASE WHEN feed_no > 1 THEN brand END AS brand
+FROM ({as_sql(fx.PRODUCT_FEED)})
+""")
+def append_widened(spark, sf_dir):
+    """Commits whose columns change their type: whole numbers grow, become fractions, a date becomes text."""
+    feed, path = derive(spark, sf_dir, fx.PRODUCT_FEED), scratch_dir(spark, "widening")
+    kinds = {
+        1: ("CAST(product_id AS INT) product_id", "CAST(feed_no AS INT) feed_no", "price", "effective_date"),
+        2: ("CAST(product_id AS BIGINT) product_id", "CAST(feed_no AS DOUBLE) feed_no", "price", "effective_date", "brand"),
+        3: ("CAST(product_id AS BIGINT) product_id", "CAST(feed_no AS INT) feed_no", "price",
+            "CAST(effective_date AS STRING) effective_date", "brand"),
+    }
+    for number, chosen in kinds.items():
+        sink.append_batch(feed.filter(F.col("feed_no") == number).selectExpr(*chosen), path, number)
+    return read_table(spark, path).drop(BATCH)
+
+
 @query(f"""
 SELECT product_id, price, CASE WHEN feed_no >= 2 THEN brand END AS brand,
        CASE WHEN feed_no = 3 THEN category END AS category
@@ -604,6 +661,33 @@ def topic_to_bronze(spark, sf_dir):
                        "_raw_value", "k")
 
 
+# Each partition's offsets are dense but for the records that are gone.
+TOPIC_ROWS = """
+SELECT CAST('events' AS STRING) AS topic, CAST(event_id % 4 AS INT) AS partition,
+       CAST(floor(event_id / 4.0) AS BIGINT) AS offset, CAST(ts AS TIMESTAMP) AS timestamp,
+       CAST(CAST(user_id AS STRING) AS BINARY) AS key, CAST(props AS BINARY) AS value
+FROM {events} WHERE event_id % 100 >= 12 AND event_id % 37 <> 5
+"""
+
+
+@query(f"""
+WITH held AS (SELECT topic, partition, "offset" AS o, CAST("offset" % 3 AS BIGINT) AS c FROM ({as_sql(TOPIC_ROWS)})),
+near AS (
+    SELECT *, lag(o) OVER w AS last, lag(c) OVER w AS commit_before
+    FROM held WINDOW w AS (PARTITION BY topic, partition ORDER BY o))
+SELECT topic AS _kafka_topic, partition AS _kafka_partition, last + 1 AS first_missing, o - 1 AS last_missing,
+       o - last - 1 AS missing, commit_before, c AS commit_after
+FROM near WHERE o - last > 1
+""")
+def offset_gaps(spark, sf_dir):
+    """Records of a topic that never reached its raw table, as runs of offsets between those that did."""
+    path = scratch_dir(spark, "topic")
+    rows = enrich.with_kafka_metadata(derive(spark, sf_dir, TOPIC_ROWS))
+    for number in range(3):
+        sink.append_batch(rows.filter(F.col("_kafka_offset") % 3 == number), path, number)
+    return source.offset_gaps(read_table(spark, path, rows.schema), span=1000)
+
+
 @query(DISTINCT_READINGS)
 def topic_to_silver(spark, sf_dir):
     """JSON events with text times: topic, raw table, refined table."""
@@ -670,8 +754,9 @@ def audit_ctes(lag: int) -> str:
     """
 
 
-AUDIT_SQL = f"""
-{audit_ctes(2)}
+def audit_sql(lag: int) -> str:
+    return f"""
+{audit_ctes(lag)}
 SELECT _batch_id, rows_read, rows_rejected, rows_late,
        rows_read - rows_rejected - rows_late - rows_written AS rows_duplicate, rows_written
 FROM (
@@ -683,6 +768,9 @@ FROM (
 """
 
 
+AUDIT_SQL = audit_sql(2)
+
+
 def _audited(spark, sf_dir):
     return audit.batch_audit(
         derive(spark, sf_dir, AUDIT_EVENTS), ["event_id"], READING_RULES, "event_ts", "20 days")
@@ -744,6 +832,34 @@ def stream_late_rows(spark, sf_dir):
     return read_table(spark, out, build_schema(cols)).select("event_id")
 
 
+@query(audit_sql(1))
+def promote_stream_counts(spark, sf_dir):
+    """What the run log says of promoted commits: rows read, rejected, late, known already, written."""
+    lake = refresh.Layout(scratch_dir(spark, "lake"))
+    cols = columns("event_id long, event_ts timestamp, reading double")
+    raw = BronzeSpec("reads", "json", ingest="streaming", columns=cols)
+    spec = SilverSpec("reads", "streaming_append", "reads", ("event_id",), cols, order_col="event_ts", delay="20 days",
+                      rules=READING_RULES)
+    events = derive(spark, sf_dir, AUDIT_EVENTS).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    remembered = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(remembered)
+    spark.conf.set(remembered, "2")
+    try:
+        for number in range(4):
+            sink.append_batch(events.filter(F.col(BATCH) == number), lake.table("bronze", "reads"), number)
+            control.log_run(spark, lake.control, lake.pipeline("bronze", "reads"), "reads", f"run{number}",
+                            control.SUCCESS, notes=str(number))
+            refresh.promote(spark, spec, raw, lake)
+    finally:
+        spark.conf.set(remembered, before)
+    log = control.read_control(spark, f"{lake.control}/{lake.pipeline('silver', 'reads')}")
+    counted = log.filter(F.col("status") == control.COUNTED).withColumn(
+        "n", F.from_json("notes", "upto long, rejected long, late long, duplicate long"))
+    return counted.select(
+        F.col("n.upto").alias(BATCH), "rows_read", F.col("n.rejected").alias("rows_rejected"),
+        F.col("n.late").alias("rows_late"), F.col("n.duplicate").alias("rows_duplicate"), "rows_written")
+
+
 @query(f"""
 SELECT DISTINCT event_id, field_id, reading, user_id, event_id % 3 = 2 AS second_run
 FROM ({as_sql(fx.SENSOR_EVENTS)}) WHERE reading BETWEEN 5 AND 60
@@ -803,6 +919,14 @@ def promote_history(spark, sf_dir):
     return refresh.read_silver(spark, spec, _promoted(spark, sf_dir, spec))
 
 
+@query(as_sql(fx.ORDERS_CDC))
+def promote_history_pruned(spark, sf_dir):
+    """A history partitioned by a key: a promotion reads no partition that its feed cannot touch."""
+    spec = SilverSpec("orders_history", "cdc_history", "orders", ("order_id", "sequence_num"),
+                      CDC_COLUMNS, partition_cols=("sequence_num",))
+    return refresh.read_silver(spark, spec, _promoted(spark, sf_dir, spec))
+
+
 @query(as_sql(fx.ORDERS_CDC))
 def promote_history_bucketed(spark, sf_dir):
     spec = SilverSpec("orders_history", "cdc_history", "orders", ("order_id", "sequence_num"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -21,12 +21,17 @@ BUCKET = "_bucket"
 MAP_SCHEMA = "buckets int, held map<string,long>"
 
 
-def observed_rows(seen: Observation) -> int:
-    """The observed ``rows``; 0 when the data proved empty, which makes Spark drop the observation."""
+def observed(seen: Observation) -> dict[str, int]:
+    """What was observed; nothing when the data proved empty, which makes Spark drop the observation."""
     try:
-        return seen.get.get("rows", 0)
+        return seen.get
     except Py4JJavaError:
-        return 0
+        return {}
+
+
+def observed_rows(seen: Observation) -> int:
+    """The observed ``rows``."""
+    return observed(seen).get("rows", 0)
 
 
 def _write(df: DataFrame, path: str, partition_cols: Sequence[str], clustered: bool) -> None:
@@ -56,14 +61,16 @@ def append_stream(
     partition_cols: Sequence[str] = (),
     clustered: bool = False,
     trigger: dict | None = None,
-    on_commit: Callable[[int, int], None] | None = None,
+    on_commit: Callable[..., None] | None = None,
     done: int | None = None,
+    counts: Mapping[str, Column] | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a table, one commit per micro-batch.
 
     The default trigger drains what is pending and stops. A micro-batch replayed after a failure
     overwrites its own commit, so the table holds each row once. ``on_commit(batch_id, rows)`` is
-    called after each commit; the count is observed during the write.
+    called after each commit; the count is observed during the write. ``counts`` are further
+    aggregates of the rows, observed in the same pass and handed on by name.
 
     ``done`` is the last commit that readers may already follow: a replay of it runs, but leaves its
     files alone. A checkpoint further behind is not the one that wrote the table and is refused.
@@ -78,10 +85,12 @@ def append_stream(
             return batch.write.format("noop").mode("overwrite").save()
         if on_commit is None:
             return append_batch(batch, path, batch_id, partition_cols, clustered)
-        seen = Observation()
-        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
+        seen, more = Observation(), counts or {}
+        counted = batch.observe(
+            seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in more.items()])
         append_batch(counted, path, batch_id, partition_cols, clustered)
-        on_commit(batch_id, observed_rows(seen))
+        found = observed(seen)
+        on_commit(batch_id, found.get("rows", 0), **{name: found.get(name, 0) for name in more})
 
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -21,6 +21,9 @@ BINARY_SCHEMA = T.StructType(
 )
 IMAGE_GLOB = "*.jpg"
 FILE_DATE = r"(\d{4}-\d{2}-\d{2})"
+#: Formats of text records, whose damaged records can be kept as they stand, and the column for them.
+TEXT_FORMATS = ("json", "csv")
+MALFORMED = "_malformed"
 
 
 def _options(spec: BronzeSpec) -> dict[str, str]:
@@ -39,20 +42,33 @@ def _schema(spark: SparkSession, spec: BronzeSpec) -> T.StructType:
     return spark.read.format(spec.format).options(**_options(spec)).load(spec.landing).schema
 
 
-def read_landing_stream(spark: SparkSession, spec: BronzeSpec, **options: str) -> DataFrame:
+def _reader(reader, spark: SparkSession, spec: BronzeSpec, keep_malformed: bool, options: dict[str, str]):
+    schema, given = _schema(spark, spec), {**_options(spec), **options}
+    if keep_malformed and spec.format in TEXT_FORMATS:
+        given["columnNameOfCorruptRecord"] = MALFORMED
+        schema = T.StructType([f for f in schema if f.name != MALFORMED]).add(MALFORMED, T.StringType())
+    return reader.format(spec.format).schema(schema).options(**given).load(spec.landing)
+
+
+def read_landing_stream(
+    spark: SparkSession, spec: BronzeSpec, keep_malformed: bool = False, **options: str
+) -> DataFrame:
     """New landing files since the checkpoint, with the declared schema enforced.
 
     Without a declared schema it is inferred once, here. ``maxFilesPerTrigger`` or
     ``maxBytesPerTrigger`` bound each batch of a large backlog.
+
+    A JSON or CSV record that does not parse, or not wholly, has nulls in the fields it loses. With
+    ``keep_malformed`` a last column ``_malformed`` holds its whole text, and null for sound records.
     """
-    reader = spark.readStream.format(spec.format).schema(_schema(spark, spec))
-    return reader.options(**{**_options(spec), **options}).load(spec.landing)
+    return _reader(spark.readStream, spark, spec, keep_malformed, options)
 
 
-def read_landing(spark: SparkSession, spec: BronzeSpec, **options: str) -> DataFrame:
+def read_landing(
+    spark: SparkSession, spec: BronzeSpec, keep_malformed: bool = False, **options: str
+) -> DataFrame:
     """All landing files as one batch."""
-    reader = spark.read.format(spec.format).schema(_schema(spark, spec))
-    return reader.options(**{**_options(spec), **options}).load(spec.landing)
+    return _reader(spark.read, spark, spec, keep_malformed, options)
 
 
 def files_dated(df: DataFrame, start: date | str, end: date | str) -> DataFrame:
