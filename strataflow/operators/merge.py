@@ -62,7 +62,7 @@ def upsert(
     rows stay. Columns only the feed has are added; columns it lacks keep their value, or are null
     in inserted rows.
 
-    The default plan is one full outer join; it reuses the partitioning ``latest_per_key`` already
+    The default plan is one full outer join of the rows with a whole key; it reuses the partitioning ``latest_per_key`` already
     made, so only ``state`` is exchanged. A ``state`` stored distributed by key is not exchanged
     when the reduced feed is read from a table, which leaves its distribution open.
 
@@ -112,9 +112,15 @@ def upsert(
         fresh = fresh.withColumn("_applied", F.lit(True))
         merged = kept.unionByName(fresh, allowMissingColumns=True)
     else:
-        fed = _tagged(staged.withColumn("_insert", insertable), "src")
+        # Rows with a null in their key match nothing. In the join all of them would meet in one task,
+        # so they pass it by; beyond them the join has one row per key on either side, so no key is hot.
+        loose = _any_null(keys)
+        held = _tagged(state.filter(~loose), "tgt")
+        fed = _tagged(staged.filter(~loose).withColumn("_insert", insertable), "src")
         joined = held.join(fed, on, "full_outer").filter(in_tgt | src("_insert"))
         merged = joined.select(*[value(c) for c in out], take.alias("_applied"))
+        for rows, fresh in ((state.filter(loose), False), (staged.filter(loose).filter(insertable), True)):
+            merged = merged.unionByName(rows.withColumn("_applied", F.lit(fresh)), allowMissingColumns=True)
     merged = _observed(merged, applied, F.count_if("_applied"))
     return merged.select(*[_q(c) for c in out])
 

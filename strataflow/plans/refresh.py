@@ -39,7 +39,7 @@ from ..sources.landing import MALFORMED, TEXT_FORMATS, files_dated, read_landing
 from ..sources.tables import BATCH, change_range, read_commits, read_table, read_table_stream
 from ..spec import BronzeSpec, SilverSpec, build_schema, columns
 from ..session import scratch_dir
-from ..streaming.append import streaming_append
+from ..streaming.append import absent_rows, streaming_append
 
 FILE_STAMPS = columns(
     "_ingested_at timestamp, _ingested_date date, _source_file string, "
@@ -381,6 +381,9 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
         accepted = ~damaged if passes is None else ~damaged & passes
         stream = stream.observe("accepted", F.count_if(accepted).alias("rows_accepted"),
                                 F.count_if(damaged).alias("rows_malformed")).filter(~damaged)
+    prepare = None
+    if spec.stateless:
+        prepare = absent_rows(spec, layout.table("silver", spec.name), scratch_dir(spark, "batches"))
     query = sink.append_stream(
         streaming_append(stream, spec, now, **options),
         layout.table("silver", spec.name),
@@ -388,6 +391,7 @@ def _promote_stream(spark, spec, bronze, layout, run, now, options) -> None:
         spec.partition_cols,
         spec.clustered,
         on_commit=on_commit,
+        prepare=prepare,
     )
     started.append(query)
     ready.set()

@@ -631,6 +631,26 @@ def stream_append_dedup(spark, sf_dir):
     return _drained(spark, streaming_append(_sensor_table(spark, sf_dir), spec)).select(*READINGS)
 
 
+@query(f"""
+SELECT *, event_id % 3 AS run FROM ({DISTINCT_READINGS})
+""")
+def stream_append_stateless(spark, sf_dir):
+    """As ``stream_append_dedup``, in three runs that overlap, without a state of all keys."""
+    lake = refresh.Layout(scratch_dir(spark, "lake"))
+    raw = BronzeSpec("sensors", "json", ingest="streaming", columns=SENSOR_COLUMNS)
+    spec = SilverSpec("sensor_reads", "streaming_append", "sensors", ("event_id", "field_id"), SENSOR_COLUMNS,
+                      order_col="event_ts", rules=READING_RULES, partition_cols=("field_id",), stateless=True)
+    events = derive(spark, sf_dir, fx.SENSOR_EVENTS)
+    events = events.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    for number in range(3):  # every run's feed holds the events of the runs before it as well
+        sink.append_batch(events.filter(F.col("event_id") % 3 <= number), lake.table("bronze", "sensors"), number)
+        control.log_run(spark, lake.control, lake.pipeline("bronze", "sensors"), "sensors", f"run{number}",
+                        control.SUCCESS, notes=str(number))
+        refresh.promote(spark, spec, raw, lake)
+    rows = read_table(spark, lake.table("silver", "sensor_reads"), build_schema(SENSOR_COLUMNS))
+    return rows.select(*READINGS, F.col(BATCH).alias("run"))
+
+
 @query(f"SELECT DISTINCT event_id, field_id, reading, user_id FROM ({as_sql(fx.SENSOR_EVENTS)})")
 def stream_dedup_within_watermark(spark, sf_dir):
     stream = with_watermark(_sensor_table(spark, sf_dir)).drop(BATCH)

@@ -64,13 +64,15 @@ def append_stream(
     on_commit: Callable[..., None] | None = None,
     done: int | None = None,
     counts: Mapping[str, Column] | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a table, one commit per micro-batch.
 
     The default trigger drains what is pending and stops. A micro-batch replayed after a failure
     overwrites its own commit, so the table holds each row once. ``on_commit(batch_id, rows)`` is
     called after each commit; the count is observed during the write. ``counts`` are further
-    aggregates of the rows, observed in the same pass and handed on by name.
+    aggregates of the rows, observed in the same pass and handed on by name. ``prepare(batch, batch_id)``
+    gives the rows to write for a micro-batch; it must give the same ones when the batch is replayed.
 
     ``done`` is the last commit that readers may already follow: a replay of it runs, but leaves its
     files alone. A checkpoint further behind is not the one that wrote the table and is refused.
@@ -83,6 +85,8 @@ def append_stream(
     def commit(batch: DataFrame, batch_id: int) -> None:
         if done is not None and batch_id <= done:
             return batch.write.format("noop").mode("overwrite").save()
+        if prepare is not None:
+            batch = prepare(batch, batch_id)
         if on_commit is None:
             return append_batch(batch, path, batch_id, partition_cols, clustered)
         seen, more = Observation(), counts or {}

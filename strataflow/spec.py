@@ -113,6 +113,8 @@ class SilverSpec:
     # History: a catalog table distributed by key, which appends need not shuffle.
     buckets: int | None = None
     bounded: bool = False  # streaming_append: forget a key once the watermark has passed it
+    # streaming_append: look keys up in the table itself instead of keeping all of them as state.
+    stateless: bool = False
     spread: bool = False  # streaming_append: thin very frequent keys per input split first
     read_options: Mapping[str, str] = field(default_factory=dict)  # of the raw table as a stream
 
@@ -123,6 +125,8 @@ class SilverSpec:
             raise ValueError(f"{self.load} needs order_col, the column that tells recency")
         if self.table and self.load == "streaming_append":
             raise ValueError("streaming_append appends to its own path; table= is for merged tables")
+        if self.stateless and (self.load != "streaming_append" or self.bounded or self.spread):
+            raise ValueError("stateless is for streaming_append, and leaves no state to bound or spread")
         if self.buckets and self.partition_cols and self.load in ("cdc_history", "append_dedup"):
             raise ValueError("a bucketed history is laid out by key: give buckets or partition_cols")
 

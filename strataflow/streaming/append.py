@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.enrich import parse_event_time
 from ..functions.quality import conform_columns, range_filter
-from ..spec import SilverSpec
+from ..operators.merge import insert_if_absent, near_feed
+from ..sources.tables import commit_numbers, read_commits
+from ..spec import SilverSpec, build_schema
 
 
 def with_watermark(
@@ -58,12 +60,40 @@ def streaming_append(
 
     Filters come first so they reach the scan, and the projection precedes the deduplication so
     that only declared columns enter the state store. ``bounded`` and ``spread`` are the spec's
-    unless given.
+    unless given. Of a ``stateless`` spec the rows are not deduplicated here: ``absent_rows`` does it.
     """
     bounded = spec.bounded if bounded is None else bounded
     spread = spec.spread if spread is None else spread
     event_time = spec.order_col or "event_ts"
     now = F.current_timestamp() if now is None else now
     rows = range_filter(stream, spec.rules).withColumn("_silver_created_at", now)
+    if spec.stateless:
+        return conform_columns(parse_event_time(rows, event_time), spec.columns)
     rows = with_watermark(rows, event_time, spec.delay)
     return stream_dedup(conform_columns(rows, spec.columns), spec.keys, bounded, spread)
+
+
+def absent_rows(spec: SilverSpec, path: str, staged: str) -> Callable[[DataFrame, int], DataFrame]:
+    """The deduplication of a ``stateless`` spec, as ``prepare`` of ``sinks.tables.append_stream``.
+
+    A micro-batch is written to a folder below ``staged``, so that its source is read once, cut to one
+    row per key, and joined with the keys that earlier commits of the table at ``path`` hold. Of these
+    only the partitions and row groups are read that the batch's keys can be in (``near_feed``), so a
+    batch costs what it touches and no state grows. A replayed batch does not see its own commit.
+
+    Against the deduplication with state: no row is ever too late, and rows with a null in their key
+    are all kept. Of several copies of a key the first by all columns stays.
+    """
+    schema = build_schema(spec.columns)
+
+    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{staged}/{batch_id}")
+        rows = spark.read.schema(batch.schema).parquet(f"{staged}/{batch_id}")
+        held = None
+        if any(n < batch_id for n in commit_numbers(spark, path)):
+            held = read_commits(spark, path, schema, None, batch_id - 1)
+            held = near_feed(held, rows, spec.keys, spec.partition_cols)
+        return insert_if_absent(held, rows, spec.keys)
+
+    return prepare

@@ -193,3 +193,40 @@ def test_gaps_of_offsets(spark, span):
                 want[("t", p, a + 1, b - 1, b - a - 1, c, d)] += 1
     assert rows(source.offset_gaps(df, span)) == want
     assert source.offset_gaps(df.limit(0), span).count() == 0
+
+
+# --- keys without a state, keys with nulls
+
+
+def test_stateless_dedup_keeps_no_state(spark, tmp_path):
+    cols = columns("k long, part string, at timestamp")
+    spec = SilverSpec("t", "streaming_append", "t", ("k", "part"), cols, order_col="at", delay="1 minute",
+                      partition_cols=("part",), stateless=True)
+    raw, lake = BronzeSpec("t", "json", "streaming", cols), refresh.Layout(f"{tmp_path}/lake")
+    feeds = [[(1, "a"), (1, "a"), (2, "b")], [(1, "a"), (3, "a"), (None, "a")], [(2, "b"), (1, "b"), (None, "a")]]
+    for number, feed in enumerate(feeds):  # event times go back from feed to feed: nothing is too late
+        made = spark.createDataFrame(feed, "k long, part string").withColumn("at", F.timestamp_seconds(F.lit(10**6 - 10**5 * number)))
+        sink.append_batch(made, lake.table("bronze", "t"), number)
+        control.log_run(spark, lake.control, lake.pipeline("bronze", "t"), "t", f"r{number}", control.SUCCESS, notes=str(number))
+        run = refresh.promote(spark, spec, raw, lake)
+    assert run.counts["duplicate"] == 1 and run.rows_written == 2
+    assert rows(refresh.read_silver(spark, spec, lake), "k", "part") == bag(
+        (1, "a"), (2, "b"), (3, "a"), (None, "a"), (1, "b"), (None, "a"))
+    assert not (tmp_path / "lake/_checkpoints/silver/t/g0/state").exists()
+    with pytest.raises(ValueError, match="stateless"):
+        SilverSpec("t", "streaming_append", "t", ("k",), cols, stateless=True, bounded=True)
+
+
+def test_null_keys_of_the_state_are_spread(spark, tmp_path):
+    """A hundred thousand state rows without a key stay in the tasks that read them."""
+    keyed = spark.range(1000).selectExpr("id AS k", "1 AS v", "1 AS seq")
+    state = keyed.unionByName(spark.range(0, 100_000, 1, 8).selectExpr("CAST(NULL AS BIGINT) AS k", "2 AS v", "1 AS seq"))
+    state.write.parquet(f"{tmp_path}/state")
+    state = spark.read.parquet(f"{tmp_path}/state")
+    feed = spark.createDataFrame([(5, 9, 2), (2000, 9, 2), (None, 9, 2)], "k long, v int, seq int")
+    merged = merge.full_merge(state, feed, ["k"], "seq")
+    assert rows(merged.groupBy("k", "v").count().filter("k IS NULL OR v = 9")) == bag(
+        (None, 2, 100_000), (None, 9, 1), (5, 9, 1), (2000, 9, 1))
+    assert merged.count() == 101_002
+    per_task = merged.filter("k IS NULL").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task <= 30_000
