@@ -7,8 +7,10 @@ import itertools
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strataflow.llm.common import ship
 from strataflow.llm.template import compile_template
@@ -61,20 +63,25 @@ def format_conversations(
     partitions by conversation and read as a stream, so a task holds one conversation's output at a
     time, never a group as a table.
 
+    Ids keep their type and value: large whole numbers beside a null are not rounded.
+
     Defined cases: a null text or role is empty; rows with a null conversation id form one
-    conversation with a null id; repeated rows are turns of their own; an empty table gives no rows;
-    further columns are ignored. Control strings inside texts and roles are escaped reversibly.
+    conversation with a null id; repeated rows are turns of their own; texts of any length are whole, a
+    conversation being one cell; an empty table gives no rows; further columns are ignored. Control strings inside texts and roles are escaped reversibly.
     """
     ship(turns.sparkSession)
     rows = turns.select(
         F.col(f"`{conv}`").alias("conv_id"), F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     rows = rows.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn", "role", "text")
-    kind = rows.schema["conv_id"].dataType.simpleString()
+    kind = rows.schema["conv_id"].dataType
+    spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    schema = pa.schema([("conv_id", to_arrow_type(kind)), ("formatted", pa.string()), ("loss", spans_type)])
 
     def render(batches):
         run = compile_template(template, Escaper(controls).escape)
-        flat = ((None if pd.isna(c) else c, r, t) for b in batches for c, r, t in zip(b["conv_id"], b["role"], b["text"], strict=True))
+        columns = ("conv_id", "role", "text")
+        flat = (row for b in batches for row in zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in columns], strict=True))
         out, size = [], 0
         for which, group in itertools.groupby(flat, key=lambda x: x[0]):
             pieces, spans, at = [], [], 0
@@ -86,12 +93,16 @@ def format_conversations(
             out.append((which, "".join(pieces), spans))
             size += at
             if size > 1 << 22:
-                yield pd.DataFrame(out, columns=["conv_id", "formatted", "loss"]).astype({"conv_id": "object"})
+                yield _batch(out, schema)
                 out, size = [], 0
         if out:
-            yield pd.DataFrame(out, columns=["conv_id", "formatted", "loss"]).astype({"conv_id": "object"})
+            yield _batch(out, schema)
+
+    return rows.mapInArrow(render, f"conv_id {kind.simpleString()}, formatted string, loss array<struct<start:long,end:long>>")
+
 
-    return rows.mapInPandas(render, f"conv_id {kind}, formatted string, loss array<struct<start:long,end:long>>")
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def read_turns(formatted: str, controls: tuple[str, ...] = CONTROLS) -> list[tuple[str, str]]:

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 from html import unescape
 
 import numpy as np
 
 _TAG = re.compile(
-    r"<!--(?:.*?-->|.*)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>",
+    r"<!--(?:.*?-->|.*)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>",
     re.S)
+_HEAD = re.compile(r"<!--(?:.*?-->|.*)|<(/?)([A-Za-z][^\s/>]*+)|<[!?/][^>]*>", re.S)
+_MARK = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _UNSHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _PIECE = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -103,11 +106,78 @@ def named(attributes: str) -> tuple[int, bool]:
     return bits, hidden
 
 
+class _Ends:
+    """Where the tags of a page end whose quotes do not pair: found for all tags in one pass from the back."""
+
+    def __init__(self, html: str):
+        self._html = html
+        marks = [(m.start(), m[0]) for m in _MARK.finditer(html)]
+        self._at = [p for p, _ in marks]
+        self._end = [-1] * (len(marks) + 1)
+        following = {'"': len(marks), "'": len(marks)}
+        for i in range(len(marks) - 1, -1, -1):
+            p, mark = marks[i]
+            if mark == ">":
+                self._end[i] = p
+            else:  # the quoted part ends at the next such quote
+                self._end[i] = self._end[min(following[mark] + 1, len(marks))]
+                following[mark] = i
+
+    def after(self, name_end: int) -> int:
+        """The ``>`` that ends a tag: outside of its quotes if there is one, else the next; -1 without any."""
+        end = self._end[bisect_left(self._at, name_end)]
+        return end if end >= 0 else self._html.find(">", name_end)
+
+
+class _Tags:
+    """Comments, declarations and tags of a page, one after the other from any place on.
+
+    Past the last ``>`` nothing but an open comment is markup. The usual pattern reads a tag at a time;
+    once it has met a tag whose quotes do not pair, which it finds out only at the end of the page, the
+    ends of all further tags are looked up.
+    """
+
+    def __init__(self, html: str):
+        self._html, self._last, self._ends = html, html.rfind(">") + 1, None
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """The next one: start, end, ``/`` of an end tag, name (empty if no tag), attributes."""
+        html, usual = self._html, self._ends is None
+        found = (_TAG if usual else _HEAD).search(html, at, self._last)
+        if not found:
+            start = html.find("<!--", max(at, self._last))
+            return None if start < 0 else (start, len(html), "", "", "")
+        start, end = found.span()
+        if html.startswith("<!--", start) and (end - start < 7 or not html.endswith("-->", 0, end)):
+            return start, len(html), "", "", ""  # a comment that never ends
+        if usual:
+            if found[5] is not None:
+                self._ends = _Ends(html)
+            return start, end, found[1] or found[4], (found[2] or found[5] or "").lower(), found[3] or found[6] or ""
+        if found[2] is None:
+            return start, end, "", "", ""
+        close = self._ends.after(end)
+        return start, close + 1, found[1], found[2].lower(), html[end:close]
+
+
 def read_page(html: str) -> Page:
-    """The nodes and texts of a page. Every input gives a page; broken markup is closed where needed."""
+    """The nodes and texts of a page. Every input gives a page; broken markup is closed where needed.
+
+    The work grows with the page's length, whatever its markup: tags are found in one pass, and the
+    places of open elements are known by name.
+    """
     page, at, chars = Page(), 0, 0
     root = page.add(-1, 0, 0, 0)
     stack: list[tuple[str, int, bool]] = [("#", root, False)]  # tag, node, text is shown
+    opened: dict[str, list[int]] = {}  # places in the stack, by tag
+
+    def push(tag: str, node: int, shown: bool) -> None:
+        opened.setdefault(tag, []).append(len(stack))
+        stack.append((tag, node, shown))
+
+    def nearest(tags) -> int:
+        """The place of the innermost open element of these; 0 without any."""
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
 
     def say(text: str) -> None:
         nonlocal chars
@@ -134,6 +204,7 @@ def read_page(html: str) -> Page:
         nonlocal links, foreign
         while len(stack) > down_to:
             tag = stack.pop()[0]
+            opened[tag].pop()
             if tag == "a":
                 links -= 1
             elif tag in ("svg", "math"):
@@ -141,42 +212,30 @@ def read_page(html: str) -> Page:
             elif tag not in INLINE and tag not in EMBEDDED and not foreign:
                 page.pieces.append((0, "\n"))
 
-    while at < len(html):
-        found = _TAG.search(html, at)
-        if not found:
-            say(html[at:])
-            break
-        if found.start() > at:
-            say(html[at : found.start()])
-        at = found.end()
-        tag = (found[2] or found[5] or "").lower()
+    tags = _Tags(html)
+    while met := tags.after(at):
+        start, end, closes, tag, attributes = met
+        if start > at:
+            say(html[at:start])
+        at = end
         if not tag:
             continue
-        if found[1] or found[4]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
+        if closes:
+            if opened.get(tag):
+                close(opened[tag][-1])
             continue
-        attributes = found[3] or found[6] or ""
         if stack[-1][0] == "head" and tag not in _IN_HEAD:
             close(len(stack) - 1)
         if foreign and (tag in GROUPS or tag in INLINE and tag not in ("a", "font") or tag in ("br", "hr", "img")) and tag not in EMBEDDED:
             # Elements of HTML end a drawing or formula, unless it holds HTML by rule.
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in _HOLDS_HTML:
-                    break
-                if stack[k][0] in ("svg", "math"):
-                    close(k)
-                    break
+            k = nearest(_HOLDS_HTML | {"svg", "math"})
+            if k and stack[k][0] not in _HOLDS_HTML:
+                close(k)
         if tag in _CLOSES_P or tag in _ENDS:
             ends, scope = _ENDS.get(tag, ({"p"}, {"td", "th", "li", "table", "button", "article", "section", "div"}))
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ends:
-                    close(k)
-                    if tag not in ("tr", "tbody", "tfoot"):
-                        break
-                elif stack[k][0] in scope:
+            while (k := nearest(ends | scope)) and stack[k][0] in ends:
+                close(k)
+                if tag not in ("tr", "tbody", "tfoot"):
                     break
         node, own = stack[-1][1], page.own[stack[-1][1]]
         if tag in VOID:
@@ -194,7 +253,7 @@ def read_page(html: str) -> Page:
                 at = end.end() if end else len(html)
                 own[8] += tag == "textarea"
             elif not attributes.endswith("/"):
-                stack.append((tag, node, False))
+                push(tag, node, False)
             continue
         kinds, hidden = named(attributes) if attributes else (0, False)
         shown = (stack[-1][2] or len(stack) == 1) and not hidden
@@ -202,7 +261,7 @@ def read_page(html: str) -> Page:
             page.pieces.append((node, " "))
             if not attributes.endswith("/"):
                 foreign += tag == "math"
-                stack.append((tag, node, shown))
+                push(tag, node, shown)
             continue
         own[4] += 1
         if tag in EMBEDDED:
@@ -210,7 +269,7 @@ def read_page(html: str) -> Page:
             page.own[node][10] += 1
             if not attributes.endswith("/"):
                 foreign += tag == "svg"
-                stack.append((tag, node, shown))
+                push(tag, node, shown)
             continue
         if tag in INLINE:
             if kinds:
@@ -230,7 +289,9 @@ def read_page(html: str) -> Page:
         if attributes.endswith("/") and tag in INLINE:
             links -= tag == "a"
             continue
-        stack.append((tag, node, shown))
+        push(tag, node, shown)
+    if at < len(html):
+        say(html[at:])
     return page
 
 

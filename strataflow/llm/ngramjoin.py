@@ -300,18 +300,18 @@ def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, text: st
     only if all its ids are null. The caller's columns come back unchanged.
     """
     rows = written(_classified(docs, k, percent, text, id_col), "join-rows")
+    key, same, mark = fresh("id"), fresh("mark"), fresh("own")
+    pair = [F.col("doc_id").alias(key), F.col("mark").alias(same)]
     first = rows.filter("n > 0").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("f")).select(
-        F.col("f")["doc_id"].alias("id2"), F.col("f")["mark"].alias("mark2"))
-    stay = written(first.unionByName(rows.filter("n = 0").select(F.col("doc_id").alias("id2"), F.col("mark").alias("mark2")).distinct()), "join-stay")
-    mark = fresh("mark")
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("f")).select("f.doc_id", "f.mark").select(*pair)
+    stay = written(first.unionByName(rows.filter("n = 0").select(*pair).distinct()), "join-stay")
     marked = docs.withColumn(mark, F.xxhash64(F.col(f"`{text}`")))
-    kept = marked.join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("id2")) & (F.col(mark) == F.col("mark2")), "left_semi")
+    found = F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(same))
+    kept = marked.join(stay, found, "left_semi")
     repeated = rows.filter("n > 0").groupBy("doc_id", "mark").count().filter("count > 1").join(
-        first, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("mark") == F.col("mark2")), "left_semi")
+        first, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("mark") == F.col(same)), "left_semi")
     if not repeated.isEmpty():  # only then is a pass over the kept rows worth its exchange
-        repeated = written(repeated.select(F.col("doc_id").alias("id3"), F.col("mark").alias("mark3")), "join-repeated")
-        found = F.col(f"`{id_col}`").eqNullSafe(F.col("id3")) & (F.col(mark) == F.col("mark3"))
+        repeated = written(repeated.select(*pair), "join-repeated")
         twice = kept.join(repeated, found, "left_semi").dropDuplicates([id_col, mark])
         kept = kept.join(repeated, found, "left_anti").unionByName(twice)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

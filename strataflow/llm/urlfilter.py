@@ -30,14 +30,15 @@ def intervals(entries: DataFrame) -> DataFrame:
     ``entries`` has list, kind (``domain``: the host and all below it; ``host``; ``prefix``: host and
     leading path segments), pattern, verdict (``block`` or ``allow``), action (``add`` or ``remove``)
     and at. An entry holds from the moment it is added up to, but not including, its next event; one
-    never removed holds on. At equal times a removal comes before an addition. Rows with a null
-    field or an unknown kind, verdict or action are no entries; repeated rows count once.
+    never removed holds on. At equal times a removal comes before an addition. A pattern's host is read
+    as that of a URL. Rows with a null field, a pattern without a host, or an unknown kind, verdict or
+    action are no entries; repeated rows count once.
     """
     known = F.col("kind").isin(*KINDS) & F.col("verdict").isin("block", "allow") & F.col("action").isin("add", "remove")
-    pattern = F.lower(F.regexp_replace(F.rtrim("pattern", F.lit("/")), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//", ""))
-    pattern = F.when(F.col("kind") == "prefix", F.concat(F.regexp_replace(pattern, r"^([^/]*).*$", "$1"),
-                     F.regexp_extract(F.rtrim("pattern", F.lit("/")), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?[^/]*(/.*)?$", 1),
-                     F.lit("/"))).otherwise(pattern)
+    # Read like a URL, so that user, port, closing dot and case of a pattern's host count for nothing.
+    link = F.concat(F.lit("//"), F.regexp_replace(F.trim("pattern"), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//", ""))
+    host = host_of(link)
+    pattern = F.when(host == "", None).when(F.col("kind") == "prefix", F.concat(host, path_of(link))).otherwise(host)
     events = entries.filter(known).select("list", "kind", pattern.alias("pattern"), "verdict", "action", "at").dropna().distinct()
     order = Window.partitionBy("list", "kind", "pattern", "verdict").orderBy("at", F.col("action").desc())
     events = events.withColumn("until", F.lead("at").over(order))
@@ -65,7 +66,7 @@ def filter_urls(
     """
     added = ("verdict", "list", "kind", "pattern", "since")
     captures = captures.drop(*added)
-    link, when = fresh("url"), fresh("at")
+    link, when, decided = fresh("url"), fresh("at"), fresh("won")
     seconds = slice_days * 86400
     slot = lambda t: F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
     unique = captures.select(F.col(f"`{url}`").alias(link), F.col(f"`{fetched}`").cast("timestamp").alias(when)).distinct()
@@ -101,12 +102,12 @@ def filter_urls(
     per_list = met.groupBy(link, when, "list").agg(F.max(F.struct(rank.alias("rank"), "verdict", "kind", "pattern", "since")).alias("best"))
     best = per_list.groupBy(link, when).agg(
         F.max_by(F.struct("best", "list"), F.struct(F.col("best")["rank"], _reversed(F.col("list")))).alias("won"))
-    best = best.select(F.col(link).alias(link + "k"), F.col(when).alias(when + "k"), "won")
+    best = best.select(F.col(link).alias(link + "k"), F.col(when).alias(when + "k"), F.col("won").alias(decided))
     same = (F.col(f"`{url}`") == F.col(link + "k")) & (F.col(f"`{fetched}`").cast("timestamp") == F.col(when + "k"))
-    won = F.col("won")["best"]
+    won = F.col(decided)["best"]
     return captures.join(best, same, "left").select(
         *[F.col(f"`{c}`") for c in captures.columns],
-        F.coalesce(won["verdict"], F.lit("none")).alias("verdict"), F.col("won")["list"].alias("list"),
+        F.coalesce(won["verdict"], F.lit("none")).alias("verdict"), F.col(decided)["list"].alias("list"),
         won["kind"].alias("kind"), won["pattern"].alias("pattern"), won["since"].alias("since"))
 
 

@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.llm import manifest, secretscan, spelling
+from strataflow.llm import chat, dom, manifest, ngramjoin, secretscan, spelling, urlfilter
 
 DOCS = "doc_id long, source string, lang string, n_chars long, text string, spans int, root int, row int, n int, word int, found int"
 
@@ -250,3 +252,56 @@ def test_a_chain_of_forms_has_one_root(spark):
     n = {w: 3 * 2**i for i, w in enumerate(chain)}
     got = grouping(spelling.variants(spark.createDataFrame([*n.items()], "word string, n long")))
     assert got == grouped(n) and {v[-1] for v in got.values()} == {"bbbbb"}
+
+
+# --- exact ids, pages of any markup, names and patterns of the older operators
+
+
+def test_large_ids_beside_a_null(spark):
+    ids = [2**53 + 1, 2**53 + 3, None, 2**63 - 1]
+    df = spark.createDataFrame([(i, t, "user", f"{i}/{t}") for i in ids for t in range(2)], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: chat.read_turns(r.formatted) for r in chat.format_conversations(df.repartition(1)).collect()}
+    assert got == {i: [("user", f"{i}/0"), ("user", f"{i}/1")] for i in ids}
+    text = chat.format_conversations(df.withColumn("conv_id", F.concat(F.lit("c"), "conv_id")))
+    assert {r.conv_id for r in text.collect()} == {None, *[f"c{i}" for i in ids if i]}
+
+
+@pytest.mark.parametrize("unit", [
+    "<a ", "<ul><tr>", '<a ">"', "<!", "<div>", "<table><tr><td>", "<svg><foreignobject><div>", "<p><li>", "<a '\">", "<" + "x" * 30, "</x",
+    "<div></p>"])
+def test_a_megabyte_of_any_markup(unit):
+    begun = time.process_time()
+    dom.read_page(unit * (1_000_000 // len(unit)))
+    assert time.process_time() - begun < 10
+
+
+def test_tags_whose_quotes_do_not_pair():
+    assert all_text("<p>one<b class=\"x>two</b><p>three") == ["onetwo", "three"]
+    assert all_text("<p title='a>b'>one<i t=\">two</i><p t=\"a>b\">three <!-- no --> more <!-- open <p>no") == ['oneb">three more']
+    assert all_text("a <b") == ["a <b"] and all_text("<p>a<!-->b") == ["a"]
+
+
+def all_text(html):
+    page = dom.read_page(html)
+    return dom.text_of(page, np.ones(len(page.parent), bool)).split("\n\n")
+
+
+def test_patterns_are_read_like_urls(spark):
+    at = F.lit("2024-01-05").cast("timestamp")
+    for kind, pattern in [("domain", "A.org."), ("host", "http://u:p@a.org:80/"), ("host", " a.org.:443 "), ("prefix", "//a.org./x/")]:
+        entries = spark.createDataFrame([("l", kind, pattern, "block", "add"), ("l", kind, "///", "block", "add")],
+                                        "list string, kind string, pattern string, verdict string, action string")
+        entries = entries.withColumn("at", F.lit("2024-01-01").cast("timestamp"))
+        caps = spark.createDataFrame([(1, "http://a.org/x/y", 7, 8, 9, 5), (2, "http://b.org/", 7, 8, 9, 5)],
+                                     "i int, url string, won int, slot int, key int, host int").withColumn("fetched_at", at)
+        got = {r.i: (r.verdict, r.won) for r in urlfilter.filter_urls(caps, entries).collect()}
+        assert got == {1: ("block", 7), 2: ("none", 7)}, pattern
+
+
+def test_clashing_names_of_near_duplicates(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 1, 1, 1, 1, 1, 1, 1), (2, text, 1, 1, 1, 1, 1, 1, 1), (2, text, 1, 1, 1, 1, 1, 1, 1), (3, "other words", 1, 1, 1, 1, 1, 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id2 int, mark2 int, id3 int, mark3 int, mark int, root int, n int")
+    kept = ngramjoin.keep_one(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert sorted(r.doc_id for r in ngramjoin.keep_one(df.filter("doc_id > 1")).collect()) == [2, 3]
