@@ -8,6 +8,7 @@ whole; tests hold each stage against a brute-force version.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +42,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with their shard and their slot in it.
 
-    Slots are dealt to the rows of the files by number; the texts are joined once.
+    Slots are dealt to the rows of the files by number; the texts are joined once. Documents that are no
+    scan of files are written first. Columns named shard or slot are replaced; repeated rows and null
+    ids are rows like others; no rows give none.
     """
     columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = written(docs.select(*columns), "shard-input")
     file, row, digest = fresh("file"), fresh("row"), fresh("digest")
     keyed = docs.select(*columns, F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
     narrow = written(keyed.select(file, row, "doc_id", "source", F.xxhash64("text").alias(digest)), "shard-rows")
