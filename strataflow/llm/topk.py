@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -9,10 +11,11 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.common import ship, written
 
-#: Levels of quantised impact, from the strongest: a component's level is the first bound its size reaches.
-LEVELS = (16, 8, 4, 2, 1)
+#: Levels of quantised impact: a component's level is its size over the block's largest, in equal steps.
+LEVELS = 16
 BLOCK = 8192
 QUERY_BLOCK = 512
+LANES = 4
 K = 20
 SCALE = 64
 
@@ -30,81 +33,124 @@ def quantised(vectors: DataFrame, vec: str = "embedding", id_col: str = "vec_id"
         F.transform(x, lambda v: F.floor(F.lit(scale) * v.cast("double")).cast("long")).alias("parts"))
 
 
-def _postings(rows: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The vectors split into posting segments by level, and the norm of what is left after each.
-
-    Segment l holds the components of level l and zero elsewhere; the segments of all levels add up
-    to the vectors.
-    """
-    size, parts, rest = np.abs(rows), [], []
-    left = rows.copy()
-    for bound in LEVELS:
-        hit = (size >= bound) & (left != 0)
-        parts.append(np.where(hit, rows, 0.0))
-        left = np.where(hit, 0.0, left)
-        rest.append(np.sqrt((left * left).sum(axis=1)))
-    return parts, np.stack(rest)
-
-
-def search_block(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
-    """The k best rows of a block for every query: lists of (query index, vec_id, score).
-
-    Segments are processed from the strongest impact down, for all queries still open. What the
-    segments not yet processed can add to a score is at most the product of the norms left
-    (Cauchy-Schwarz). A query is closed as soon as the rows whose score could still reach the k-th
-    best lower bound are few; those, ties included, are scored exactly.
+@dataclass
+class Index:
+    """A block of vectors as postings: (row, impact) by dimension, in segments from the strongest impact down."""
+
+    ids: np.ndarray
+    parts: np.ndarray  # the vectors themselves, to rescore possible members
+    rows: np.ndarray  # of all postings, segment by segment
+    impacts: np.ndarray
+    level: np.ndarray  # per segment: its level, its dimension, its first posting
+    dim: np.ndarray
+    start: np.ndarray
+    rest: np.ndarray  # per level and row: the norm of what stronger levels and this one leave
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in two bytes where they fit."""
+    return x.astype(np.int16) if np.abs(x).max(initial=0) < 2**15 else x
+
+
+def build_index(ids: np.ndarray, parts: np.ndarray) -> Index:
+    """Postings of all components that are not zero. A segment is the posting list of one dimension at one level."""
+    size = np.abs(parts)
+    largest = max(int(size.max(initial=0)), 1)
+    row, dim = np.nonzero(parts)
+    value = parts[row, dim]
+    level = LEVELS - 1 - np.minimum((np.abs(value).astype(float) * LEVELS / (largest + 1)).astype(np.int64), LEVELS - 1)
+    order = np.lexsort((row, dim, level))
+    row, dim, value, level = row[order], dim[order], value[order], level[order]
+    new = np.flatnonzero(np.concatenate(([True], (level[1:] != level[:-1]) | (dim[1:] != dim[:-1])))) if len(row) else np.zeros(0, np.int64)
+    rest = np.zeros((LEVELS, len(ids)))
+    for k in range(LEVELS - 1, 0, -1):  # from the weakest up, so that small remainders stay exact
+        at = level == k
+        rest[k - 1] = rest[k] + np.bincount(row[at], value[at].astype(float) ** 2, len(ids))
+    return Index(ids, _narrow(parts), row.astype(np.int32), _narrow(value), level[new].astype(np.int8), dim[new].astype(np.int32),
+                 np.append(new, len(row)).astype(np.int64), np.sqrt(rest).astype(np.float32) * np.float32(1 + 1e-5))
+
+
+def search_block(index: Index, queries: np.ndarray, own: np.ndarray, k: int):
+    """The k best rows of a block for every query, as (query index, vec_id, score), and the postings added.
+
+    Score at a time: segments are added to the scores from the strongest impact down, for all queries
+    still open; a posting below the point where a query is closed is not touched for it. What is left can
+    add to a row's score at most the product of the norms left (Cauchy-Schwarz). A row is a possible
+    member while its score plus that reaches the k-th best of the scores less that. A query is closed when
+    scoring its possible members exactly costs less than the postings left, so it stops on proof only:
+    all rows that could be among the k best, ties included, are scored on their whole vectors.
     """
-    largest = float(max(np.abs(queries).max(initial=0), 1)) * float(max(np.abs(rows).max(initial=0), 1)) * max(rows.shape[1], 1)
+    n, width = index.parts.shape
+    largest = float(max(np.abs(queries).max(initial=0), 1)) * float(max(np.abs(index.parts).max(initial=0), 1)) * max(width, 1)
     kind = np.float32 if largest < 2**23 else np.float64
-    exact = np.int64 if largest >= 2**52 else None  # beyond a double's integers: bounds round, scores don't
-    q, r = queries.astype(kind), rows.astype(kind)
-    parts, rest = _postings(r)
-    slack = 1.0 + 1e-3
-    few = max(4 * k, 64)
-    seen = np.zeros((len(q), len(r)), dtype=kind)
-    left_q = np.sqrt((q * q).sum(axis=1))
-    open_ = np.arange(len(q))
-    out = []
-    for level, part in enumerate(parts):
-        seen[open_] += q[open_] @ part.T
-        last = level == len(parts) - 1
-        gap = largest * 1e-9 if exact is not None else 0.0
-        bound = gap if last else left_q[open_, None] * rest[level][None, :] * slack + gap
-        lower = seen[open_] - bound
-        same = own[open_, None] == ids[None, :]
-        lower[same] = -np.inf
-        n = lower.shape[1]
-        top = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), -np.inf)
-        possible = (seen[open_] + bound >= top[:, None]) & ~same
-        count = possible.sum(axis=1)
-        done = last | (count <= few)
+    exact = largest >= 2**52  # beyond a double's whole numbers: bounds allow for rounding, scores are whole
+    slack = largest * 1e-9 if exact else 0.0
+    weights, norms = np.ascontiguousarray(queries.T).astype(kind), np.sqrt((queries.astype(float) ** 2).sum(axis=1)) * (1 + 1e-3)
+    open_ = np.arange(len(queries))
+    same = index.ids[:, None] == own[None, :]
+    seen = np.zeros((n, len(queries)), dtype=kind)
+    out, touched, added, total = [], 0, 0, int(index.start[-1])
+    first = 0
+    for level in range(LEVELS):
+        last = int(np.searchsorted(index.level, level, side="right"))
+        for s in range(first, last):
+            a, b = index.start[s], index.start[s + 1]
+            seen[index.rows[a:b]] += index.impacts[a:b, None].astype(kind) * weights[index.dim[s]][None, :]
+        here = int(index.start[last] - index.start[first])
+        first, added, touched = last, added + here, touched + here * len(open_)
+        left = total - int(index.start[last])
+        if left and (level == LEVELS - 1 or added * 8 < total):
+            continue  # too little is new for another look
+        added = 0
+        bound = index.rest[level][:, None] * norms[open_][None, :].astype(kind) * (1 if left else 0) + kind(slack)
+        lower = np.where(same, -np.inf, seen - bound)
+        top = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(open_), -np.inf)
+        possible = (seen + bound >= top[None, :]) & ~same
+        done = (possible.sum(axis=0) * width <= left) | (left == 0)
         for i in np.flatnonzero(done):
-            member = np.flatnonzero(possible[i])
-            if exact is not None:
-                score = rows[member].astype(object) @ queries[open_[i]].astype(object)
-                score = np.array([int(s) for s in score], dtype=np.int64)
+            member = np.flatnonzero(possible[:, i])
+            found, query = index.parts[member], queries[open_[i]]
+            if exact:
+                score = np.array([int(x) for x in found.astype(object) @ query.astype(object)], dtype=np.int64)
             else:
-                score = np.rint(r[member].astype(np.float64) @ q[open_[i]].astype(np.float64)).astype(np.int64)
-            order = np.lexsort((ids[member], -score))[:k]
-            out += [(int(open_[i]), int(ids[member][o]), int(score[o])) for o in order]
-        open_ = open_[~done]
-        if not len(open_):
+                score = np.rint(found.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
+            best = np.lexsort((index.ids[member], -score))[:k]
+            out += [(int(open_[i]), int(index.ids[member][o]), int(score[o])) for o in best]
+        if done.all():
             break
-    return out
+        if done.any():
+            stay = ~done
+            open_, seen, weights, same = open_[stay], seen[:, stay], np.ascontiguousarray(weights[:, stay]), same[:, stay]
+    return out, touched
+
+
+_FIELDS = ("ids", "parts", "rows", "impacts", "level", "dim", "start", "rest")
 
 
-def _packed(rows: DataFrame, block: Column, label: str) -> DataFrame:
-    """One row per block and width: ids and components as bytes, a bounded group each."""
+def _gathered(rows: DataFrame, block: Column, label: str, pack, schema: str) -> DataFrame:
+    """One row per block and width, made by ``pack`` of its ids and vectors: a bounded group each."""
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec_id", kind="stable")
         parts = np.array(frame["parts"].tolist(), dtype=np.int64)
-        return pd.DataFrame({
-            "block": [int(frame["block"].iloc[0])], "width": [parts.shape[1]], "ids": [frame["vec_id"].to_numpy(np.int64).tobytes()],
-            "parts": [parts.tobytes()]})
+        made = pack(frame["vec_id"].to_numpy(np.int64), parts)
+        return pd.DataFrame([{"block": int(frame["block"].iloc[0]), "width": parts.shape[1], **made}])
 
     made = rows.withColumn("block", block).withColumn("width", F.size("parts"))
-    return written(made.groupBy("block", "width").applyInPandas(pack, "block long, width int, ids binary, parts binary"), label)
+    return written(made.groupBy("block", "width").applyInPandas(one, "block long, width int, " + schema), label)
+
+
+def _stored(ids: np.ndarray, parts: np.ndarray) -> dict:
+    index = build_index(ids, parts)
+    arrays = {f: getattr(index, f) for f in _FIELDS}
+    return {**{f: a.tobytes() for f, a in arrays.items()}, "kinds": ",".join(a.dtype.str for a in arrays.values())}
+
+
+def _loaded(row) -> Index:
+    kinds = dict(zip(_FIELDS, row.kinds.split(","), strict=True))
+    held = {f: np.frombuffer(getattr(row, f), kinds[f]) for f in _FIELDS}
+    n = len(held["ids"])
+    return Index(**{**held, "parts": held["parts"].reshape(n, -1), "rest": held["rest"].reshape(LEVELS, n)})
 
 
 def top_k(
@@ -113,8 +159,8 @@ def top_k(
 ) -> DataFrame:
     """For every row where ``queries`` holds the ``k`` best other rows: query_id, rank, vec_id, score.
 
-    Rows are spread over blocks of about ``block`` vectors by a hash of their id; each block is one
-    piece of the index. Every block of queries meets every block of the index once, and returns at
+    Rows are spread over blocks of about ``block`` vectors by a hash of their id; the postings of each block
+    are built and stored once, as one piece of the index (``build_index``). Every block of queries meets every block of the index once, and returns at
     most k rows per query; the best k of those follow by one window. All rows are searched, and the
     scores are exact integers.
 
@@ -122,7 +168,8 @@ def top_k(
     neither do null ids; vectors of another width than the query's are not compared; a query with
     fewer than k others gets all of them; ties go to the smaller vec_id; rows that repeat a vec_id
     are one candidate each, but never for a query of that same vec_id; query rows that repeat an id
-    share one list; an empty table gives no rows; a score beyond a long is an error.
+    share one list; an empty table gives no rows; a score beyond a long is an error; other columns are
+    ignored, whatever their names.
     """
     ship(vectors.sparkSession)
     every = quantised(vectors, vec, id_col, scale)
@@ -130,24 +177,28 @@ def top_k(
     total, questions = vectors.count(), vectors.filter(queries).count()
     blocks, query_blocks = max(1, -(-total // block)), max(1, -(-questions // query_block))
     spread = lambda n: F.pmod(F.xxhash64("vec_id", "parts"), F.lit(n))
-    index = _packed(every, spread(blocks), "topk-index")
-    ask = _packed(asked.distinct(), spread(query_blocks), "topk-queries").withColumnsRenamed(
-        {"block": "q", "ids": "q_ids", "parts": "q_parts"})
+    index = _gathered(every, spread(blocks), "topk-index", _stored, ", ".join(f"{f} binary" for f in _FIELDS) + ", kinds string")
+    ask = _gathered(asked.distinct(), spread(query_blocks), "topk-queries",
+                    lambda ids, parts: {"q_ids": ids.tobytes(), "q_parts": parts.tobytes()}, "q_ids binary, q_parts binary")
+    # A block of the index serves its queries in a few lanes, each a task of its own.
+    lanes = min(query_blocks, LANES)
+    ask = ask.withColumn("lane", F.col("block") % lanes).drop("block")
     ask = ask.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    pairs = ask.repartition(min(blocks * query_blocks, 100_000), "block", "q").join(index, ["block", "width"])
+    index = index.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
+    keys = ["block", "lane", "width"]
+    pairs = ask.repartition(min(blocks * lanes, 100_000), *keys).join(index, keys)
 
     def search(batches):
         for batch in batches:
             for r in batch.itertuples():
-                ids, own = np.frombuffer(r.ids, np.int64), np.frombuffer(r.q_ids, np.int64)
-                rows = np.frombuffer(r.parts, np.int64).reshape(len(ids), -1)
+                own = np.frombuffer(r.q_ids, np.int64)
                 wanted = np.frombuffer(r.q_parts, np.int64).reshape(len(own), -1)
-                found = search_block(wanted, own, rows, ids, k)
+                found, _ = search_block(_loaded(r), wanted, own, k)
                 yield pd.DataFrame({
-                    "query_id": [int(own[f[0]]) for f in found], "part": [f[0] for f in found],
-                    "vec_id": [f[1] for f in found], "score": [f[2] for f in found]}).astype(np.int64)
+                    "query_id": [int(own[f[0]]) for f in found], "vec_id": [f[1] for f in found],
+                    "score": [f[2] for f in found]}).astype(np.int64)
 
-    found = pairs.mapInPandas(search, "query_id long, part long, vec_id long, score long").drop("part")
+    found = pairs.mapInPandas(search, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.llm import chat, dom, manifest, ngramjoin, secretscan, spelling, urlfilter
+from strataflow.llm import chat, dom, manifest, ngramjoin, secretscan, spelling, topk, urlfilter
 
 DOCS = "doc_id long, source string, lang string, n_chars long, text string, spans int, root int, row int, n int, word int, found int"
 
@@ -305,3 +305,34 @@ def test_clashing_names_of_near_duplicates(spark):
     kept = ngramjoin.keep_one(df)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
     assert sorted(r.doc_id for r in ngramjoin.keep_one(df.filter("doc_id > 1")).collect()) == [2, 3]
+
+
+# --- postings of the top-k search
+
+
+@pytest.mark.parametrize("skew", [0, 2, 4])
+def test_postings_below_the_proof_are_not_touched(skew):
+    rng = np.random.default_rng(skew)
+    rows = rng.normal(size=(4000, 64)) * np.exp(-skew * np.abs(rng.normal(size=(4000, 64))))
+    parts = np.floor(64 * rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.int64)
+    ids, asked = np.arange(4000) * 3, parts[::100]
+    index = topk.build_index(ids, parts)
+    assert index.start[-1] == np.count_nonzero(parts) and len(index.rows) == len(index.impacts) == index.start[-1]
+    strongest = np.abs(index.impacts.astype(int))
+    assert all(strongest[index.start[s]:index.start[s + 1]].min() >= strongest[index.start[t]:index.start[t + 1]].max()
+               for s in range(len(index.level)) for t in (np.searchsorted(index.level, index.level[s], side="right"),) if t < len(index.level))
+    found, touched = topk.search_block(index, asked, ids[::100], 20)
+    scores = asked @ parts.T
+    for q in range(len(asked)):
+        order = sorted((-s, i) for s, i in zip(scores[q].tolist(), ids.tolist(), strict=True) if i != ids[100 * q])[:20]
+        assert [(i, s) for j, i, s in found if j == q] == [(i, -s) for s, i in order]
+    whole = int(index.start[-1]) * len(asked)
+    assert touched < whole if skew == 0 else touched < whole * 0.9
+    print(skew, touched / whole)
+
+
+def test_vectors_beside_clashing_columns(spark):
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0, 0.0], 1, 2, 3, 4, 5) for i in range(50)],
+                               "vec_id long, embedding array<double>, block int, width int, lane int, parts int, score int")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=3, block=9, query_block=2)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"] and got.count() == 9
