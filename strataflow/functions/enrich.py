@@ -101,6 +101,17 @@ def parse_failed(columns: Columns) -> Column:
     return reduce(lambda a, b: a & b, blank, F.col("_raw_value").isNotNull())
 
 
+def failed_fields(columns: Columns) -> Column:
+    """Names of the declared fields of parsed rows whose text is there but not of the declared type.
+
+    The payload is read a second time with all fields as text. A field that is absent or null in the
+    text is no failure; text that does not parse at all has no fields (``parse_failed``).
+    """
+    text = F.from_json("_raw_value", T.StructType([T.StructField(name, T.StringType()) for name, _ in columns]))
+    lost = [F.when(text[name].isNotNull() & F.col(f"`{name}`").isNull(), F.lit(name)) for name, _ in columns]
+    return F.array_compact(F.array(*lost))
+
+
 def parse_event_time(df: DataFrame, column: str) -> DataFrame:
     """Make ``column`` usable as event time: parse ISO text, turn zone-less times into instants.
 

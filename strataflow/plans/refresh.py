@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.enrich import (
+    failed_fields,
     parse_failed,
     parse_json_value,
     select_metadata,
@@ -149,11 +150,13 @@ def bronze_schema(spec: BronzeSpec) -> T.StructType | None:
 
 
 def malformed_counts(spec: BronzeSpec, columns_: Sequence[str]) -> dict[str, Column]:
-    """How many raw rows have damaged text: records of landing files, or payloads of a topic."""
+    """How many raw rows have damaged text: records of landing files, or payloads of a topic (``malformed``:
+    no field was found in them; ``misfit``: a field's text is not of its declared type)."""
     if MALFORMED in columns_:
         return {"malformed": F.count(MALFORMED)}
     if spec.ingest == "streaming" and spec.columns:
-        return {"malformed": F.count_if(parse_failed(spec.columns))}
+        misfit = F.size(failed_fields(spec.columns)) > 0
+        return {"malformed": F.count_if(parse_failed(spec.columns) & ~misfit), "misfit": F.count_if(misfit)}
     return {}
 
 

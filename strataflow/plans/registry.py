@@ -353,6 +353,27 @@ def kafka_parse_failures(spark, sf_dir):
     return failed.groupBy("_kafka_partition").agg(F.count(F.lit(1)).alias("failed"))
 
 
+@query("""
+SELECT CAST(event_id % 4 AS INTEGER) AS _kafka_partition, count(*) FILTER (event_id % 50 = 0) AS unread,
+       count(*) FILTER (event_id % 50 = 7) AS bad_user, count(*) FILTER (event_id % 50 = 9) AS bad_both
+FROM events GROUP BY 1
+""")
+def kafka_field_failures(spark, sf_dir):
+    """Records with text that gives no field, and records where a field's text is not of its type."""
+    cols = columns("id long, user long, note string")
+    records = derive(spark, sf_dir, fx.KAFKA_ROWS)
+    number = F.col("offset")
+    value = F.when(number % 50 == 0, F.lit("no json")).when(number % 50 == 7, F.concat(F.lit('{"id":'), number, F.lit(',"user":"x","note":null}')))
+    value = value.when(number % 50 == 9, F.lit('{"id":true,"user":1.5,"note":7}'))
+    value = value.otherwise(F.to_json(F.struct(number.alias("id"), F.lit(1).alias("user"), F.lit("a").alias("note"))))
+    parsed = enrich.parse_json_value(enrich.with_kafka_metadata(records.withColumn("value", value.cast("binary"))), cols)
+    found = parsed.withColumn("_failed", enrich.failed_fields(cols))
+    names = F.concat_ws(",", "_failed")
+    return found.groupBy("_kafka_partition").agg(
+        F.count_if(enrich.parse_failed(cols) & (names == "")).alias("unread"), F.count_if(names == "user").alias("bad_user"),
+        F.count_if(names == "id,user").alias("bad_both"))
+
+
 @query("""
 SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL
                       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_ts

@@ -62,13 +62,14 @@ def test_sound_files_count_nothing(spark, tmp_path):
 
 
 def test_damaged_events_are_counted(spark, tmp_path):
-    records = [("t", 0, i, b"k", text) for i, text in enumerate([b'{"k":1,"v":2}', b"oops", None])]
+    texts = [b'{"k":1,"v":2}', b"oops", None, b'{"k":"x","v":2}', b'{"v":"y"}', b'{"k":3,"v":null}']
+    records = [("t", 0, i, b"k", text) for i, text in enumerate(texts)]
     df = spark.createDataFrame(records, "topic string, partition int, offset long, key binary, value binary")
     df = df.withColumn("timestamp", F.current_timestamp())
     df.write.parquet(f"{tmp_path}/topic")
     spec, lake = BronzeSpec("t", "json", "streaming", KV), refresh.Layout(f"{tmp_path}/lake")
     run = refresh.ingest(spark, spec, lake, spark.readStream.schema(df.schema).parquet(f"{tmp_path}/topic"))
-    assert run.counts == {"malformed": 1}
+    assert run.counts == {"malformed": 1, "misfit": 2}
 
 
 # --- counts of real runs
