@@ -84,15 +84,15 @@ def select_metadata(ingest: str, fmt: str) -> Callable[..., DataFrame]:
     return with_image_metadata if fmt == "binaryFile" else with_file_metadata
 
 
-def parse_json_value(df: DataFrame, columns: Columns) -> DataFrame:
-    """Expand ``_raw_value`` into the declared fields, keeping the envelope and the raw text.
+def parse_json_value(df: DataFrame, columns: Columns, *kept: str) -> DataFrame:
+    """Expand ``_raw_value`` into the declared fields, keeping the envelope, the raw text and columns ``kept``.
 
     Text that does not parse gives null fields. Nothing declared leaves ``df`` unchanged.
     """
     schema = build_schema(columns)
     if schema is None:
         return df
-    return df.withColumn("_event", F.from_json("_raw_value", schema)).select(*ENVELOPE, "_event.*")
+    return df.withColumn("_event", F.from_json("_raw_value", schema)).select(*ENVELOPE, *kept, "_event.*")
 
 
 def parse_failed(columns: Columns) -> Column:

@@ -1,4 +1,10 @@
-"""The control log: one row per run event, and the processed-commit ledger read from it."""
+"""The control log: one row per run event, and the processed-commit ledger read from it.
+
+Events of a pipeline lie in numbered epochs, ``<pipeline>/e0``, ``e1`` and so on, each event in a folder of its
+own that nothing moves or deletes. When an epoch is full, the ledger as of its end is written to the next
+one as a single small file, and the next events go there. So a position is read from one fold and the
+events of two epochs, however long the history; reports read all events.
+"""
 
 from __future__ import annotations
 
@@ -23,6 +29,13 @@ UNCONVERTED = "UNCONVERTED"
 COUNTED = "COUNTED"
 # The last raw commit that a promotion of a stream has read to its end, as its note.
 DRAINED = "DRAINED"
+# The generation of a table that readers are to follow, as its note.
+CURRENT = "CURRENT"
+POINTERS = "generations"
+
+#: Events of an epoch; the ledger is folded by the run that finds as many.
+FOLD_AFTER = 64
+FOLD = "_fold"  # hidden from readers of all events
 
 
 def new_run_id() -> str:
@@ -46,7 +59,7 @@ def log_run(
     best-effort, and problems become warnings.
 
     Each event has a folder of its own, so concurrent runs never share a commit folder; a pipeline's
-    events can be read without listing the others'.
+    events can be read without listing the others'. The SUCCESS event that fills an epoch folds the ledger.
     """
     values = {
         "pipeline_name": F.lit(pipeline),
@@ -60,11 +73,98 @@ def log_run(
     }
     try:
         event = spark.range(0, 1, 1, 1).select(*[v.alias(name) for name, v in values.items()])
-        event.write.mode("overwrite").parquet(f"{path}/{pipeline}/{run_id}-{status}")
+        epoch = _epoch(spark, f"{path}/{pipeline}")
+        event.write.mode("overwrite").parquet(f"{path}/{pipeline}/e{epoch}/{run_id}-{status}")
     except Exception as error:  # noqa: BLE001
         if status == SUCCESS:
             raise
         log.warning("control log %s not written: %s", path, error)
+        return
+    if status == SUCCESS:
+        try:
+            if len(_names(spark, f"{path}/{pipeline}/e{epoch}")) >= FOLD_AFTER:
+                fold_ledger(spark, path, pipeline)
+        except Exception as error:  # noqa: BLE001
+            log.warning("ledger of %s not folded: %s", pipeline, error)  # the next run tries again
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [e.getPath().getName() for e in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _is_epoch(name: str) -> bool:
+    return name.startswith("e") and name[1:].isdigit()
+
+
+def _epoch(spark: SparkSession, folder: str, names: list[str] | None = None) -> int:
+    """The epoch that events go to: the newest whose fold was written to its end."""
+    names = _names(spark, folder) if names is None else names
+    for number in sorted((int(n[1:]) for n in names if _is_epoch(n)), reverse=True):
+        if number and "_SUCCESS" in _names(spark, f"{folder}/e{number}/{FOLD}"):
+            return number
+    return 0
+
+
+def read_ledger(spark: SparkSession, path: str, pipeline: str) -> DataFrame:
+    """Enough of a pipeline's events to tell its positions: the newest fold and the events of two epochs.
+
+    The epoch before the newest is read too: a run that chose its folder just before the fold may
+    have written there after it. Empty when nothing has been logged.
+    """
+    folder = f"{path}/{pipeline}"
+    names = _names(spark, folder)
+    epoch = _epoch(spark, folder, names)
+    parts = [f"{folder}/e{epoch}/{FOLD}"] if epoch else []
+    parts += [f"{folder}/e{n}" for n in (epoch - 1, epoch) if f"e{n}" in names]
+    if epoch == 0:  # a log begun before there were epochs
+        parts += [f"{folder}/{n}" for n in names if not _is_epoch(n)]
+    if not parts:
+        return spark.createDataFrame([], CONTROL_SCHEMA)
+    return spark.read.schema(CONTROL_SCHEMA).option("recursiveFileLookup", "true").parquet(*parts)
+
+
+def fold_ledger(spark: SparkSession, path: str, pipeline: str) -> None:
+    """Open the next epoch with the ledger so far: per status the event with the highest commit.
+
+    The fold's size does not grow with the history. Until its last file is in place readers and writers
+    stay with the epoch before, so a fold that breaks off changes nothing and can be repeated.
+    """
+    epoch = _epoch(spark, f"{path}/{pipeline}")
+    reached = F.struct(F.coalesce(F.col("notes").try_cast("bigint"), F.lit(-1)), F.col("ingest_ts"))
+    events = read_ledger(spark, path, pipeline).coalesce(1)
+    highest = events.groupBy("status").agg(F.max_by(F.struct("*"), reached).alias("event"))
+    highest.select("event.*").coalesce(1).write.mode("overwrite").parquet(f"{path}/{pipeline}/e{epoch + 1}/{FOLD}")
+
+
+def point_to(spark: SparkSession, path: str, table: str, generation: int) -> None:
+    """Make a generation of a table, ``<layer>.<name>``, the one that readers follow.
+
+    One small file per table and generation number holds a time; the newest is the pointer. An earlier
+    generation may be pointed to again.
+    """
+    event = spark.range(0, 1, 1, 1).select(
+        F.lit(table).alias("pipeline_name"), F.lit(table).alias("source_name"), F.lit(new_run_id()).alias("batch_id"),
+        F.current_timestamp().alias("ingest_ts"), F.lit(0).cast("bigint").alias("rows_read"),
+        F.lit(0).cast("bigint").alias("rows_written"), F.lit(CURRENT).alias("status"),
+        F.lit(str(generation)).alias("notes"))
+    event.write.mode("overwrite").parquet(f"{path}/{POINTERS}/{table}/g{generation}")
+
+
+def pointers(spark: SparkSession, path: str) -> dict[str, int]:
+    """The generation that readers follow, by table; tables that were never rebuilt are not in it."""
+    found = read_control(spark, f"{path}/{POINTERS}").filter(F.col("status") == CURRENT)
+    number = F.col("notes").try_cast("int")
+    newest = found.groupBy("pipeline_name").agg(F.max_by(number, F.struct("ingest_ts", number)).alias("generation"))
+    return {r["pipeline_name"]: r["generation"] for r in newest.collect()}  # one row per table
+
+
+def last_generation(spark: SparkSession, path: str, table: str) -> int:
+    """The highest generation of a table that was ever pointed to; 0 if none was."""
+    names = _names(spark, f"{path}/{POINTERS}/{table}")
+    return max((int(n[1:]) for n in names if n[:1] == "g" and n[1:].isdigit()), default=0)
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:

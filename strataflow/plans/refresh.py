@@ -66,22 +66,33 @@ class Layout:
     root: str
     bronze_generation: int = 0
     silver_generation: int = 0
+    #: Generations of single tables, named ``<layer>.<name>``; tables not named are of generation 0.
+    #: None: the two numbers above hold for all tables.
+    rebuilt: tuple[tuple[str, int], ...] | None = None
+
+    @classmethod
+    def current(cls, spark: SparkSession, root: str) -> Layout:
+        """The layout whose every table is of the generation that was last published."""
+        layout = cls(root)
+        return replace(layout, rebuilt=tuple(sorted(ctl.pointers(spark, layout.control).items())))
 
     def __post_init__(self):
         if set(self.root) & set("{}[]*?\\"):
             raise ValueError(f"Spark would read {self.root!r} as a pattern: a root must not hold any of {{}}[]*?\\")
 
-    def _generation(self, layer: str) -> int:
+    def generation(self, layer: str, name: str) -> int:
+        if self.rebuilt is not None:
+            return dict(self.rebuilt).get(f"{layer}.{name}", 0)
         return self.bronze_generation if layer == "bronze" else self.silver_generation
 
     def table(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}/g{self._generation(layer)}"
+        return f"{self.root}/{layer}/{name}/g{self.generation(layer, name)}"
 
     def checkpoint(self, layer: str, name: str) -> str:
-        return f"{self.root}/_checkpoints/{layer}/{name}/g{self._generation(layer)}"
+        return f"{self.root}/_checkpoints/{layer}/{name}/g{self.generation(layer, name)}"
 
     def pipeline(self, layer: str, name: str) -> str:
-        return f"{layer}.{name}.g{self._generation(layer)}"
+        return f"{layer}.{name}.g{self.generation(layer, name)}"
 
     @property
     def control(self) -> str:
@@ -128,7 +139,7 @@ def position(
 ) -> int | None:
     """The last commit a pipeline has completed, or None."""
     pipeline = layout.pipeline(layer, name)
-    control = ctl.read_control(spark, f"{layout.control}/{pipeline}")
+    control = ctl.read_ledger(spark, layout.control, pipeline)
     return ctl.ledger_position(control, pipeline, status)
 
 
@@ -533,6 +544,62 @@ def _state(spark: SparkSession, spec: SilverSpec, layout: Layout, version: int)
     return spark.createDataFrame([], schema) if rows is None else rows
 
 
+def _next_generation(spark: SparkSession, layout: Layout, layer: str, name: str) -> Layout:
+    """The layout in which a table has a generation that was never published; with numbers for whole layers, the
+    next one. A rebuild that broke off is thus taken up again."""
+    number = layout.generation(layer, name) + 1
+    if layout.rebuilt is None:
+        return replace(layout, **{f"{layer}_generation": number})
+    table = f"{layer}.{name}"
+    number = max(number, ctl.last_generation(spark, layout.control, table) + 1)
+    return replace(layout, rebuilt=tuple(sorted({**dict(layout.rebuilt), table: number}.items())))
+
+
+def publish(spark: SparkSession, layout: Layout) -> None:
+    """Let ``Layout.current`` name the generations of ``layout``, which must have single tables' numbers.
+
+    Also the way back: publish the layout that held before a rebuild.
+    """
+    if layout.rebuilt is None:
+        raise ValueError("numbers for whole layers are not published: start from Layout.current")
+    known = ctl.pointers(spark, layout.control)
+    wanted = {**dict.fromkeys(known, 0), **dict(layout.rebuilt)}
+    # Raw tables first: a refined table is never ahead of the raw table it was built from.
+    for table, number in sorted(wanted.items()):
+        if known.get(table, 0) != number:
+            ctl.point_to(spark, layout.control, table, number)
+
+
+def reparse_topic(spark: SparkSession, spec: BronzeSpec, layout: Layout) -> Layout:
+    """Rebuild a topic's raw table from its own stored payloads, under the columns that ``spec`` now declares.
+
+    The topic itself is not read, so records that have expired there are kept. One job reads the
+    envelope and ``_raw_value`` of all completed commits, parses anew and writes the next generation,
+    commit numbers and stamps unchanged: refined tables keep their positions. The stream's checkpoint
+    is copied, so ``ingest`` with the returned layout goes on where the old generation stopped. Stop
+    the stream while this runs. A payload that does not parse gives null fields and is counted as by
+    ``ingest``. Repeating a rebuild that broke off replaces its output.
+    """
+    if spec.ingest != "streaming":
+        raise ValueError(f"{spec.name} is fed by files: use full_refresh(reread_landing=True)")
+    upto = _reached(spark, layout, "bronze", spec.name)
+    if upto is None:
+        raise LookupError(f"no completed run of {layout.pipeline('bronze', spec.name)}")
+    fresh = _next_generation(spark, layout, "bronze", spec.name)
+    with _logged(spark, fresh, "bronze", spec.name) as run:
+        run.version = upto
+        held = read_table(spark, layout.table("bronze", spec.name), build_schema(TOPIC_STAMPS))
+        rows = parse_json_value(change_range(held, None, upto), spec.columns, BATCH)
+        seen, counts = Observation(), malformed_counts(spec, rows.columns)
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()])
+        sink.write_commits(rows, fresh.table("bronze", spec.name), spec.partition_cols, spec.clustered)
+        found = sink.observed(seen)
+        run.rows_read = run.rows_written = found.get("rows", 0)
+        run.add(**{n: found.get(n, 0) for n in counts})
+        sink.copy_checkpoint(spark, layout.checkpoint("bronze", spec.name), fresh.checkpoint("bronze", spec.name))
+    return fresh
+
+
 def full_refresh(
     spark: SparkSession,
     spec: SilverSpec,
@@ -545,15 +612,26 @@ def full_refresh(
     """Rebuild a refined table from the whole raw table and return the layout that names it.
 
     The rebuild has its own paths, checkpoint and ledger; the previous generation stays readable.
-    ``reread_landing`` rebuilds the raw table from its landing files first.
+    ``reread_landing`` rebuilds the raw table first: from its landing files, or for a topic from its
+    stored payloads (``reparse_topic``).
+
+    A layout from ``Layout.current`` is published when the rebuild is complete, so later calls of
+    ``Layout.current`` follow it. Not so after landing files were read again: their commits are
+    numbered anew, so rebuild the other refined tables of that raw table with the returned layout too,
+    then ``publish`` it.
     """
     if spec.table:
         raise ValueError("a catalog table has one generation: rebuild it under another table name")
-    fresh = replace(layout, silver_generation=layout.silver_generation + 1)
-    if reread_landing:
-        fresh = replace(fresh, bronze_generation=layout.bronze_generation + 1)
+    fresh = _next_generation(spark, layout, "silver", spec.name)
+    from_files = reread_landing and bronze.ingest != "streaming"
+    if from_files:
+        fresh = _next_generation(spark, fresh, "bronze", bronze.name)
         ingest(spark, bronze, fresh, now=now)
+    elif reread_landing:
+        fresh = reparse_topic(spark, bronze, fresh)
     promote(spark, spec, bronze, fresh, now=now, **options)
+    if fresh.rebuilt is not None and not from_files:
+        publish(spark, fresh)
     return fresh
 
 

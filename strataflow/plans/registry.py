@@ -702,6 +702,33 @@ def topic_to_bronze(spark, sf_dir):
                        "_raw_value", "k")
 
 
+@query("""
+SELECT 'events' AS _kafka_topic, event_id AS _kafka_offset, CAST(user_id AS VARCHAR) AS _kafka_key,
+       event_id % 3 AS commit_number, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       json_extract_string(props, '$.k') AS k_text
+FROM events
+""")
+def reparse_topic(spark, sf_dir):
+    """A raw table whose column was declared as text is rebuilt from its stored payloads, then followed on."""
+    early = BronzeSpec("events", "json", "streaming", columns("k string"), topic="events")
+    late = replace(early, columns=columns("k long"))
+    root = scratch_dir(spark, "lake")
+    records, path = derive(spark, sf_dir, fx.KAFKA_ROWS), scratch_dir(spark, "topic")
+
+    def arrive(number: int, spec: BronzeSpec) -> refresh.Layout:
+        records.filter(F.col("offset") % 3 == number).write.mode("append").parquet(path)
+        layout = refresh.Layout.current(spark, root)
+        refresh.ingest(spark, spec, layout, spark.readStream.schema(records.schema).parquet(path))
+        return layout
+
+    arrive(0, early)
+    refresh.publish(spark, refresh.reparse_topic(spark, late, arrive(1, early)))
+    layout = arrive(2, late)
+    rows = refresh.read_bronze(spark, late, layout)
+    return rows.select("_kafka_topic", "_kafka_offset", "_kafka_key", F.col(BATCH).alias("commit_number"), "k",
+                       F.get_json_object("_raw_value", "$.k").alias("k_text"))
+
+
 # Each partition's offsets are dense but for the records that are gone.
 TOPIC_ROWS = """
 SELECT CAST('events' AS STRING) AS topic, CAST(event_id % 4 AS INT) AS partition,

@@ -54,6 +54,30 @@ def append_batch(
            partition_cols, clustered)
 
 
+def write_commits(
+    df: DataFrame, path: str, partition_cols: Sequence[str] = (), clustered: bool = False
+) -> None:
+    """Write a whole table at once, each row to the commit in its ``_batch_id``; repeating replaces the table."""
+    _write(df, path, (BATCH, *partition_cols), clustered)
+
+
+def copy_checkpoint(spark: SparkSession, checkpoint: str, target: str) -> None:
+    """Start a stream without state from another one's progress; only its small log files are copied.
+
+    The marks of completed batches come last: a copy that broke off has not reached the batch its table
+    holds, so that ``append_stream`` refuses it until it is copied again.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files, copy = path(checkpoint).getFileSystem(conf), spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    if not files.exists(path(checkpoint)):
+        return
+    names = [e.getPath().getName() for e in files.listStatus(path(checkpoint))]
+    files.mkdirs(path(target))
+    for name in sorted(names, key=lambda n: n == "commits"):
+        copy(files, path(f"{checkpoint}/{name}"), files, path(f"{target}/{name}"), False, True, conf)
+
+
 def append_stream(
     stream: DataFrame,
     path: str,
