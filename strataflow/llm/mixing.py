@@ -1,17 +1,15 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Units: a *block* is one document taken once. A source's target, in words, fixes how many blocks it
+Units: a *block* is one whole document taken once. A source's target, in words, fixes how many blocks it
 gives; the tree then decides how many blocks of every source each output shard receives, and the
 blocks themselves are drawn from the source's seeded permutation, one disjoint run per shard.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,38 +82,74 @@ def split_quotas(quotas: list[int], shards: int, seed: int) -> np.ndarray:
     return out
 
 
+#: numpy draws from urns of fewer balls only.
+NUMPY_URN = 1_000_000_000
+ONE_BY_ONE = 64
+
+
 def _draw(rng, good: int, bad: int, taken: int) -> int:
-    """How many of ``taken`` draws without replacement are good."""
+    """How many of ``taken`` draws without replacement are good: the exact hypergeometric law at every size.
+
+    In an urn too large for numpy every ball is first taken or left by a coin of its own, which two
+    binomial draws tell by colour. Whatever number that takes, its good ones follow the hypergeometric
+    law for that number; the balls missing are drawn from the rest of the urn, those too many from the
+    balls taken. Their number is about the root of the urn's, so a few rounds end it.
+    """
     if taken == 0 or good == 0:
         return 0
     if bad == 0:
         return taken
-    if good + bad < 1_000_000_000:
+    if good + bad < NUMPY_URN:
         return int(rng.hypergeometric(good, bad, taken))
-    # Beyond numpy's range: the normal law with the same mean and variance, whose error is below one
-    # part in ten thousand here, kept inside the possible counts.
-    whole = good + bad
-    mean = taken * (good / whole)
-    spread = math.sqrt(mean * (bad / whole) * ((whole - taken) / (whole - 1)))
-    return min(max(round(rng.normal(mean, spread)), taken - bad, 0), good, taken)
+    if taken <= ONE_BY_ONE:
+        found = 0
+        for drawn in range(taken):
+            found += int(rng.integers(good + bad - drawn)) < good - found
+        return found
+    coin = taken / (good + bad)
+    some, others = int(rng.binomial(good, coin)), int(rng.binomial(bad, coin))
+    short = taken - some - others
+    if short >= 0:
+        return some + _draw(rng, good - some, bad - others, short)
+    return some - _draw(rng, some, others, -short)
+
+
+def _closing(free: Column, gap: Column) -> Column:
+    """Ranks of the free documents, sorted by falling size, that fill a gap: greedily, then one that oversteps it
+    by less than is left."""
+    start = F.struct(gap.alias("gap"), F.array().cast("array<bigint>").alias("took"))
+    filled = F.aggregate(free, start, lambda held, d: F.when(
+        d["size"] <= held["gap"],
+        F.struct((held["gap"] - d["size"]).alias("gap"), F.array_append(held["took"], -d["late"].cast("bigint")).alias("took"))
+    ).otherwise(held))
+
+    def ended(held: Column) -> Column:
+        last = F.element_at(F.filter(free, lambda d: ~F.array_contains(held["took"], -d["late"].cast("bigint"))), -1)
+        over = F.get(F.filter(F.array(last), lambda d: d["size"] < 2 * held["gap"]), 0)
+        return F.when(over.isNotNull(), F.array_append(held["took"], -over["late"].cast("bigint"))).otherwise(held["took"])
+
+    return F.get(F.transform(F.array(filled), ended), 0)
 
 
 def mix_sources(
     docs: DataFrame, shards: int = 8, text: str = "text", id_col: str = "doc_id", source: str = "source",
     weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_TIMES, seed: int = 5, words_col: str | None = None,
+    closing: int = 16,
 ) -> DataFrame:
     """One row per document: what the mix takes of it, and where the copies go.
 
     Adds ``mix_size`` (words), ``mix_source_size``, ``mix_target`` (its source's, in words),
     ``mix_taken`` (words taken, repeats counted, at most ``most`` times the size) and ``mix_blocks``,
     an array with one struct (part, place, words) per copy: its output shard, its place in that
-    shard's own shuffle, and how many leading words of the document the copy has. All copies are
-    whole but for one document per source, the one at which the target is reached.
+    shard's own shuffle, and its words. All copies are whole.
 
     Every source is taken whole as often as its target allows; the rest comes from the front of the
-    source's seeded permutation until the target is met to the word. The permuted copies of a source
-    are numbered, and the runs that the tree gave to the shards are cut from those numbers, so shards
-    hold disjoint blocks. Per source only one row of totals, and per source and shard one count, pass
+    source's seeded permutation, as far as whole documents fit. The gap left, smaller than the next
+    document, is closed with documents not yet taken, the longest that fits first, and at last with one
+    more if that ends nearer to the target; of every power of two of sizes the first ``closing`` free ones
+    stand by. So a source misses its target by half the next document at most, and by a few words
+    where documents are many. The permuted copies of a source are numbered, and the runs that the tree gave to the shards are cut from those numbers, so shards
+    hold disjoint blocks. Per source only a few rows of totals, and per source and shard one count, pass
     the driver; documents are numbered in ranges of the permutation, never by source in one task.
 
     ``words_col`` names a column that already holds the word counts; ``text`` then only has to tell
@@ -156,29 +190,45 @@ def mix_sources(
     # One row per source, as many as the driver just held: small enough to broadcast below the bound.
     near = F.broadcast if len(facts) <= MOST_BROADCAST else (lambda df: df)
     rows = rows.join(near(spark.createDataFrame(plan, fields)), own.eqNullSafe(F.col(name)))
-    extra = F.greatest(F.lit(0), F.least(F.col(size), F.col(name + "r") - F.col(before)))
-    rows = rows.withColumn("mix_taken", F.col(size) * F.col(name + "t") + extra).withColumn(spread + "x", extra)
-    # Copies in the permutation's order: the whole rounds first, then the front of it once more.
-    blocks = {r[0]: int(r[1]) for r in rows.groupBy(own).agg(
-        F.sum(F.when(F.col(size) > 0, F.col(name + "t") + (F.col(spread + "x") > 0).cast("long")).otherwise(0))
-    ).collect()}
-    dealt = split_quotas([blocks[f[0]] for f in facts], shards, seed)
+    end = F.col(before) + F.col(size)
+    fits, beyond = (F.col(size) > 0) & (end <= F.col(name + "r")), (F.col(size) > 0) & (end > F.col(name + "r"))
+    # How far whole documents go, and those that then close the gap.
+    front = {r[0]: (int(r[1]), int(r[2])) for r in rows.groupBy(own).agg(
+        F.count_if(fits), F.coalesce(F.max(F.when(fits, end)), F.lit(0))).collect()}
+    gaps = spark.createDataFrame(
+        [(p[0], p[4] - front[p[0]][1]) for p in plan if p[4] > front[p[0]][1]],
+        T.StructType([T.StructField(name + "3", kind), T.StructField(name + "g", T.LongType())]))
+    free = rows.filter(beyond).select(own.alias(name + "4"), F.col(size).alias("size"), F.col(rank).alias("rank"))
+    first = F.row_number().over(Window.partitionBy(name + "4", F.floor(F.log2("size"))).orderBy("rank"))
+    free = free.withColumn("k", first).filter(F.col("k") <= closing).groupBy(name + "4").agg(
+        F.sort_array(F.collect_list(F.struct("size", (-F.col("rank")).alias("late"))), asc=False).alias("free"))
+    closers = {r[0]: list(r[1]) for r in free.join(near(gaps), F.col(name + "4").eqNullSafe(F.col(name + "3"))).select(
+        name + "4", _closing(F.col("free"), F.col(name + "g"))).collect()}
+    blocks = [p[3] * f[3] + front[f[0]][0] + len(closers.get(f[0], ())) for f, p in zip(facts, plan, strict=True)]
+    dealt = split_quotas(blocks, shards, seed)
     ends = np.cumsum(dealt, axis=0)
     cuts = spark.createDataFrame(
-        [(f[0], f[3], [int(x) for x in ends[:, i]]) for i, f in enumerate(facts)],
+        [(f[0], f[3], front[f[0]][0], closers.get(f[0], []), [int(x) for x in ends[:, i]]) for i, f in enumerate(facts)],
         T.StructType([
             T.StructField(name + "2", kind), T.StructField(name + "n", T.LongType()),
+            T.StructField(name + "e", T.LongType()), T.StructField(name + "l", T.ArrayType(T.LongType())),
             T.StructField(name + "c", T.ArrayType(T.LongType())),
         ]),
     )
     rows = rows.join(near(cuts), own.eqNullSafe(F.col(name + "2")))
-    number = F.col(name + "t") + (F.col(spread + "x") > 0).cast("int")
+    turn = F.array_position(F.col(name + "l"), F.col(rank).cast("long"))
+    closes = (F.col(size) > 0) & (turn > 0)
+    number = F.col(name + "t") + (fits | closes).cast("int")
+    rows = rows.withColumn("mix_taken", F.col(size) * number)
+    # Copies in the permutation's order: the whole rounds first, then the front of it once more, then the closing ones.
+    copy = lambda i: i * F.col(name + "n") + F.when(
+        (i == F.col(name + "t")) & closes, F.col(name + "e") + turn - 1).otherwise(F.col(rank))
     copies = F.when((F.col(size) > 0) & (number > 0), F.transform(
         F.sequence(F.lit(0), number.cast("int") - 1),
         lambda i: F.struct(
-            F.size(F.filter(F.col(name + "c"), lambda e: e <= F.col(rank) + i * F.col(name + "n"))).alias("part"),
+            F.size(F.filter(F.col(name + "c"), lambda e: e <= copy(i))).alias("part"),
             F.xxhash64(F.lit(seed + 1), F.col(spread), i).alias("place"),
-            F.when(i < F.col(name + "t"), F.col(size)).otherwise(F.col(spread + "x")).alias("words"),
+            F.col(size).alias("words"),
         ),
     )).otherwise(F.array().cast("array<struct<part:int,place:bigint,words:bigint>>"))
     return rows.select(
@@ -190,21 +240,12 @@ def mix_sources(
 def mixed_rows(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: the columns of ``docs``, one row per copy, shuffled within its output shard.
 
-    A document that the mix takes twice appears twice; one that it does not take is absent; the one
-    document per source at the target's edge has its last copy cut after the words still wanted.
-    Texts without words carry none of a source's weight and are absent. ``n_chars``, where the table
-    has it, follows the text.
+    A document that the mix takes twice appears twice; one that it does not take is absent; all copies
+    are whole. Texts without words carry none of a source's weight and are absent.
     """
     block = fresh("block")
     mix = mix_sources(docs, text=text, **options)
     rows = mix.select("*", F.explode("mix_blocks").alias(block))
-    short = F.col(block)["words"] < F.col("mix_size")
-    leading = F.array_join(
-        F.slice(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1)),
-                F.lit(1), F.col(block)["words"].cast("int")), "")
-    now = {text: F.when(short, leading).otherwise(F.col(f"`{text}`"))}
-    if "n_chars" in docs.columns:
-        now["n_chars"] = F.when(short, F.length(leading).cast("long")).otherwise(F.col("n_chars"))
     rows = rows.repartition(F.col(block)["part"], F.shiftrightunsigned(F.col(block)["place"], 56))
     rows = rows.sortWithinPartitions(F.col(block)["part"], F.col(block)["place"])
-    return rows.select(*[now.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

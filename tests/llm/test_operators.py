@@ -1,6 +1,7 @@
 """Every corpus operator on small tables: brute-force versions, edge rows, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -80,19 +81,20 @@ def test_ranks_by_many_ranges(spark):
 # --- mixing
 
 
-def test_targets_are_met_to_the_word(docs):
+def test_targets_are_met_by_whole_documents(docs):
     got = mixing.mix_sources(docs).collect()
     taken, sizes = Counter(), Counter()
     for r in got:
         assert r.mix_size == len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
         assert r.mix_taken == sum(b.words for b in r.mix_blocks) <= 2 * r.mix_size
-        assert all(0 <= b.part < 8 for b in r.mix_blocks)
+        assert all(0 <= b.part < 8 and b.words == r.mix_size for b in r.mix_blocks)
         taken[r.source] += r.mix_taken
         sizes[r.source] += r.mix_size
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     wanted = dict(zip(order, mixing.targets([sizes[s] for s in order]), strict=True))
     assert {r.source: r.mix_target for r in got} == wanted
-    assert all(abs(taken[s] - wanted[s]) <= 1 for s in order)
+    for s in order:  # half the next document is the bound
+        assert abs(wanted[s] - taken[s]) <= max(r.mix_size for r in got if r.source == s) / 2 + 1
     blocks = sum(len(r.mix_blocks) for r in got)
     per = Counter(b.part for r in got for b in r.mix_blocks)
     assert max(per.values()) - min(per.values()) <= 1 and sum(per.values()) == blocks
@@ -125,6 +127,42 @@ def test_splitting_tree_adds_up():
     assert abs(mean - np.array(quotas) / 7).max() < 3
 
 
+def test_draws_of_a_large_urn_follow_the_exact_law(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(mixing, "NUMPY_URN", 0)
+    monkeypatch.setattr(mixing, "ONE_BY_ONE", 2)
+    for good, bad, taken in ((7, 5, 6), (3, 40, 20), (30, 4, 33), (1, 1, 1)):
+        got = Counter(mixing._draw(rng, good, bad, taken) for _ in range(20_000))
+        low, high = max(0, taken - bad), min(good, taken)
+        assert low <= min(got) and max(got) <= high
+        for k in range(low, high + 1):
+            want = math.comb(good, k) * math.comb(bad, taken - k) / math.comb(good + bad, taken)
+            assert abs(got[k] / 20_000 - want) < 0.015, (good, bad, taken, k)
+
+
+def test_quotas_beyond_numpys_urns_add_up():
+    quotas = [3 * 10**12, 10**9, 5, 0]
+    dealt = mixing.split_quotas(quotas, 5, 2)
+    assert dealt.sum(axis=0).tolist() == quotas and dealt.min() >= 0 and np.ptp(dealt.sum(axis=1)) <= 1
+    assert dealt.tolist() == mixing.split_quotas(quotas, 5, 2).tolist()
+
+
+@pytest.mark.parametrize("sizes", [[100], [1, 1], [7, 7, 7, 900], [3] * 50, [1000, 1, 1, 1, 1], list(range(1, 40))])
+def test_the_gap_is_closed_by_whole_documents(spark, sizes):
+    data = [(i, "w " * n, "a") for i, n in enumerate(sizes)] + [(1000 + i, "x " * 60, "b") for i in range(4)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = mixing.mix_sources(df, shards=3, share=0.7).collect()
+    taken = Counter()
+    for r in got:
+        assert r.mix_taken == r.mix_size * len(r.mix_blocks) and r.mix_taken <= 2 * r.mix_size
+        taken[r.source] += r.mix_taken
+    for r in got:  # a document left out would not have brought its source nearer
+        gap = r.mix_target - taken[r.source]
+        if r.mix_size and len(r.mix_blocks) == 0:
+            assert abs(gap - r.mix_size) >= abs(gap) - 1, (gap, r.mix_size)
+    assert np.ptp([sum(b.part == k for r in got for b in r.mix_blocks) for k in range(3)]) <= 1
+
+
 # --- decontamination
 
 
