@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import fresh, written
+from strataflow.operators.size import fits_broadcast
 
 #: The same words before lower-casing, for counting and cutting.
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RAW_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-MOST_WINDOWS = 2_000_000
+#: A table of windows, of their items or of anchors is broadcast within both bounds only.
+MOST_WINDOWS, MOST_BYTES = 2_000_000, 256 << 20
 
 
 def lowered(text: Column) -> Column:
@@ -54,42 +56,56 @@ END = "\u0000"
 
 def find_hits(
     docs: DataFrame, bench: DataFrame, text: str = "text", id_col: str = "doc_id", item: str = "item_id",
-    item_text: str = "text", length: int = WINDOW, most_windows: int = MOST_WINDOWS,
+    item_text: str = "text", length: int = WINDOW, most_windows: int = MOST_WINDOWS, most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """One row per different (id, text): id, ``mark`` (hash of the text), ``copies`` (rows that are alike),
     ``n_words``, ``spans`` (sorted starts and lengths, in words, of the windows found) and ``items``.
 
-    The windows are a hash set keyed by their anchor words. It is broadcast after its size was
-    checked (``most_windows`` rows); a larger benchmark is joined by a shuffle on the anchors
-    instead, with the same result; only the words that a window there could reach travel with a
-    position. Every position of a training text that holds an anchor opens the windows of that
-    anchor, and a hit counts only when all words agree. One more position
-    stands for the end of the text, so one pass over the texts also gives their word counts.
+    The windows are a hash set keyed by their anchor words. It is broadcast if both its rows and its
+    bytes were measured within ``most_windows`` and ``most_bytes``; a larger benchmark is joined by a
+    shuffle on the anchors instead, with the same result. Then only positions that hold an anchor are
+    shuffled (told by a broadcast of the distinct anchors, if these fit the same bounds), each with the
+    words that a window there could reach. The items of the windows, as many as an item has windows in
+    common with others, are measured on their own. Every position of a training text that holds an
+    anchor opens the windows of that anchor, and a hit counts only when all words agree. One more
+    position stands for the end of the text, so one pass over the texts also gives their word counts.
     """
+    bounds = {"max_rows": most_windows, "max_bytes": most_bytes}
     grams, members = windows(bench, item_text, item, length)
-    end = docs.sparkSession.range(1).select(
-        F.lit(END).alias("gram"), F.lit(0).alias("n"), F.lit(0).alias("offset"), F.lit(END).alias("anchor"))
-    grams, members = written(grams.unionByName(end), "grams"), written(members, "members")
-    small = grams.count() <= most_windows
+    grams, members = written(grams, "grams"), written(members, "members")
+    small = fits_broadcast(grams, **bounds)
     words, mark = fresh("words"), fresh("mark")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias(mark),
                        F.array_append(words_of(F.col(f"`{text}`")), F.lit(END)).alias(words))
     each = rows.select("id", mark, words, F.posexplode(words).alias("pos", "word"))
-    base = F.lit(0)  # the position of the first word carried along
-    if not small:
-        base = F.greatest(F.col("pos") - F.lit(length - 1), F.lit(0))
-        each = each.withColumn(words, F.slice(F.col(words), base + 1, F.lit(2 * length - 1)))
     first, over = F.col("pos") - F.col("offset"), F.col("n") == 0
-    same = (F.col("word") == F.col("anchor")) & (first >= 0) & (over | (
-        F.array_join(F.slice(F.col(words), F.greatest(first - base, F.lit(0)) + 1, F.col("n")), " ") == F.col("gram")))
-    found = each.join(F.broadcast(grams) if small else grams, same).select("id", mark, first.alias("start"), "n", "gram")
+
+    def agrees(base: Column) -> Column:
+        """The window of ``gram`` lies round ``pos``; ``base`` is the position of the first word carried along."""
+        return (first >= 0) & (
+            F.array_join(F.slice(F.col(words), F.greatest(first - base, F.lit(0)) + 1, F.col("n")), " ") == F.col("gram"))
+
+    if small:
+        end = docs.sparkSession.range(1).select(
+            F.lit(END).alias("gram"), F.lit(0).alias("n"), F.lit(0).alias("offset"), F.lit(END).alias("anchor"))
+        hit = (F.col("word") == F.col("anchor")) & (over | agrees(F.lit(0)))
+        found = each.join(F.broadcast(grams.unionByName(end)), hit).select("id", mark, first.alias("start"), "n", "gram")
+    else:
+        anchors = written(grams.select(F.col("anchor").alias("word")).distinct(), "anchors")
+        near = each.filter(F.col("word") != END)
+        near = near.join(F.broadcast(anchors), "word", "left_semi") if fits_broadcast(anchors, **bounds) else near
+        base = F.greatest(F.col("pos") - F.lit(length - 1), F.lit(0))
+        near = near.withColumn(words, F.slice(F.col(words), base + 1, F.lit(2 * length - 1)))
+        hit = (F.col("word") == F.col("anchor")) & agrees(base)
+        ends = rows.select("id", mark, (F.size(words) - 1).alias("start"), F.lit(0).alias("n"), F.lit(END).alias("gram"))
+        found = near.join(grams, hit).select("id", mark, first.alias("start"), "n", "gram").unionByName(ends)
     # The spans of a text and its items are at most as many as its words and the benchmark's windows.
     per_text = written(found.groupBy("id", mark).agg(
         F.count(F.when(over, True)).alias("copies"), F.max(F.when(over, F.col("start"))).cast("long").alias("n_words"),
         F.array_sort(F.collect_set(F.when(~over, F.struct(F.col("start"), F.col("n"))))).alias("spans"),
         F.collect_set(F.when(~over, F.col("gram"))).alias("grams")), "hits")
     pairs = per_text.select("id", mark, F.explode("grams").alias("gram"))
-    items = pairs.join(F.broadcast(members) if small else members, "gram").groupBy("id", mark).agg(
+    items = pairs.join(F.broadcast(members) if fits_broadcast(members, **bounds) else members, "gram").groupBy("id", mark).agg(
         F.collect_set("item").alias("items"))
     items = items.withColumnsRenamed({"id": "id2", mark: mark + "2"})
     return per_text.join(items, F.col("id").eqNullSafe(F.col("id2")) & (F.col(mark) == F.col(mark + "2")), "left").select(
@@ -119,7 +135,7 @@ def covered(spans: Column) -> Column:
 
 def decontaminate(
     docs: DataFrame, bench: DataFrame, text: str = "text", id_col: str = "doc_id", item: str = "item_id",
-    item_text: str = "text", length: int = WINDOW, remove: str = "documents", most_windows: int = MOST_WINDOWS,
+    item_text: str = "text", length: int = WINDOW, remove: str = "documents", most_windows: int = MOST_WINDOWS, most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """Training rows without benchmark passages; the columns of ``docs``.
 
@@ -134,7 +150,7 @@ def decontaminate(
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
-    hits = find_hits(docs, bench, text, id_col, item, item_text, length, most_windows).filter(F.size("spans") > 0)
+    hits = find_hits(docs, bench, text, id_col, item, item_text, length, most_windows, most_bytes).filter(F.size("spans") > 0)
     key, mark, spans = fresh("id"), fresh("mark"), fresh("spans")
     hits = hits.select(F.col("id").alias(key), F.col("mark").alias(mark), F.col("spans").alias(spans))
     same = F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(mark))

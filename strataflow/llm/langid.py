@@ -20,6 +20,8 @@ DIMS = 1 << BITS
 #: Odd multipliers of the three places of an n-gram.
 PLACES = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 SAMPLE_PER_LANGUAGE = 400
+#: Parts of the table that first choose a sample each.
+SAMPLE_PARTS = 64
 CENTROIDS = 4
 #: The share of training texts, and of their beginnings, that may lie beyond the least cosine accepted.
 REJECT_SHARE = 0.005
@@ -31,13 +33,15 @@ UNDETERMINED = "und"
 
 def gram_counts(texts: list[str]) -> np.ndarray:
     """Counts of hashed letter n-grams (1 to 3, words padded by a blank), one row per text."""
-    spans, owners = [], []
+    spans, owners, carried = [], [], []
     for i, text in enumerate(texts):
-        # Long texts in pieces; each piece begins with the two characters before it, so no n-gram is lost.
-        for at in range(0, max(len(text), 1), PIECE_CHARS):
-            piece = text[max(0, at - 2) : at + PIECE_CHARS].lower()
-            spans.append(f" {piece} ")
+        padded = f" {text.lower()} "
+        # Long texts in pieces. A piece carries the two characters before it, and of its n-grams only
+        # those that end beyond these count: every n-gram of the text counts in one piece.
+        for at in range(0, len(padded), PIECE_CHARS):
+            spans.append(padded[max(0, at - 2) : at + PIECE_CHARS])
             owners.append(i)
+            carried.append(at > 0)
     out = np.zeros((len(texts), DIMS), dtype=np.float32)
     first = 0
     while first < len(spans):  # runs of pieces of bounded length
@@ -45,23 +49,29 @@ def gram_counts(texts: list[str]) -> np.ndarray:
         while last < len(spans) and (last == first or size + len(spans[last]) <= PIECE_CHARS):
             size += len(spans[last])
             last += 1
-        _add_counts(out, spans[first:last], owners[first:last])
+        _add_counts(out, spans[first:last], owners[first:last], carried[first:last])
         first = last
     return out
 
 
-def _add_counts(out: np.ndarray, spans: list[str], owners: list[int]) -> None:
+def _add_counts(out: np.ndarray, spans: list[str], owners: list[int], carried: list[bool]) -> None:
     points = code_points("".join(spans))
     letter = is_class(points, "isalpha")
     a = np.where(letter, points, 32).astype(np.uint32)
-    row = np.repeat(np.arange(len(spans), dtype=np.int64), [len(s) for s in spans]) << BITS
+    sizes = np.array([len(s) for s in spans])
+    row = np.repeat(np.arange(len(spans), dtype=np.int64), sizes) << BITS
     shift = np.uint32(32 - BITS)
     one = a * np.uint32(PLACES[0])
     two = one[:-1] + a[1:] * np.uint32(PLACES[1])
     three = two[:-1] + a[2:] * np.uint32(PLACES[2])
-    either, middle = letter[:-1] | letter[1:], letter[1:-1]
+    single, either, middle = letter.copy(), letter[:-1] | letter[1:], letter[1:-1].copy()
+    ends = np.cumsum(sizes)
+    between = ends[:-1]  # no n-gram reaches from one span into the next
+    either[between - 1] = middle[between - 1] = middle[between - 2] = False
+    known = (ends - sizes)[np.array(carried)]
+    single[known] = single[known + 1] = either[known] = False
     keys = np.concatenate([
-        row[letter] + ((one[letter] * np.uint32(PLACES[2])) >> shift),
+        row[single] + ((one[single] * np.uint32(PLACES[2])) >> shift),
         row[:-1][either] + ((two[either] * np.uint32(PLACES[2])) >> shift),
         row[:-2][middle] + ((three[middle] * np.uint32(PLACES[1])) >> shift),
     ])
@@ -98,12 +108,13 @@ def length_class(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(counts.sum(axis=1), 1)).astype(int), LENGTHS - 1)
 
 
-def floors_of(texts: list[str], idf: np.ndarray, centres: np.ndarray, share: float) -> list[float]:
+def floors_of(heads: list[str], idf: np.ndarray, centres: np.ndarray, share: float) -> list[float]:
     """The least cosine accepted for each class of length: all but ``share`` of the texts' beginnings
-    of that length reach it. A class with too few to tell takes in those of the next shorter ones."""
+    of that length reach it. A class with too few to tell takes in those of the next shorter ones.
+    ``heads`` are the first ``BEGINNINGS[-1]`` characters of the texts."""
     seen = [[] for _ in range(LENGTHS)]
     for size in BEGINNINGS:
-        counts = gram_counts([t[:size] for t in texts if len(t) >= size or size == BEGINNINGS[0]])
+        counts = gram_counts([t[:size] for t in heads if len(t) >= size or size == BEGINNINGS[0]])
         top = (weighted(counts, idf) @ centres.T).max(axis=1, initial=0.0)
         for k, t, letters in zip(length_class(counts), top, counts.any(axis=1), strict=True):
             if letters:
@@ -155,8 +166,10 @@ def fit(
     """Learn centroids from the rows where ``learn`` holds and text and lang are not null.
 
     Document frequencies are counted over all those rows. The centroids are clustered per language
-    from a bounded sample: the ``sample`` rows of a language with the least hash of id and text.
-    Each language is clustered by one task; the driver receives ``most`` vectors per language.
+    from a bounded sample: the ``sample`` rows of a language with the least hash of id and text, found
+    in two rounds (by parts of the table, then of all). Whole texts are counted where they are read; the
+    one task that clusters a language receives ``sample`` count vectors and beginnings, however long the
+    texts, and the driver ``most`` vectors per language.
     """
     ship(docs.sparkSession)
     name = fresh("lang")
@@ -178,22 +191,35 @@ def fit(
         df[k + 1] = n
     idf = (np.log((1 + df[0]) / (1 + df[1:])) + 1).astype(np.float32)
 
-    first = F.row_number().over(Window.partitionBy(name).orderBy("at"))
-    chosen = rows.select(name, "at").distinct().withColumn("k", first).filter(F.col("k") <= sample).select(name, "at")
-    chosen = written(chosen, "langid")
-    picked = rows.join(F.broadcast(chosen) if chosen.count() <= 200_000 else chosen, [name, "at"]).dropDuplicates([name, "at"])
+    part = fresh("part")
+    chosen = rows.select(name, "at").distinct().withColumn(part, F.spark_partition_id() % SAMPLE_PARTS)
+    for by in ([name, part], [name]):
+        first = F.row_number().over(Window.partitionBy(*by).orderBy("at"))
+        chosen = chosen.withColumn("k", first).filter(F.col("k") <= sample).drop("k")
+    chosen = written(chosen.select(name, "at"), "langid")
+    picked = rows.join(F.broadcast(chosen) if chosen.count() <= 200_000 else chosen, [name, "at"])
+
+    def counts_of(batches):
+        for batch in batches:
+            for at, held in chunks(batch["text"], PIECE_CHARS, CHUNK_DOCS):
+                part = batch.iloc[at : at + len(held)]
+                yield pd.DataFrame({
+                    "lang": part[name], "at": part["at"], "head": [t[: BEGINNINGS[-1]] for t in held],
+                    "counts": [c.tobytes() for c in gram_counts(held)]})
+
+    counted = picked.mapInPandas(counts_of, "lang string, at long, head string, counts binary").dropDuplicates(["lang", "at"])
 
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
-        texts = list(frame.sort_values("at")["text"])
-        x = weighted(gram_counts(texts), idf)
+        frame = frame.sort_values("at")
+        x = weighted(np.stack([np.frombuffer(c, np.float32) for c in frame["counts"]]), idf)
         x = x[x.any(axis=1)]
         if not len(x):
             return pd.DataFrame({"lang": [], "floors": [], "vector": []})
         centres = centroids_of(x, most)
-        floors = floors_of(texts, idf, centres, reject_share)
-        return pd.DataFrame({"lang": frame[name].iloc[0], "floors": [floors] * len(centres), "vector": [c.tobytes() for c in centres]})
+        floors = floors_of(list(frame["head"]), idf, centres, reject_share)
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "floors": [floors] * len(centres), "vector": [c.tobytes() for c in centres]})
 
-    found = sorted(tuple(r) for r in picked.groupBy(name).applyInPandas(cluster, "lang string, floors array<double>, vector binary").collect())
+    found = sorted(tuple(r) for r in counted.groupBy("lang").applyInPandas(cluster, "lang string, floors array<double>, vector binary").collect())
     return LanguageModel(
         [f[0] for f in found],
         np.stack([np.frombuffer(f[2], np.float32) for f in found]) if found else np.zeros((0, DIMS), np.float32),

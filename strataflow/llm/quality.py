@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,8 @@ from strataflow.llm.chars import chunks, code_points, is_class
 from strataflow.llm.common import fresh, mix, ship, written
 
 SAMPLE = 3000
+#: Lines of a training text that are learned from: of a longer text as many in a row, the place set by its hash.
+LINES = 200
 STEPS = 150
 THRESHOLD = 0.7
 BASE = 16
@@ -187,13 +190,14 @@ def train(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = ST
 
 def fit(
     docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id",
-    label: str = "quality", sample: int = SAMPLE,
+    label: str = "quality", sample: int = SAMPLE, lines: int = LINES,
 ) -> LineModel:
     """Learn from the labelled documents where ``learn`` (a condition on ``docs``) holds.
 
     A bounded sample is used: of each label the ``sample`` documents with the least hash of their id.
-    Their line features are computed by Spark; the driver receives those features alone and fits the
-    weights. A label that is null or not 0 or 1 is passed over; a document with both labels has both.
+    Their line features are computed by Spark over whole texts; the driver receives those of at most
+    ``lines`` lines of a text (of a longer one as many in a row, from a place set by the text's hash), so
+    at most 2 * ``sample`` * ``lines`` rows of numbers, and fits the weights. A label that is null or not 0 or 1 is passed over; a document with both labels has both.
     """
     ship(docs.sparkSession)
     key = fresh("id")
@@ -211,6 +215,8 @@ def fit(
             for at, held in chunks(batch["text"]):
                 x, counts, _ = line_features(held)
                 cuts = np.split(x.astype(np.float32), np.cumsum(counts)[:-1])
+                spots = [crc32(t.encode("utf-8", "surrogatepass")) % max(len(c) - lines + 1, 1) for t, c in zip(held, cuts, strict=True)]
+                cuts = [c[s : s + lines] for s, c in zip(spots, cuts, strict=True)]
                 part = batch.iloc[at : at + len(held)]
                 yield pd.DataFrame({"id": part[key].astype(str), "y": part["y"], "x": [c.tobytes() for c in cuts]})
 

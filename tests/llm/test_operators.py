@@ -187,8 +187,12 @@ def test_hits_against_brute_force(spark, docs):
                     hit |= set(range(k, k + n))
                     found.add(i)
         want[(r.doc_id, len(w), len(hit), tuple(sorted(str(i) for i in found if i is not None)))] += 1
-    for most in (10, 1_000_000):
-        got = decontaminate.report(docs, bench, most_windows=most).collect()
+    grams, _ = decontaminate.windows(bench, "text", "item_id", 10)
+    anchors = grams.select("anchor").distinct().count()
+    assert 10 < anchors < grams.count()
+    # All by shuffles, the anchors alone broadcast, the bytes too many, all broadcast.
+    for bounds in ({"most_windows": 10}, {"most_windows": anchors}, {"most_bytes": 100}, {}):
+        got = decontaminate.report(docs, bench, **bounds).collect()
         assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(i for i in r.items if i)) for r in got) == want
     kept = decontaminate.decontaminate(docs, bench).collect()
     assert Counter(r.doc_id for r in kept) == Counter(k[0] for k in want.elements() if not k[2])
@@ -294,11 +298,46 @@ def test_languages_of_edge_rows(docs, empty):
     assert langid.identify(empty, model).count() == 0
 
 
-def test_gram_counts_in_pieces(monkeypatch):
-    texts = [words(300, 1), "", "ÀÉ x", words(50, 2)]
-    whole = langid.gram_counts(texts)
-    monkeypatch.setattr(langid, "PIECE_CHARS", 10_000)
-    assert (langid.gram_counts(texts) == whole).all()
+def plain_counts(text):
+    padded, out = f" {text.lower()} ", Counter()
+    marks = [ord(c) if c.isalpha() else 32 for c in padded]
+    for n, last in ((1, 2), (2, 2), (3, 1)):
+        for i in range(len(marks) - n + 1):
+            gram = marks[i : i + n]
+            if gram[1] != 32 if n == 3 else any(g != 32 for g in gram):
+                spread = sum(g * langid.PLACES[k] for k, g in enumerate(gram)) * langid.PLACES[last]
+                out[(spread % 2**32) >> (32 - langid.BITS)] += 1
+    return out
+
+
+@pytest.mark.parametrize("piece", [3, 5, 64, 1 << 18])
+def test_gram_counts_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(langid, "PIECE_CHARS", piece)
+    texts = [words(300, 1), "", "ÀÉ x", "a", "ΟΔΟΣ ΣΑΣ", "x" * 200, words(50, 2), "...", "中文" * 90 + "!b"]
+    for counts, text in zip(langid.gram_counts(texts), texts, strict=True):
+        assert {int(k): int(counts[k]) for k in np.flatnonzero(counts)} == plain_counts(text)
+
+
+def test_predictions_against_plain_cosines(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(d, F.lit(True), sample=20)
+    learned = [r for r in d.filter("text is not null and lang is not null").collect()]
+    df = Counter(k for r in learned for k in plain_counts(r.text))
+    idf = {k: math.log((1 + len(learned)) / (1 + df[k])) + 1 for k in range(langid.DIMS)}
+    assert np.allclose(model.idf, [idf[k] for k in range(langid.DIMS)], rtol=1e-5)
+    for r in langid.identify(d, model).collect():
+        x = {k: math.log1p(n) * idf[k] for k, n in plain_counts(r.text or "").items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        tops = [sum(v * float(c[k]) for k, v in x.items()) / norm if norm else 0.0 for c in model.centroids]
+        want = model.languages[int(np.argmax(tops))] if norm else "und"
+        assert r.lang_pred == want and abs(r.score - max(tops, default=0)) < 1e-4
+
+
+def test_samples_are_the_least_of_all_parts(spark):
+    rows = [(i % 9000, " ".join([f"{'abc'[i % 3]}{'xyz'[i % 7 % 3]}"] * (i % 5 + 1)), "en" if i % 9000 % 4 else "de") for i in range(9500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(150)
+    got = [langid.fit(d.repartition(n), F.lit(True), sample=30) for n in (1, 150)]
+    assert (got[0].centroids == got[1].centroids).all() and (got[0].floors == got[1].floors).all()
 
 
 def test_held_out_languages_and_quality(spark):
@@ -354,6 +393,20 @@ def test_quality_of_edge_rows(spark, docs, empty):
     assert quality.score_quality(empty, model).count() == 0
 
 
+def test_lines_learned_from_are_bounded(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(quality, "train", lambda x, counts, labels: held.append((x, counts, labels)))
+    long = "\n".join(f"line {i} of a long text" for i in range(5000))
+    d = spark.createDataFrame([(1, long), (2, long), (3, "short\ntext"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, quality int")
+    quality.fit(d, labels, F.lit(True), lines=70)
+    x, counts, y = held[0]
+    assert sorted(counts) == [1, 2, 70, 70] and len(x) == 143 and sorted(y) == [0, 0, 1, 1]
+    whole = quality.line_features([long])[0].astype(np.float32)
+    run = x[np.cumsum(counts)[list(counts).index(70)] - 70 :][:70]
+    assert any((whole[i : i + 70] == run).all() for i in range(len(whole) - 69))
+
+
 # --- top-k
 
 
