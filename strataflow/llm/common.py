@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from strataflow.session import discard, scratch_dir
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: it survives lost executors and is computed once."""
+def written(df: DataFrame, label: str, per_file: int = 0) -> DataFrame:
+    """``df`` as a table in the shared folder: it survives lost executors and is computed once.
+
+    ``per_file`` bounds the rows of a file, and so what a reader of very large rows holds at once.
+    """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.option("maxRecordsPerFile", per_file) if per_file else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

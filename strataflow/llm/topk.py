@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,12 @@ LEVELS = 16
 BLOCK = 8192
 QUERY_BLOCK = 512
 LANES = 4
+#: Blocks of queries in a piece. A task holds a piece at once.
+PIECE = 8
+#: Runs of index blocks. A run gives k rows a query at most, however long it is.
+RUNS = 32
+#: Blocks or pieces in a file, which a reader holds at once.
+PER_FILE = 4
 K = 20
 SCALE = 64
 
@@ -48,8 +55,9 @@ class Index:
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
-    """Whole numbers in two bytes where they fit."""
-    return x.astype(np.int16) if np.abs(x).max(initial=0) < 2**15 else x
+    """Whole numbers in one or two bytes where they fit."""
+    size = np.abs(x).max(initial=0)
+    return x.astype(np.int8) if 0 <= size < 2**7 else x.astype(np.int16) if 0 <= size < 2**15 else x
 
 
 def build_index(ids: np.ndarray, parts: np.ndarray) -> Index:
@@ -66,25 +74,36 @@ def build_index(ids: np.ndarray, parts: np.ndarray) -> Index:
     for k in range(LEVELS - 1, 0, -1):  # from the weakest up, so that small remainders stay exact
         at = level == k
         rest[k - 1] = rest[k] + np.bincount(row[at], value[at].astype(float) ** 2, len(ids))
-    return Index(ids, _narrow(parts), row.astype(np.int32), _narrow(value), level[new].astype(np.int8), dim[new].astype(np.int32),
+    row = row.astype(np.uint16 if len(ids) <= 2**16 else np.int32)
+    return Index(ids, _narrow(parts), row, _narrow(value), level[new].astype(np.int8), dim[new].astype(np.int32),
                  np.append(new, len(row)).astype(np.int64), np.sqrt(rest).astype(np.float32) * np.float32(1 + 1e-5))
 
 
-def search_block(index: Index, queries: np.ndarray, own: np.ndarray, k: int):
+#: No score is known yet.
+NONE = np.iinfo(np.int64).min
+
+
+def search_block(index: Index, queries: np.ndarray, own: np.ndarray, k: int, known: np.ndarray | None = None):
     """The k best rows of a block for every query, as (query index, vec_id, score), and the postings added.
 
+    ``known`` has for every query the k-th best score of other blocks, or NONE; rows below it may be missing.
+
     Score at a time: segments are added to the scores from the strongest impact down, for all queries
     still open; a posting below the point where a query is closed is not touched for it. What is left can
     add to a row's score at most the product of the norms left (Cauchy-Schwarz). A row is a possible
-    member while its score plus that reaches the k-th best of the scores less that. A query is closed when
-    scoring its possible members exactly costs less than the postings left, so it stops on proof only:
-    all rows that could be among the k best, ties included, are scored on their whole vectors.
+    member while its score plus that reaches the k-th best of the scores less that, or the score known. A
+    query is closed when scoring its possible members exactly costs less than the postings left, so it
+    stops on proof only: all rows that could be among the k best, ties included, are scored on their
+    whole vectors.
     """
     n, width = index.parts.shape
     largest = float(max(np.abs(queries).max(initial=0), 1)) * float(max(np.abs(index.parts).max(initial=0), 1)) * max(width, 1)
     kind = np.float32 if largest < 2**23 else np.float64
     exact = largest >= 2**52  # beyond a double's whole numbers: bounds allow for rounding, scores are whole
     slack = largest * 1e-9 if exact else 0.0
+    floor = np.full(len(queries), -np.inf, dtype=kind)
+    if known is not None:
+        floor[known != NONE] = known[known != NONE].astype(float) - slack
     weights, norms = np.ascontiguousarray(queries.T).astype(kind), np.sqrt((queries.astype(float) ** 2).sum(axis=1)) * (1 + 1e-3)
     open_ = np.arange(len(queries))
     same = index.ids[:, None] == own[None, :]
@@ -103,9 +122,16 @@ def search_block(index: Index, queries: np.ndarray, own: np.ndarray, k: int):
             continue  # too little is new for another look
         added = 0
         bound = index.rest[level][:, None] * norms[open_][None, :].astype(kind) * (1 if left else 0) + kind(slack)
-        lower = np.where(same, -np.inf, seen - bound)
-        top = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(open_), -np.inf)
-        possible = (seen + bound >= top[None, :]) & ~same
+        top = floor[open_]
+        if n > k and np.isneginf(top).any():
+            lower = seen - bound
+            lower[same] = -np.inf
+            lower.partition(n - k, axis=0)
+            top = np.maximum(top, lower[n - k])
+            del lower
+        bound += seen
+        possible = (bound >= top[None, :]) & ~same
+        del bound
         done = (possible.sum(axis=0) * width <= left) | (left == 0)
         for i in np.flatnonzero(done):
             member = np.flatnonzero(possible[:, i])
@@ -124,6 +150,42 @@ def search_block(index: Index, queries: np.ndarray, own: np.ndarray, k: int):
     return out, touched
 
 
+class Best:
+    """The k best rows of all blocks so far for every query of a piece."""
+
+    def __init__(self, own: np.ndarray, queries: np.ndarray, k: int):
+        self.own, self.queries, self.k = own, queries, k
+        self.known = np.full(len(own), NONE)  # the k-th best score
+        self.ids = [np.zeros(0, np.int64)] * len(own)
+        self.scores = list(self.ids)
+
+    def search(self, index: Index, most: int) -> int:
+        """Search one more block, ``most`` queries at a time; the postings added."""
+        touched = 0
+        for first in range(0, len(self.own), most):
+            cut = slice(first, first + most)
+            found, added = search_block(index, self.queries[cut], self.own[cut], self.k, self.known[cut])
+            touched += added
+            at, ids, scores = np.array(found, dtype=np.int64).reshape(-1, 3).T
+            edges = np.flatnonzero(np.diff(at, prepend=-1, append=-1))  # a query's rows stand together
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                self._add(first + int(at[a]), ids[a:b], scores[a:b])
+        return touched
+
+    def _add(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate((self.ids[i], ids)), np.concatenate((self.scores[i], scores))
+        order = np.lexsort((ids, ~scores))[: self.k]  # ~x falls as x rises and fits any long
+        self.ids[i], self.scores[i] = ids[order], scores[order]
+        if len(order) == self.k:
+            self.known[i] = self.scores[i][-1]
+
+    def rows(self) -> pa.RecordBatch:
+        queries = np.repeat(self.own, [len(x) for x in self.ids])
+        return pa.RecordBatch.from_arrays([
+            pa.array(queries, pa.int64()), pa.array(np.concatenate(self.ids)), pa.array(np.concatenate(self.scores))],
+            ["query_id", "vec_id", "score"])
+
+
 _FIELDS = ("ids", "parts", "rows", "impacts", "level", "dim", "start", "rest")
 
 
@@ -137,7 +199,7 @@ def _gathered(rows: DataFrame, block: Column, label: str, pack, schema: str) ->
         return pd.DataFrame([{"block": int(frame["block"].iloc[0]), "width": parts.shape[1], **made}])
 
     made = rows.withColumn("block", block).withColumn("width", F.size("parts"))
-    return written(made.groupBy("block", "width").applyInPandas(one, "block long, width int, " + schema), label)
+    return written(made.groupBy("block", "width").applyInPandas(one, "block long, width int, " + schema), label, PER_FILE)
 
 
 def _stored(ids: np.ndarray, parts: np.ndarray) -> dict:
@@ -146,9 +208,19 @@ def _stored(ids: np.ndarray, parts: np.ndarray) -> dict:
     return {**{f: a.tobytes() for f, a in arrays.items()}, "kinds": ",".join(a.dtype.str for a in arrays.values())}
 
 
-def _loaded(row) -> Index:
-    kinds = dict(zip(_FIELDS, row.kinds.split(","), strict=True))
-    held = {f: np.frombuffer(getattr(row, f), kinds[f]) for f in _FIELDS}
+def _view(batch, row: int, column: str, kind: str) -> np.ndarray:
+    return np.frombuffer(batch.column(column)[row].as_buffer(), kind)
+
+
+def _asked(ids: np.ndarray, parts: np.ndarray) -> dict:
+    parts = _narrow(parts)
+    return {"q_ids": ids.tobytes(), "q_parts": parts.tobytes(), "q_kind": parts.dtype.str}
+
+
+def _loaded(batch, row: int) -> Index:
+    """The block in a row of an Arrow batch: its arrays are views, not copies."""
+    kinds = batch.column("kinds")[row].as_py().split(",")
+    held = {f: _view(batch, row, f, kind) for f, kind in zip(_FIELDS, kinds, strict=True)}
     n = len(held["ids"])
     return Index(**{**held, "parts": held["parts"].reshape(n, -1), "rest": held["rest"].reshape(LEVELS, n)})
 
@@ -160,9 +232,13 @@ def top_k(
     """For every row where ``queries`` holds the ``k`` best other rows: query_id, rank, vec_id, score.
 
     Rows are spread over blocks of about ``block`` vectors by a hash of their id; the postings of each block
-    are built and stored once, as one piece of the index (``build_index``). Every block of queries meets every block of the index once, and returns at
-    most k rows per query; the best k of those follow by one window. All rows are searched, and the
-    scores are exact integers.
+    are built and stored once, as one piece of the index (``build_index``). Queries are stored in pieces of
+    a few blocks. Every piece of queries meets every block of the index once: a task reads a run of index
+    blocks and a piece from the stored tables, keeps the best k of the run for every query, and closes
+    queries in later blocks by what it holds; the best k of the runs follow by one window. So neither side
+    is copied to disk for the other, nothing passes the driver, and a task holds one block, one piece and
+    k rows for each of its queries, however many blocks there are. All rows are searched, and the scores
+    are exact integers.
 
     Defined cases: null vectors, and vectors holding null or non-finite components, take no part;
     neither do null ids; vectors of another width than the query's are not compared; a query with
@@ -178,27 +254,26 @@ def top_k(
     blocks, query_blocks = max(1, -(-total // block)), max(1, -(-questions // query_block))
     spread = lambda n: F.pmod(F.xxhash64("vec_id", "parts"), F.lit(n))
     index = _gathered(every, spread(blocks), "topk-index", _stored, ", ".join(f"{f} binary" for f in _FIELDS) + ", kinds string")
-    ask = _gathered(asked.distinct(), spread(query_blocks), "topk-queries",
-                    lambda ids, parts: {"q_ids": ids.tobytes(), "q_parts": parts.tobytes()}, "q_ids binary, q_parts binary")
-    # A block of the index serves its queries in a few lanes, each a task of its own.
-    lanes = min(query_blocks, LANES)
-    ask = ask.withColumn("lane", F.col("block") % lanes).drop("block")
-    ask = ask.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    index = index.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
-    keys = ["block", "lane", "width"]
-    pairs = ask.repartition(min(blocks * lanes, 100_000), *keys).join(index, keys)
+    pieces = max(min(query_blocks, LANES), -(-query_blocks // PIECE))
+    ask = _gathered(asked.distinct(), spread(pieces), "topk-queries", _asked, "q_ids binary, q_parts binary, q_kind string")
+    # Ranges of the number give every piece a partition of its own. Neither side is small enough to broadcast.
+    ask = ask.withColumnRenamed("block", "piece").withColumnRenamed("width", "q_width").repartitionByRange(pieces, "piece")
+    pairs = index.coalesce(RUNS).join(ask.hint("shuffle_replicate_nl"), F.col("width") == F.col("q_width"))
 
     def search(batches):
+        held: dict[tuple[int, int], Best] = {}
         for batch in batches:
-            for r in batch.itertuples():
-                own = np.frombuffer(r.q_ids, np.int64)
-                wanted = np.frombuffer(r.q_parts, np.int64).reshape(len(own), -1)
-                found, _ = search_block(_loaded(r), wanted, own, k)
-                yield pd.DataFrame({
-                    "query_id": [int(own[f[0]]) for f in found], "vec_id": [f[1] for f in found],
-                    "score": [f[2] for f in found]}).astype(np.int64)
-
-    found = pairs.mapInPandas(search, "query_id long, vec_id long, score long")
+            for row in range(batch.num_rows):
+                piece = batch.column("piece")[row].as_py(), batch.column("width")[row].as_py()
+                if piece not in held:
+                    own = _view(batch, row, "q_ids", "i8").copy()
+                    wanted = _view(batch, row, "q_parts", batch.column("q_kind")[row].as_py()).astype(np.int64)
+                    held[piece] = Best(own, wanted.reshape(len(own), -1), k)
+                held[piece].search(_loaded(batch, row), query_block)
+        for best in held.values():
+            yield best.rows()
+
+    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

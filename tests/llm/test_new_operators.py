@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from helpers import plan
 from pyspark.sql import functions as F
 
 from strataflow.llm import chat, dom, manifest, ngramjoin, secretscan, spelling, topk, urlfilter
@@ -336,3 +337,38 @@ def test_vectors_beside_clashing_columns(spark):
                                "vec_id long, embedding array<double>, block int, width int, lane int, parts int, score int")
     got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=3, block=9, query_block=2)
     assert got.columns == ["query_id", "rank", "vec_id", "score"] and got.count() == 9
+
+
+@pytest.mark.parametrize("size", [1, 2**14, 2**22])
+def test_blocks_are_searched_with_what_is_known(size):
+    rng = np.random.default_rng(size)
+    parts = np.floor(64 * size * rng.normal(size=(900, 16))).astype(np.int64)
+    parts[300:340] = parts[0]  # ties over the blocks
+    ids = rng.permutation(900)
+    asked, own = parts[::30], ids[::30]
+    best, alone, together = topk.Best(own, asked, 7), 0, 0
+    for a in range(0, 900, 90):
+        index = topk.build_index(ids[a:a + 90], parts[a:a + 90])
+        alone += topk.search_block(index, asked, own, 7)[1]
+        together += best.search(index, 11)
+    assert together <= alone
+    got = best.rows().to_pydict()
+    assert len(got["query_id"]) == 7 * len(own)
+    exact = parts.astype(object)
+    for n, (q, p) in enumerate(zip(own.tolist(), asked.astype(object), strict=True)):
+        want = sorted((-int(s), i) for s, i in zip(exact @ p, ids.tolist(), strict=True) if i != q)[:7]
+        assert [(-s, i) for s, i in zip(got["score"][7 * n:7 * n + 7], got["vec_id"][7 * n:7 * n + 7], strict=True)] == want
+
+
+def test_queries_are_not_copied_for_every_block(spark):
+    rng = np.random.default_rng(5)
+    made = [(i, [float(x) for x in rng.normal(size=4 + i % 2)]) for i in range(400)]
+    df = spark.createDataFrame(made, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, F.col("vec_id") % 2 == 0, k=3, block=10, query_block=3)
+    assert "Generate" not in plan(found) and "Broadcast" not in plan(found) and "CartesianProduct" in plan(found)
+    got = defaultdict(list)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r.query_id].append((-r.score, r.vec_id))
+    parts = {i: [int(np.floor(64 * x)) for x in v] for i, v in made}
+    for q in range(0, 400, 2):  # only the even ids have its width
+        assert got[q] == sorted((-sum(a * b for a, b in zip(parts[q], parts[i], strict=True)), i) for i in range(0, 400, 2) if i != q)[:3]
