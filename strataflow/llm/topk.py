@@ -145,8 +145,8 @@ def search_block(index: Index, queries: np.ndarray, own: np.ndarray, k: int, kno
         if done.all():
             break
         if done.any():
-            stay = ~done
-            open_, seen, weights, same = open_[stay], seen[:, stay], np.ascontiguousarray(weights[:, stay]), same[:, stay]
+            stay = np.flatnonzero(~done)  # take() keeps a row's scores side by side, an index in brackets does not
+            open_, seen, weights, same = open_[stay], seen.take(stay, 1), weights.take(stay, 1), same.take(stay, 1)
     return out, touched
 
 
